@@ -20,7 +20,7 @@ def star_join(
 
     Every dimension is ``(fact column, dimension, dimension key, {attribute: output name})``; one
     dimension may appear several times under different roles. Only the key and the attributes asked
-    for are read from the dimension.
+    for are read from the dimension; they replace fact columns of the same name.
     """
     joined = fact
     for position, (foreign_key, dim, key, attributes) in enumerate(dimensions):
@@ -29,6 +29,7 @@ def star_join(
             F.col(key).alias(role_key),
             *[F.col(source).alias(target) for source, target in attributes.items()],
         )
+        joined = joined.drop(*[c for c in attributes.values() if c != foreign_key])
         joined = joined.join(role, F.col(foreign_key) == F.col(role_key), how).drop(role_key)
     return joined
 

@@ -108,15 +108,16 @@ def build_fact_games(
     source: DataFrame, club_games: DataFrame, games: DataFrame, competitions: DataFrame, clubs: DataFrame,
     dates: DataFrame,
 ) -> DataFrame:
+    sides = club_games.select(
+        to_number("game_id", "int").alias("game_id"), "hosting", to_number("own_position", "int").alias("own_position")
+    )
     places = widen_by_role(
-        club_games.select("game_id", "hosting", to_number("own_position", "int").alias("own_position")),
-        "game_id", "hosting", "own_position",
-        {"Home": "home_club_position", "Away": "away_club_position"},
-    ).withColumn("game_id", to_number("game_id", "int"))
+        sides, "game_id", "hosting", "own_position", {"Home": "home_club_position", "Away": "away_club_position"}
+    )
     rows = source.drop("home_club_position", "away_club_position")
     rows = _typed(rows.withColumn("date_id", date_id(to_date_lenient("date"))), "fact_games")
-    rows = derive_outcome(rows.join(places, "game_id", "left"), "home_club_goals", "away_club_goals")
-    rows = derive_outcome(_filled(_final(rows, "fact_games"), "fact_games"), "home_club_goals", "away_club_goals")
+    rows = _filled(_final(rows.join(places, "game_id", "left"), "fact_games"), "fact_games")
+    rows = derive_outcome(rows, "home_club_goals", "away_club_goals")
     rows = filter_fk(rows, "game_id", games, "game_id")
     rows = filter_fk(rows, "competition_id", competitions, "competition_id")
     rows = filter_fk(rows, "home_club_id", clubs, "club_id")
