@@ -1,4 +1,4 @@
-"""The named OLAP reports over the test mart, each with its check query.
+"""Check queries of the slices, dices, roll-ups and drill-downs.
 
 Parameters differ from the defaults only where the test tables have other names or few rows.
 """
