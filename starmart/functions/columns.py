@@ -151,12 +151,12 @@ def ratio(numerator: Column, denominator: Column, digits: int | None = None, fac
     """``factor * numerator / denominator``, NULL on a zero denominator.
 
     With ``digits`` the quotient is exact decimal arithmetic rounded half-up; without, a double.
-    Inputs of the exact form must be whole numbers or decimals of at most two digits.
+    Inputs of the exact form must be whole numbers or decimals: up to four digits above, two below.
     """
     denominator = F.nullif(denominator, F.lit(0))
     if digits is None:
         return numerator.cast("double") * factor / denominator.cast("double")
-    exact = (numerator * F.lit(factor)).cast("decimal(22,2)") / denominator.cast("decimal(18,2)")
+    exact = (numerator * F.lit(factor)).cast("decimal(26,4)") / denominator.cast("decimal(18,2)")
     return F.round(exact, digits)
 
 

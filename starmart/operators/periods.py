@@ -62,21 +62,21 @@ def moving_avg(
     return df.withColumn(name, ratio(F.sum(column).over(window), F.count(column).over(window), digits))
 
 
-def vs_group(df: DataFrame, partition: Sequence[str], column: str, prefix: str) -> DataFrame:
+def vs_group(df: DataFrame, partition: Sequence[str], column: str, prefix: str, digits: int = 12) -> DataFrame:
     """Add ``<prefix>_avg``, ``_max``, ``_min`` of the group and ``_deviation`` from its average.
 
-    The statistics are aggregated and joined back: a window would hold a whole group in one task.
+    The average is exact to ``digits``. The statistics are aggregated and joined back: a window would hold a whole group in one task.
     """
     keys = list(partition)
     stats = df.groupBy(*keys).agg(
-        ratio(F.sum(column), F.count(column)).alias(f"{prefix}_avg"),
+        ratio(F.sum(column), F.count(column), digits).alias(f"{prefix}_avg"),
         F.max(column).alias(f"{prefix}_max"),
         F.min(column).alias(f"{prefix}_min"),
     )
     renamed = stats.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     joined = df.join(renamed, same, "left").drop(*[f"_{k}" for k in keys])
-    return joined.withColumn(f"{prefix}_deviation", F.col(column).cast("double") - F.col(f"{prefix}_avg"))
+    return joined.withColumn(f"{prefix}_deviation", F.col(column) - F.col(f"{prefix}_avg"))
 
 
 def with_mean(df: DataFrame, partition: Sequence[str], column: str, name: str) -> DataFrame:
