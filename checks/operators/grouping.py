@@ -37,14 +37,15 @@ from checks.testmart import Tables, with_mart
 
 OPERATORS: dict[str, tuple] = {}
 
-PRICE = F.col("l_extendedprice").cast("decimal(15,2)")
 PRICE_SQL = "cast(l_extendedprice as decimal(15,2))"
-QUANTITY = F.col("l_quantity").cast("bigint")
 QUANTITY_SQL = "cast(l_quantity as bigint)"
 
 
 def _lines(t: Tables):
-    return t["lineitem"].withColumns({"price": PRICE, "quantity": QUANTITY})
+    """Line items with an exact price and a whole quantity."""
+    return t["lineitem"].withColumns(
+        {"price": F.col("l_extendedprice").cast("decimal(15,2)"), "quantity": F.col("l_quantity").cast("bigint")}
+    )
 
 
 OPERATORS["agg_basic"] = (
@@ -265,10 +266,10 @@ OPERATORS["win_share_of_total"] = (
 # -- scalar functions --------------------------------------------------------------------------
 
 OPERATORS["fn_round"] = (
-    lambda t: t["lineitem"].select(
+    lambda t: _lines(t).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        ratio(PRICE, QUANTITY, 2).alias("unit_price"),
-        ratio(PRICE, QUANTITY, 0).alias("whole_price"),
+        ratio(F.col("price"), F.col("quantity"), 2).alias("unit_price"),
+        ratio(F.col("price"), F.col("quantity"), 0).alias("whole_price"),
     ),
     f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, {rounded(PRICE_SQL, 'l_quantity', 2)} as unit_price,
                {rounded(PRICE_SQL, 'l_quantity', 0)} as whole_price from lineitem""",

@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import clean_text, date_id, money, null_unless, season_start, to_date_lenient, to_number
@@ -24,7 +25,7 @@ from starmart.operators import (
 )
 from starmart.plans import loads
 from starmart.session import shared_folder
-from starmart.sources import Warehouse, date_dimension, load_metrics, read_csv, read_table, write_table
+from starmart.sources import date_dimension, load_metrics, read_csv, read_table, write_table
 from checks.sources import raw_tables, with_raw
 from checks.testmart import Tables, with_mart
 
@@ -293,18 +294,25 @@ OPERATORS["load_season"] = (
 # -- load jobs ---------------------------------------------------------------------------------
 
 
-def _built(t: Tables) -> Warehouse:
-    """The loaded tables over the source rows, each built from its parents."""
+def _built(t: Tables, table: str):
+    """A table built from the source rows; its parents are loaded first, as in a full load."""
     raw = raw_tables(t.spark, t.sf_dir)
+    root = _folder(t)
+    loaded: dict[str, DataFrame] = {}
+
+    def load(name: str) -> DataFrame:
+        if name not in loaded:
+            write_table(build(name), root, name, mode="overwrite")
+            loaded[name] = read_table(t.spark, root, name)
+        return loaded[name]
 
-    def build(name: str):
+    def build(name: str) -> DataFrame:
         if name == "dim_date":
             return date_dimension(t.spark)
         function, sources, parents = loads.JOBS[name]
-        return function(*[raw[s] for s in sources], *[built[p] for p in parents])
+        return function(*[raw[s] for s in sources], *[load(p) for p in parents])
 
-    built = Warehouse(build)
-    return built
+    return build(table)
 
 
 _PARENTS = "raw_competitions built_competitions raw_clubs built_clubs"
@@ -314,7 +322,7 @@ _ALL_PARENTS = f"{_PARENTS} raw_players built_players raw_games built_games"
 def _job(key: str, table: str, views: str, final: str, money_columns: tuple[str, ...] = ()) -> None:
     replaced = ", ".join(f"cast({c} as double) as {c}" for c in money_columns)
     columns = f"* replace ({replaced})" if replaced else "*"
-    OPERATORS[key] = (lambda t: _built(t)[table], with_raw(f"{views} {final}", f"select {columns} from {final}"))
+    OPERATORS[key] = (lambda t: _built(t, table), with_raw(f"{views} {final}", f"select {columns} from {final}"))
 
 
 _job("job_dim_competitions", "dim_competitions", "raw_competitions", "built_competitions")

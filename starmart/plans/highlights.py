@@ -42,15 +42,25 @@ def _club_names(df: DataFrame, mart: Mart) -> DataFrame:
     return star_join(df, [("club_id", mart["dim_clubs"], "club_id", {"name": "club"})])
 
 
+def _with_lists(first: DataFrame, lines: DataFrame, keys: list[str], lists: dict[str, str]) -> DataFrame:
+    """Add lists of distinct names to rows already chosen; only the lines of those rows are listed."""
+    chosen = first.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    own = lines.join(chosen, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
+    listed = aggregate(own, keys, {name: string_list(column) for name, column in lists.items()})
+    return drill_across([first, listed], keys)
+
+
 def q09_1(mart: Mart, leagues=BIG_FIVE, top: int = 25, split_homonyms: bool = False) -> DataFrame:
-    """Top scorers with their leagues, clubs, and goals per match and per 90 minutes."""
-    lines = with_player(_club_names(with_league(_lines(mart, leagues), mart), mart), mart, PLAYER)
+    """Top scorers with their leagues, clubs, and goals per match and per 90 minutes.
+
+    The first players are chosen on their goals; league and club names are collected for them only.
+    """
+    keys = player_keys(["player", "position", "country"], split_homonyms)
+    lines = with_player(_lines(mart, leagues), mart, PLAYER)
     games = n_distinct("game_id")
     scorers = aggregate(
-        lines, player_keys(["player", "position", "country"], split_homonyms),
+        lines, keys,
         {
-            "leagues": string_list("league"),
-            "clubs": string_list("club"),
             "goals": F.sum("goals"),
             "assists": F.sum("assists"),
             "goal_involvements": F.sum(F.col("goals") + F.col("assists")),
@@ -62,17 +72,19 @@ def q09_1(mart: Mart, leagues=BIG_FIVE, top: int = 25, split_homonyms: bool = Fa
         having=F.col("goals") > 0,
     )
     ordering = [F.desc("goals"), F.asc("player"), F.asc("position"), F.asc("country")]
-    return top_overall(scorers, ordering, top, "rank")
+    first = top_overall(scorers, ordering, top, "rank")
+    names = _club_names(with_league(lines, mart), mart)
+    return _with_lists(first, names, keys, {"leagues": "league", "clubs": "club"}).orderBy("rank")
 
 
 def q09_2(mart: Mart, leagues=BIG_FIVE, top: int = 25, split_homonyms: bool = False) -> DataFrame:
     """Top assist makers."""
-    lines = with_player(_club_names(_lines(mart, leagues), mart), mart, PLAYER)
+    keys = player_keys(["player", "position", "country"], split_homonyms)
+    lines = with_player(_lines(mart, leagues), mart, PLAYER)
     games = n_distinct("game_id")
     makers = aggregate(
-        lines, player_keys(["player", "position", "country"], split_homonyms),
+        lines, keys,
         {
-            "clubs": string_list("club"),
             "assists": F.sum("assists"),
             "goals": F.sum("goals"),
             "games": games,
@@ -81,7 +93,8 @@ def q09_2(mart: Mart, leagues=BIG_FIVE, top: int = 25, split_homonyms: bool = Fa
         having=F.col("assists") > 0,
     )
     ordering = [F.desc("assists"), F.asc("player"), F.asc("position"), F.asc("country")]
-    return top_overall(makers, ordering, top, "rank")
+    first = top_overall(makers, ordering, top, "rank")
+    return _with_lists(first, _club_names(lines, mart), keys, {"clubs": "club"}).orderBy("rank")
 
 
 def q09_3(mart: Mart, top: int = 20) -> DataFrame:
@@ -137,22 +150,19 @@ def q09_4(mart: Mart, leagues=BIG_FIVE) -> DataFrame:
 
 def q09_5(mart: Mart, leagues=BIG_FIVE, seasons=(2015, 2024), split_homonyms: bool = False) -> DataFrame:
     """Top scorer of every league and season; ties are all kept."""
+    keys = player_keys(["league", "season", "player"], split_homonyms)
     lines = with_calendar(_lines(mart, leagues), mart, columns=["season_start_year"], seasons=seasons)
-    lines = with_league(_club_names(lines.withColumnRenamed("season_start_year", "season"), mart), mart)
+    lines = with_league(lines.withColumnRenamed("season_start_year", "season"), mart)
     lines = with_player(lines, mart, {"name": "player"})
     games = n_distinct("game_id")
     scorers = aggregate(
-        lines, player_keys(["league", "season", "player"], split_homonyms),
-        {
-            "clubs": string_list("club"),
-            "goals": F.sum("goals"),
-            "games": games,
-            "goals_per_game": ratio(F.sum("goals"), games, 2),
-        },
+        lines, keys,
+        {"goals": F.sum("goals"), "games": games, "goals_per_game": ratio(F.sum("goals"), games, 2)},
         having=F.col("goals") > 0,
     )
     best = top_per_group(scorers, ["league", "season"], [F.desc("goals")], how="rank")
-    result = best.select("league", "season", "player", "clubs", "goals", "games", "goals_per_game")
+    result = _with_lists(best, _club_names(lines, mart), keys, {"clubs": "club"})
+    result = result.select("league", "season", "player", "clubs", "goals", "games", "goals_per_game")
     return order(result, [("league", "asc", "last"), ("season", "asc", "last"), ("player", "asc", "last")])
 
 

@@ -4,8 +4,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import count_where, n_distinct, per_90, ratio, scaled, string_list, sum_where
-from starmart.operators import aggregate, dice, order, period_change, star_join, tile_of, top_overall
+from starmart.operators import (
+    aggregate,
+    dice,
+    drill_across,
+    known,
+    order,
+    period_change,
+    star_join,
+    tile_of,
+    top_overall,
+)
 from starmart.plans.common import BIG_FIVE, UNNAMED, Mart, player_keys, with_calendar, with_player
+from starmart.session import cut_lineage
 
 PLAYER = {"name": "player", "position": "position", "country_of_citizenship": "country"}
 
@@ -24,7 +35,8 @@ def q11_1(
     """Most used players with their share of starts and their quartile of use.
 
     The quartile counts all qualified players. The rows shown are the first of the same order, so
-    their position and the number of qualified players give it without ranking the rest.
+    their position and the number of qualified players give it without ranking the rest. The
+    qualified players are written once, as they are both counted and ranked.
     """
     lines = with_player(_lines(mart, leagues), mart, PLAYER)
     starts = count_where(F.col("type") == "starting_lineup")
@@ -43,6 +55,7 @@ def q11_1(
         having=F.col("games") >= min_games,
     )
     ordering = [F.desc("games"), F.asc("player"), F.asc("position"), F.asc("country")]
+    used = cut_lineage(used)
     qualified = used.agg(F.count(F.lit(1))).scalar()
     first = top_overall(used, ordering, top, "rank")
     return first.withColumn("use_quartile", tile_of(F.col("rank"), qualified, 4))
@@ -100,29 +113,34 @@ def q11_3(
 ) -> DataFrame:
     """Players with many clubs: their clubs, leagues and seasons.
 
-    Rows are first reduced to one per player, club, league, season and game, so the distinct counts
-    of clubs, leagues and seasons are sets bounded by their dimensions.
+    Lines are first reduced to one per player, club, league and season, so counting three distinct
+    columns repeats that small result and not the fact.
     """
-    lines = with_calendar(_lines(mart, leagues), mart, columns=["season_start_year"])
-    lines = star_join(
-        lines.filter(F.col("club_id") != -1), [("club_id", mart["dim_clubs"], "club_id", {"name": "club"})]
+    keys = player_keys(["player", "position", "country"], split_homonyms)
+    lines = with_player(known(_lines(mart, leagues), "club_id"), mart, PLAYER)
+    stays = aggregate(
+        with_calendar(lines, mart, columns=["season_start_year"]),
+        [*keys, "club_id", "competition_id", "season_start_year"],
+        {"goals": F.sum("goals"), "assists": F.sum("assists")},
     )
-    lines = with_player(lines, mart, PLAYER)
-    nomads = aggregate(
-        lines, player_keys(["player", "position", "country"], split_homonyms),
+    totals = aggregate(
+        stays, keys,
         {
-            "clubs": F.size(F.collect_set("club_id")),
-            "leagues": F.size(F.collect_set("competition_id")),
-            "seasons": F.size(F.collect_set("season_start_year")),
-            "club_list": string_list("club", " --> "),
+            "clubs": n_distinct("club_id"),
+            "leagues": n_distinct("competition_id"),
+            "seasons": n_distinct("season_start_year"),
             "goals": F.sum("goals"),
             "assists": F.sum("assists"),
-            "games": n_distinct("game_id"),
         },
         having=F.col("clubs") >= min_clubs,
     )
+    games = aggregate(lines, keys, {"games": n_distinct("game_id")})
     ordering = [F.desc("clubs"), F.desc("games"), F.asc("player"), F.asc("position"), F.asc("country")]
-    return top_overall(nomads, ordering, top, "rank")
+    first = top_overall(drill_across([totals, games], keys), ordering, top, "rank")
+    own = lines.join(first.select(*keys), keys, "left_semi")
+    clubs = star_join(own, [("club_id", mart["dim_clubs"], "club_id", {"name": "club"})])
+    listed = aggregate(clubs, keys, {"club_list": string_list("club", " --> ")})
+    return drill_across([first, listed], keys).orderBy("rank")
 
 
 def q11_4(
