@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Wide projections of parsed columns generate methods over 8,000 bytes, which the JVM leaves
+    # uncompiled; beyond this limit Spark uses its smaller generated pieces instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
