@@ -17,6 +17,7 @@ def spark():
         .master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
