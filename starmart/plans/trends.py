@@ -32,6 +32,7 @@ from starmart.plans.common import (
     with_league,
     with_player,
 )
+from starmart.session import cut_lineage
 
 
 def _paid():
@@ -219,7 +220,10 @@ def q08_4a(mart: Mart, leagues=BIG_FIVE) -> DataFrame:
 
 
 def q08_4b(mart: Mart, leagues=BIG_FIVE, ranks: int = 10, split_homonyms: bool = False) -> DataFrame:
-    """Most booked players: everyone at one of the highest distinct card counts."""
+    """Most booked players: everyone at one of the highest distinct card counts.
+
+    The players' totals are written once, as they are both searched and joined back.
+    """
     lines = with_league(dice(mart["fact_appearances"], {"competition_id": list(leagues)}), mart)
     lines = with_player(lines, mart, {"name": "player", "position": "position"})
     booked = aggregate(
@@ -231,7 +235,7 @@ def q08_4b(mart: Mart, leagues=BIG_FIVE, ranks: int = 10, split_homonyms: bool =
             "games": n_distinct("game_id"),
         },
     )
-    first = top_overall(booked, [], ranks, how="dense_rank", by="cards")
+    first = top_overall(cut_lineage(booked), [], ranks, how="dense_rank", by="cards")
     result = first.select(
         "player", "position", "league", "yellow_cards", "red_cards", "cards", "games",
         ratio(F.col("yellow_cards"), F.col("games"), 1, factor=100).alias("yellow_pct"),
