@@ -115,9 +115,13 @@ OPERATORS["win_ntile"] = (
 )
 
 
-def _months(t: Tables):
+def _months(t: Tables, *conditions):
+    """Orders per status and month, months numbered through the years."""
     day = F.col("o_orderdate")
-    return t["orders"].groupBy(
+    orders = t["orders"]
+    for condition in conditions:
+        orders = orders.filter(condition)
+    return orders.groupBy(
         "o_orderstatus", (F.year(day) * 12 + F.month(day) - 1).alias("month_number")
     ).agg(F.sum(F.col("o_totalprice").cast("decimal(15,2)")).alias("total"), F.count(F.lit(1)).alias("orders"))
 
@@ -130,7 +134,7 @@ _BY_STATUS = "(partition by o_orderstatus order by month_number)"
 
 def _busy_months(t: Tables):
     """The months without February, so that there are gaps."""
-    return _months(t).filter(F.pmod("month_number", F.lit(12)) != 1)
+    return _months(t, F.month("o_orderdate") != 2)
 
 
 OPERATORS["win_lag_pct"] = (
@@ -155,7 +159,7 @@ OPERATORS["win_lag_strict"] = (
     lambda t: period_change(
         _busy_months(t), ["o_orderstatus"], "month_number", "orders", "before", strict=True
     ).select("o_orderstatus", "month_number", "orders", "before"),
-    f"""with m as (select * from {_MONTHS} where month_number % 12 <> 1)
+    f"""with m as (select * from {_MONTHS.replace('from orders', 'from orders where month(o_orderdate) <> 2')})
         select a.o_orderstatus, a.month_number, a.orders, b.orders as before
         from m a left join m b on a.o_orderstatus = b.o_orderstatus and b.month_number = a.month_number - 1""",
 )

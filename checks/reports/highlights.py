@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from starmart.plans import highlights, notebook, players, teams
-from checks.sql import big_five, isum, msum, rounded
+from checks.sql import big_five, isum, rounded
 from checks.testmart import with_mart
 
 FEE = "transfer_fee) filter (where transfer_fee > 0"
@@ -108,13 +108,14 @@ REPORTS["q09_8"] = (highlights.q09_8, {}, with_mart("fact_appearances dim_player
     where {big_five()} and player_id <> -1 and country_of_citizenship <> 'N/A'
     group by country_of_citizenship having sum(goals) > 0 order by rank limit 10"""))
 
-_YEARS = f"""
+_YEAR_BASE = f"""
     , base as (
         select year, {PRICED} as transfers,
                cast({rounded(f'sum({FEE})', f'{PRICED} * 1000000', 2)} as decimal(18,2)) as mean_fee,
                {rounded('cast(quantile_cont(transfer_fee, 0.5) filter (where transfer_fee > 0) as decimal(18,2))', '1000000', 2)} as median_fee_m,
                {rounded('max(transfer_fee)', '1000000', 1)} as max_fee_m, {rounded(f'sum({FEE})', '1000000', 1)} as market_m
-        from fact_transfers join dim_date on transfer_date_id = date_id where year between 2012 and 2025 group by year)
+        from fact_transfers join dim_date on transfer_date_id = date_id where year between 2012 and 2025 group by year)"""
+_YEARS = f"""{_YEAR_BASE}
     select year, transfers, cast(mean_fee as double) as mean_fee_m, median_fee_m, max_fee_m, market_m,
            {rounded('mean_fee - lag(mean_fee) over (order by year)', 'lag(mean_fee) over (order by year)', 1, 100)} as change_pct
     from base"""
@@ -353,9 +354,8 @@ REPORTS["nb_reference_mean"] = (notebook.minute_bands, {}, with_mart("fact_game_
     select {_BAND_LABEL_CASE} as band, goals, share_pct,
            cast(sum(goals) over () as double) / count(*) over () as mean_goals
     from ({_BAND_QUERY}) b"""))
-REPORTS["nb_argmax"] = (notebook.dearest_year, {}, with_mart("fact_transfers dim_date", f"""
-    {_YEARS.replace('select year, transfers, cast(mean_fee', 'select year, cast(mean_fee', 1).split('median_fee_m, max_fee_m, market_m,')[0].rstrip().rstrip(',')}
-    from base order by mean_fee desc, year limit 1"""))
+REPORTS["nb_argmax"] = (notebook.dearest_year, {}, with_mart("fact_transfers dim_date", f"""{_YEAR_BASE}
+    select year, cast(mean_fee as double) as mean_fee_m from base order by mean_fee desc, year limit 1"""))
 REPORTS["nb_season_lines"] = (notebook.season_lines, {}, with_mart(_SEASON_TABLES, f"""{_SEASONS}
     select league, season, games, goals, cast(per_game as double) as goals_per_game,
            cast(sum(goals) over (partition by league) as double) / count(*) over (partition by league) as mean_goals

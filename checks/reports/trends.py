@@ -1,7 +1,7 @@
 """Check queries of the cross tables and trends."""
 
 from starmart.plans import crosstabs, trends
-from checks.sql import big_five, isum, msum, rounded
+from checks.sql import big_five, isum, rounded
 from checks.testmart import with_mart
 
 FEE = "transfer_fee) filter (where transfer_fee > 0"

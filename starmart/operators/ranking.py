@@ -53,7 +53,11 @@ def top_overall(
 def rank_columns(
     df: DataFrame, partition: Sequence[str], ranks: Mapping[str, Sequence[Column]], how: str = "dense_rank"
 ) -> DataFrame:
-    """Several ranks within the same groups, each with its own order."""
+    """Several ranks within the same groups, each with its own order.
+
+    A group is ranked by one task, so the frame should be aggregated to its entities (clubs of a
+    league), as every report does.
+    """
     for name, ordering in ranks.items():
         df = df.withColumn(name, _RANKS[how]().over(Window.partitionBy(*partition).orderBy(*ordering)))
     return df
@@ -94,7 +98,10 @@ def best_per_group(df: DataFrame, partition: Sequence[str], ordering: Sequence[C
 
 
 def kpi_ranking(df: DataFrame, key: str, kpis: Mapping[str, bool]) -> DataFrame:
-    """Rank every row on every KPI; ``True`` marks a KPI where lower is better."""
+    """Rank every row on every KPI; ``True`` marks a KPI where lower is better.
+
+    For scorecards with one row per entity: the values of a KPI are ranked by one task.
+    """
     values = [F.col(k).cast("double").alias(k) for k in kpis]
     long = df.select(key, *values).unpivot([key], list(kpis), "kpi", "value")
     lower_better = [k for k, lower in kpis.items() if lower]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import between, concat_text, matches, n_distinct, ratio, sum_case, sum_where
+from starmart.functions import concat_text, matches, n_distinct, ratio, sum_case, sum_where
 from starmart.operators import aggregate, any_of, dice, slice_, star_join, top_overall
 from starmart.plans.common import (
     BIG_FIVE,
