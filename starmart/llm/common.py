@@ -61,8 +61,13 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 2 << 20) ->
                 yield batch.slice(a, b - a)
 
 
-def words_in(text: Column) -> Column:
+def word_count(text: Column) -> Column:
     """The number of words of a text; null has none. Built-in functions only."""
-    # After trimming, words are one more than the runs of white space between them.
-    squeezed = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return F.when(squeezed == "", F.lit(0)).otherwise(F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "), F.lit(""))) + 1).cast("long")
+    # Each word becomes its first character and white space goes.
+    firsts = F.regexp_replace(text, r"[\x20\x09-\x0D]*([^\x20\x09-\x0D])[^\x20\x09-\x0D]*[\x20\x09-\x0D]*|[\x20\x09-\x0D]+", "$1")
+    return F.coalesce(F.length(firsts), F.lit(0)).cast("long")
+
+
+def sent_if_small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``most`` (narrow) rows; else leave the join to Spark."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import bpe, token_files
+from starmart.llm import bpe, merkle, mixing, token_files, toxicity
 from starmart.llm.common import new_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -28,6 +28,57 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder, crc=True)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150% takes of each document, sources weighed 3, 1, 2 in turn."""
+    mixed = mixing.mix(_read(spark, sf_dir, "documents"), (3, 1, 2), 1.5, 2.0, keep=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+OP2_SQL = """
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from documents
+), s as (
+  select source, sum(size)::bigint as source_size from d group by source
+), w as (
+  select *, 2.0::double * source_size as cap,
+    list_extract([3, 1, 2], ((row_number() over (order by source nulls last) - 1) % 3 + 1)::int) as weight
+  from s
+), r as (
+  select *, row_number() over o as place,
+    (1.5::double * (sum(source_size) over ())::double - coalesce((sum(cap) over (o rows between unbounded preceding and 1 preceding)), 0.0))
+    / (sum(weight) over (o rows between current row and unbounded following))::double as each
+  from w window o as (order by cap / weight, source nulls last)
+), f as (
+  select min(place) as first_place, arg_min(each, place) as each from r where each * weight <= cap
+), t as (
+  select r.source, source_size, case when place >= first_place then f.each * weight else cap end as target,
+    ('0x' || substr(md5('0:' || coalesce('s' || source, 'n')), 1, 5))::bigint / 1048576.0::double as u
+  from r left join f on true
+), p as (
+  select d.doc_id, d.size, t.source_size, t.target, t.u,
+    case when t.source_size > 0 then t.target / t.source_size else 0.0::double end as rate,
+    row_number() over (partition by d.source order by d.size, d.doc_id nulls first) - 1 as pos
+  from d join t on d.source is not distinct from t.source
+), c as (
+  select *, (floor(rate * (pos + 1) + u) - floor(rate * pos + u))::bigint as copies from p
+)
+select doc_id, size, source_size, target, copies * size as taken, copies from c
+"""
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, _read(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", toxicity.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted", "evidence")
+
+
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint all documents, their edited texts, and compare both with the next document."""
+    return merkle.compare_with_edited(_read(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents."""
     return bpe.encode_decode(_read(spark, sf_dir, "documents"), _vocabulary(), digests=True)
@@ -35,7 +86,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
+    "op4_toxicity": op4_toxicity,
+    "op9_merkle": op9_merkle,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_mixing": OP2_SQL}
