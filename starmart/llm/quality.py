@@ -3,9 +3,10 @@
 Rules count words, symbols, repeated lines and repeated 5-word windows of a text. The perplexity is
 that of a modified Kneser-Ney model over characters (``ORDER``-grams, one model per language),
 which a text made of other scripts, capitals, symbols or lists fits badly and a monotonous one too
-well. A language's band lies ``WIDTH`` quartile distances around the quartiles of its texts'
-log-perplexity; a text is rejected if it lies outside by more than its own sampling error, so short
-texts are not rejected by chance.
+well. A text's log-perplexity is its negative log-probability per word. How far it strays from the
+language's median shrinks with the root of the number of words, so the band is set on that
+distance times the root: ``WIDTH`` quartile distances beyond its quartiles, upper and lower. Short
+texts are then not rejected by chance.
 
 Counting: tasks count the n-grams of whole texts, Spark sums them; continuation counts, counts of
 counts, discounts and back-off weights are aggregations of that table. The model sent to the tasks
@@ -14,8 +15,8 @@ holds sorted arrays of hashes with one value each. An n-gram is in it if its cou
 weight of the others goes to the lower order, which keeps the probabilities of a context at 1.
 
 Nulls: a null text is empty, a null language is a language of its own. Texts without characters
-have no perplexity and fail the rules. Equal rows get equal results. With a single text in a
-language the band has no width but the sampling error.
+have no perplexity and fail the rules. Equal rows get equal results. A language
+with a single text keeps it, as it is its own median.
 """
 
 from collections.abc import Iterator
@@ -30,8 +31,7 @@ from starmart.llm.common import as_bytes, bounded_batches, pieces, sent_if_small
 ORDER = 5
 BITS = 12  # of a character's code in an n-gram
 LEAST_SHARE = 1.0 / (1 << 20)
-WIDTH = 4.0
-ERRORS = 4.0
+WIDTH = 2.5
 FLUSH = 2_000_000  # n-grams that a task holds before it hands counts on
 
 # The rules.
@@ -163,22 +163,14 @@ class Model:
             p = self._find(self.values[n], self.key(lang, part), 0.0) + weight * p
         return np.log(p)
 
-    def fit_of(self, name, texts: list[bytes]) -> list[tuple]:
-        """Mean and standard error of the negative log-probability of each text; None if empty."""
+    def losses(self, name, texts: list[bytes]) -> list[float]:
+        """Negative log-probability of each text."""
         gram, starts = grams(texts)
         if not len(gram):
-            return [(None, None)] * len(texts)
+            return [0.0] * len(texts)
         each, place = np.unique(gram, return_inverse=True)
-        loss = -self.log_probability(name, each)[place]
-        first, second = (np.concatenate([[0.0], np.cumsum(x)]) for x in (loss, loss * loss))
-        out = []
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            if a == b:
-                out.append((None, None))
-                continue
-            mean = (first[b] - first[a]) / (b - a)
-            out.append((float(mean), float(np.sqrt(max(0.0, (second[b] - second[a]) / (b - a) - mean * mean) / (b - a)))))
-        return out
+        sums = np.concatenate([[0.0], np.cumsum(-self.log_probability(name, each)[place])])
+        return (sums[starts[1:]] - sums[starts[:-1]]).tolist()
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
@@ -234,7 +226,7 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
 
     Returns ``key``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed``, ``kept``, ``log_perplexity``, and the language's
-    ``lower`` and ``upper``. Other columns are not read.
+    ``lower`` and ``upper`` for as many words. Other columns are not read.
     """
     spark = df.sparkSession
     bounded_batches(spark)
@@ -246,26 +238,37 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
         m = sent.value
         for batch in pieces(batches, "text"):
             texts, names = as_bytes(batch.column("text")), batch.column("lang").to_pylist()
-            found: list = [(None, None)] * len(texts)
+            found = [0.0] * len(texts)
             for name in set(names):
                 at = [i for i, x in enumerate(names) if x == name]
-                for i, result in zip(at, m.fit_of(name, [texts[i] for i in at])):
+                for i, result in zip(at, m.losses(name, [texts[i] for i in at])):
                     found[i] = result
             columns = [pa.array(c, pa.int64()) for c in zip(*map(rules, texts))]
-            columns += [pa.array(c, pa.float64()) for c in zip(*found)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *columns], ["key", "lang", *numbers, "log_perplexity", "error"])
+            columns.append(pa.array(found, pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *columns], ["key", "lang", *numbers, "loss"])
 
     source = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
     kinds = ", ".join(f"{n} long" for n in numbers)
-    found = written(source.mapInArrow(judged, f"key {kind}, lang string, {kinds}, log_perplexity double, error double"), "quality")
+    found = written(source.mapInArrow(judged, f"key {kind}, lang string, {kinds}, loss double"), "quality")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    found = found.withColumn("base_failed", failed)
-    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000)
-    bands = found.filter("not base_failed").groupBy(F.col("lang").alias("_lang")).agg(quartiles.alias("q"))
-    width = WIDTH * (F.col("q")[1] - F.col("q")[0])
-    bands = bands.select("_lang", (F.col("q")[0] - width).alias("lower"), (F.col("q")[1] + width).alias("upper"))
-    rows = found.join(sent_if_small(bands), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    error = ERRORS * F.col("error")
-    inside = (F.col("log_perplexity") + error >= F.col("lower")) & (F.col("log_perplexity") - error <= F.col("upper"))
+    words = F.col("n_words")
+    found = found.withColumns({"base_failed": failed, "log_perplexity": F.when(words > 0, F.col("loss") / words)})
+
+    def quartiles(rows: DataFrame, column: str) -> DataFrame:
+        q = F.percentile_approx(column, [0.25, 0.5, 0.75], 10_000)
+        return rows.filter("not base_failed").groupBy(F.col("lang").alias("_lang")).agg(q.alias("_q"))
+
+    def beside(rows: DataFrame, bands: DataFrame) -> DataFrame:
+        return rows.join(sent_if_small(bands), F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
+
+    rows = beside(found, quartiles(found, "log_perplexity")).withColumn("_median", F.col("_q")[1]).drop("_q")
+    rows = rows.withColumn("_stray", (F.col("log_perplexity") - F.col("_median")) * F.sqrt(words))
+    rows = beside(rows, quartiles(rows, "_stray"))
+    width = WIDTH * (F.col("_q")[2] - F.col("_q")[0])
+    rows = rows.withColumns({
+        "lower": F.col("_median") + (F.col("_q")[0] - width) / F.sqrt(words),
+        "upper": F.col("_median") + (F.col("_q")[2] + width) / F.sqrt(words),
+    })
+    inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
     return rows.select(F.col("key").alias(key), *numbers, "base_failed", kept.alias("kept"), "log_perplexity", "lower", "upper")
