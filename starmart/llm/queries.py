@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import bpe, merkle, mixing, quality, token_files, toxicity
+from starmart.llm import bpe, merkle, mixing, pages, quality, token_files, toxicity
 from starmart.llm.common import new_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -74,6 +74,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted", "evidence")
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return pages.extract(_read(spark, sf_dir, "pages"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and perplexity verdict of all documents."""
     return quality.assess(_read(spark, sf_dir, "documents"))
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
+    "op6_pages": op6_pages,
     "op8_quality": op8_quality,
     "op9_merkle": op9_merkle,
 }
