@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import bpe, merkle, mixing, pages, quality, token_files, toxicity
+from starmart.llm import bpe, merkle, mixing, pages, quality, repeats, substrings, token_files, toxicity
 from starmart.llm.common import new_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -74,6 +74,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted", "evidence")
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that 13-word windows of smaller documents leave."""
+    return substrings.dedupe(_read(spark, sf_dir, "documents"), digests=True)
+
+
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that no repeated 200-byte string covers."""
+    return repeats.dedupe(_read(spark, sf_dir, "documents"), digests=True)
+
+
 def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return pages.extract(_read(spark, sf_dir, "pages"))
@@ -99,7 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
+    "op5_substrings": op5_substrings,
     "op6_pages": op6_pages,
+    "op7_repeats": op7_repeats,
     "op8_quality": op8_quality,
     "op9_merkle": op9_merkle,
 }
