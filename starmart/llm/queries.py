@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import bpe, merkle, mixing, pages, quality, repeats, substrings, token_files, toxicity
+from starmart.llm import bpe, jaccard, merkle, mixing, pages, quality, repeats, substrings, token_files, toxicity
 from starmart.llm.common import new_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -99,6 +99,11 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_edited(_read(spark, sf_dir, "documents"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under Jaccard similarity of 5-word shingles."""
+    return jaccard.join(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents."""
     return bpe.encode_decode(_read(spark, sf_dir, "documents"), _vocabulary(), digests=True)
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_repeats": op7_repeats,
     "op8_quality": op8_quality,
     "op9_merkle": op9_merkle,
+    "op10_jaccard": op10_jaccard,
 }
 
 SQL: dict[str, str] = {"op2_mixing": OP2_SQL}
