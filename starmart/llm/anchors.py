@@ -16,7 +16,7 @@ A batch holds about ``batch_bytes`` of text (or one longer text). What many text
 bucket at most once from a batch. The texts are shuffled once and that exchange is used three times.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -196,24 +196,31 @@ def _bits(table: pa.Table) -> dict[int, bytes]:
     return dict(zip(table.column("bucket").to_pylist(), table.column("bits").to_pylist()))
 
 
-def search(df: DataFrame, key: str, text: str, task: Task, finish: Callable, schema: str) -> DataFrame:
+def search(df: DataFrame, key: str, text: str, task: Task, finish: Callable, schema: str, carry: Sequence[str] = ()) -> DataFrame:
     """Search all texts for repeated windows.
 
-    ``finish(keys, units, marked)`` makes a batch's result rows, a table of ``schema``; ``marked``
-    is an array with the number of marked windows over each unit.
+    ``finish(keys, units, marked)`` makes a batch's result rows, a table of ``schema``, one row per
+    text in order; ``marked`` is an array with the number of marked windows over each unit. The
+    columns named in ``carry`` are passed on with each row.
     """
     spark = df.sparkSession
     bounded_batches(spark)
-    source = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    columns = [F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")]
+    if carry:
+        columns.append(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carry"))
+    source = df.select(*columns)
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // task.batch_bytes))
     # The place in a batch must not depend on how rows arrive, so a batch is sorted by key and text.
     source = source.withColumn("batch", F.pmod(F.xxhash64("key", "text"), F.lit(n)))
 
-    def read(table: pa.Table) -> tuple[list, list[bytes]]:
+    def ordered(table: pa.Table) -> tuple[list, list[bytes], list[int]]:
         keys, texts = table.column("key").to_pylist(), as_bytes(table.column("text"))
         order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, 0 if keys[i] is None else keys[i], texts[i]))
-        return [keys[i] for i in order], [texts[i] for i in order]
+        return [keys[i] for i in order], [texts[i] for i in order], order
+
+    def read(table: pa.Table) -> tuple[list, list[bytes]]:
+        return ordered(table)[:2]
 
     def ask(table: pa.Table) -> pa.Table:
         batch = Batch(task, read(table)[1])
@@ -288,7 +295,7 @@ def search(df: DataFrame, key: str, text: str, task: Task, finish: Callable, sch
         })
 
     def mark(table: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, texts = read(table)
+        keys, texts, order = ordered(table)
         batch, bits = Batch(task, texts), _bits(answers)
         ranges = dict(zip(answers.column("bucket").to_pylist(), answers.column("ranges").to_pylist()))
         size = int(batch.units.offsets[-1])
@@ -316,7 +323,8 @@ def search(df: DataFrame, key: str, text: str, task: Task, finish: Callable, sch
                     closed.append(first + a + s - 1 + task.window)
         np.add.at(edge, np.array(opened, dtype=np.int64), 1)
         np.add.at(edge, np.array(closed, dtype=np.int64), -1)
-        return finish(keys, batch.units, np.cumsum(edge[:-1]))
+        result = finish(keys, batch.units, np.cumsum(edge[:-1]))
+        return result.append_column("carry", table.column("carry").take(pa.array(order, pa.int64()))) if carry else result
 
     asked = source.groupBy("batch").applyInArrow(ask, "bucket long, batch long, values binary, repeated binary")
     answered = asked.groupBy("bucket").applyInArrow(answer, "batch long, bucket long, bits binary")
@@ -324,4 +332,8 @@ def search(df: DataFrame, key: str, text: str, task: Task, finish: Callable, sch
         cut, "bucket long, batch long, bits binary, cuttings array<binary>, own array<long>"
     )
     found = sent.groupBy("bucket").applyInArrow(look, "batch long, bucket long, bits binary, ranges binary")
+    if carry:
+        kind = source.schema["carry"].dataType.simpleString()
+        result = source.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(mark, f"{schema}, carry {kind}")
+        return result.select(*[c for c in result.columns if c != "carry"], *[F.col("carry").getField(c).alias(c) for c in carry])
     return source.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(mark, schema)

@@ -11,7 +11,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 
 
-def _vocabulary() -> str:
+def vocabulary() -> str:
+    """The vocabulary file of the queries."""
     import public_tokenizers
 
     return public_tokenizers.path(VOCABULARY)
@@ -24,7 +25,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as token files and read starts, lengths and checksums back."""
     folder = new_folder(spark, "tokens")
-    token_files.write_tokens(_read(spark, sf_dir, "documents"), folder, _vocabulary(), END_ID)
+    token_files.write_tokens(_read(spark, sf_dir, "documents"), folder, vocabulary(), END_ID)
     return token_files.read_tokens(spark, folder, crc=True)
 
 
@@ -106,7 +107,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents."""
-    return bpe.encode_decode(_read(spark, sf_dir, "documents"), _vocabulary(), digests=True)
+    return bpe.encode_decode(_read(spark, sf_dir, "documents"), vocabulary(), digests=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

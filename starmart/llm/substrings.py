@@ -13,6 +13,7 @@ keys do not remove each other's words. An empty table gives no rows.
 """
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -133,12 +134,13 @@ def _wanted(windows: np.ndarray, own: int) -> np.ndarray | None:
     return lower if lower.any() else None
 
 
-def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
+def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Remove words covered by windows of smaller documents.
 
-    ``key`` must be an integer column. Returns ``key``, ``n_words``, ``n_removed`` and ``kept``
-    (the words left, joined by a space), or with ``digests`` its ``kept_sha256``. Other columns
-    are not read.
+    ``key`` must be an integer column. Returns ``key``, ``n_words``, ``n_removed`` and ``kept``: the
+    text itself where nothing is removed, else the words left, joined by a space. With ``digests``
+    it is ``kept_sha256`` of the words left, joined by a space. Columns named in ``carry`` follow
+    unchanged; others are not read.
     """
     kind = df.schema[key].dataType.simpleString()
     name = "kept_sha256" if digests else "kept"
@@ -152,11 +154,12 @@ def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", digests: bool
             words = units.words[a:b] if not n else [units.words[i] for i in (a + np.flatnonzero(~gone[a:b])).tolist()]
             joined = b" ".join(words)
             removed.append(n)
-            kept.append(hashlib.sha256(joined).hexdigest() if digests else joined.decode("utf-8", "replace"))
+            whole = joined if n else units.texts[len(removed) - 1]
+            kept.append(hashlib.sha256(joined).hexdigest() if digests else whole.decode("utf-8", "replace"))
         return pa.table({
             key: pa.array(keys, key_type), "n_words": pa.array(np.diff(units.offsets), pa.int64()),
             "n_removed": pa.array(removed, pa.int64()), name: pa.array(kept, pa.string()),
         })
 
     task = Task(Words, WINDOW, GRAM, BATCH_BYTES, min, _own, first_documents, _wanted)
-    return search(df, key, text, task, finish, f"{key} {kind}, n_words long, n_removed long, {name} string")
+    return search(df, key, text, task, finish, f"{key} {kind}, n_words long, n_removed long, {name} string", carry)
