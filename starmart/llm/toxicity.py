@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Learning: over all labelled rows of the learning part, each term's documents are counted by label;
-the terms that speak for label 1 (log-odds with its standard error, ``LEAST_Z``; at most
-``MOST_TERMS``, the strongest) are the vocabulary. Labelled texts with a term of it are examples;
+the terms that speak for label 1 (odds of at least ``LEAST_ODDS`` to 1 that are ``LEAST_Z`` standard
+errors from even; at most ``MOST_TERMS``, the surest) are the vocabulary. Labelled texts with a term of it are examples;
 a bounded sample, at most ``MOST_EXAMPLES`` of each label, those with the smallest hash of their
 text, goes into the index, and votes are weighed so that the sample stands for all of them.
 
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import as_bytes, bounded_batches, pieces, sent_if_small, written
 
 LEAST_Z = 3.0
+LEAST_ODDS = 3.0
 MOST_TERMS = 4096
 MOST_EXAMPLES = 2048
 BLOCK = 64
@@ -149,7 +150,8 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     a, b = F.col("n1") + 0.5, F.col("n0") + 0.5
     odds = F.log(a / (n1 - F.col("n1") + 0.5)) - F.log(b / (n0 - F.col("n0") + 0.5))
     z = odds / F.sqrt(1 / a + 1 / b)
-    chosen = sums.filter("term <> X''").select("term", (F.col("n0") + F.col("n1")).alias("n"), z.alias("z")).filter(F.col("z") >= LEAST_Z)
+    chosen = sums.filter("term <> X''").select("term", (F.col("n0") + F.col("n1")).alias("n"), z.alias("z"), odds.alias("odds"))
+    chosen = chosen.filter((F.col("z") >= LEAST_Z) & (F.col("odds") >= float(np.log(LEAST_ODDS))))
     chosen = chosen.orderBy(F.desc("z"), "term").limit(MOST_TERMS).collect()
     vocabulary = {bytes(r.term): i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + n0 + n1) / (1 + r.n)) + 1 for r in chosen])
