@@ -22,7 +22,7 @@ similarity are taken in the index's order. Without labelled rows every score is
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ BLOCK = 64
 NEIGHBOURS = 24
 PRIOR_VOTES = 0.5
 MOST_LABELS_SENT = 1_000_000  # more labels are joined by a shuffle
+REMEMBERED = 20_000  # different term counts whose scores a task remembers
 FLUSH = 300_000  # terms that a task counts before it hands counts on
 
 # ASCII letters in lower case; what is no letter, digit or part of a UTF-8 character ends a term.
@@ -63,6 +64,7 @@ class Model:
     examples: np.ndarray
     weights: np.ndarray
     largest: np.ndarray  # of a term in a block
+    answers: dict = field(default_factory=dict)
 
     @property
     def blocks(self) -> int:
@@ -82,11 +84,11 @@ class Model:
         for block in order.tolist():
             if bounds[block] <= 0 or bounds[block] < least - 1e-12:
                 break
-            sums = np.zeros(BLOCK)
-            for term, weight in zip(t.tolist(), w.tolist()):
-                a, b = self.starts[term * self.blocks + block], self.starts[term * self.blocks + block + 1]
-                if b > a:
-                    sums[self.examples[a:b] - block * BLOCK] += weight * self.weights[a:b]
+            cell = t * self.blocks + block
+            first = self.starts[cell]
+            sizes = self.starts[cell + 1] - first
+            at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            sums = np.bincount(self.examples[at] - block * BLOCK, weights=np.repeat(w, sizes) * self.weights[at], minlength=BLOCK)
             found = np.flatnonzero(sums > 0)
             best, score = np.concatenate([best, found + block * BLOCK]), np.concatenate([score, sums[found]])
             if len(best) > NEIGHBOURS:
@@ -97,6 +99,16 @@ class Model:
         return best[nearest], score[nearest]
 
     def score(self, counts: dict[int, int]) -> tuple[float, list]:
+        """Score and evidence; many short texts have the same few terms, which are looked up once."""
+        known = tuple(sorted(counts.items()))
+        found = self.answers.get(known)
+        if found is None:
+            if len(self.answers) >= REMEMBERED:
+                self.answers.clear()
+            found = self.answers[known] = self._score(counts)
+        return found
+
+    def _score(self, counts: dict[int, int]) -> tuple[float, list]:
         best, cosine = self.neighbours(*self.vector(counts)) if counts and len(self.labels) else ([], np.zeros(0))
         if not len(best):
             return self.prior, []
