@@ -26,7 +26,7 @@ from starmart.operators import (
 from starmart.plans import loads
 from starmart.session import shared_folder
 from starmart.sources import date_dimension, load_metrics, read_csv, read_table, write_table
-from checks.sources import raw_tables, with_raw
+from checks.sources import BUILT, RAW, raw_tables, with_raw
 from checks.testmart import Tables, with_mart
 
 OPERATORS: dict[str, tuple] = {}
@@ -52,6 +52,20 @@ def _csv_round_trip(t: Tables):
     return read_csv(t.spark, f"{root}/customer.csv", ["c_custkey", "c_mktsegment"])
 
 
+def _csv_with_breaks(t: Tables):
+    """Write customers whose names hold quotes, commas and line breaks, and read them back."""
+    root = _folder(t)
+    name = F.concat(F.lit('"'), "c_name", F.lit('",\n'), "c_mktsegment")
+    rows = t["customer"].select(F.col("c_custkey").cast("string").alias("c_custkey"), name.alias("c_name"))
+    rows.write.option("header", True).option("escape", '"').csv(f"{root}/customer.csv")
+    return read_csv(t.spark, f"{root}/customer.csv", multi_line=True)
+
+
+OPERATORS["src_csv_multiline"] = (
+    _csv_with_breaks,
+    """select cast(c_custkey as varchar) as c_custkey, '"' || c_name || '",' || chr(10) || c_mktsegment as c_name
+       from customer""",
+)
 OPERATORS["src_csv"] = (
     _csv_round_trip,
     """select cast(c_custkey as varchar) as c_custkey,
@@ -344,7 +358,46 @@ def _load_everything(t: Tables):
     root = _folder(t)
     for name, rows in raw_tables(t.spark, t.sf_dir).items():
         rows.drop("_row_order").write.option("header", True).csv(f"{root}/csv/{name}.csv")
-    return loads.load_all(t.spark, f"{root}/csv", f"{root}/tables").select("check_type", "check_name", "ok")
+    return loads.load_all(t.spark, f"{root}/csv", f"{root}/tables")
+
+
+def _view(table: str) -> str:
+    return table if table == "dim_date" else "built_" + table.removeprefix("dim_")
+
+
+def _status_sql() -> str:
+    """The status of a full load: counts of the tables that must come out, and their orphans."""
+    files = sorted({s for _, sources, _ in loads.JOBS.values() for s in sources})
+    parts = [f"select 'bad_lines' as check_type, '{f}' as check_name, 0 as found" for f in files]
+    for table in ("dim_date", *loads.JOBS):
+        parts.append(f"select 'rows_loaded', '{table}', count(*) from {_view(table)}")
+        parts.append(f"select 'nulls', '{table}', 0")
+    for name, (fact, column, dim, key) in loads.foreign_keys({n: n for n in ("dim_date", *loads.JOBS)}).items():
+        parts.append(
+            f"select 'orphans', '{name}', count(*) from {_view(fact)} "
+            f"where {column} is null or {column} not in (select {key} from {_view(dim)})"
+        )
+    rows = " union all ".join(parts)
+    return f"""select check_type, check_name, cast(found as bigint) as found,
+                      check_type = 'rows_loaded' or found = 0 as ok from ({rows}) s"""
 
 
-OPERATORS["job_all"] = (_load_everything, None)
+OPERATORS["job_all"] = (_load_everything, with_raw(" ".join([*RAW, "dim_date", *BUILT]), _status_sql()))
+
+
+def _load_rates(t: Tables):
+    """Rows of the source files against rows loaded, after a full load."""
+    root = _folder(t)
+    for name, rows in raw_tables(t.spark, t.sf_dir).items():
+        rows.drop("_row_order").write.option("header", True).csv(f"{root}/csv/{name}.csv")
+    loads.load_all(t.spark, f"{root}/csv", f"{root}/tables")
+    return loads.source_load_rate(t.spark, f"{root}/csv", f"{root}/tables").select("table_name", "source_rows", "loaded_rows")
+
+
+_RATES = " union all ".join(
+    f"select '{table}' as table_name, (select count(*) from raw_{sources[0]}) as source_rows, (select count(*) from {_view(table)}) as loaded_rows"
+    for table, (_, sources, _) in loads.JOBS.items()
+)
+OPERATORS["dq_source_load_rate"] = (_load_rates, with_raw(" ".join([*RAW, "dim_date", *BUILT]), f"""
+    select * from ({_RATES}) r
+    union all select 'TOTAL', cast(sum(source_rows) as bigint), cast(sum(loaded_rows) as bigint) from ({_RATES}) r"""))

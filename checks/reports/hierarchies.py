@@ -108,32 +108,32 @@ REPORTS["q04_1c"] = (hierarchies.q04_1c, {}, _attendance(
     "year = 2023 and quarter = 1", "year, month, month_name"))
 
 REPORTS["q04_2a"] = (hierarchies.q04_2a, {}, with_mart("fact_appearances dim_date dim_competitions", f"""
-    select comp.name as league, {isum('goals')} as goals
+    select 'Nivel 1: Liga' as level, comp.name as league, {isum('goals')} as goals
     from fact_appearances a join dim_date using (date_id) join dim_competitions comp using (competition_id)
     where {big_five()} and season_start_year = 2022 group by comp.name"""))
 
 REPORTS["q04_2b"] = (hierarchies.q04_2b, {}, with_mart("fact_appearances dim_date dim_clubs", f"""
-    select c.name as club, {isum('goals')} as goals, count(distinct player_id) as players
+    select 'Nivel 2: Club' as level, c.name as club, {isum('goals')} as goals, count(distinct player_id) as players
     from fact_appearances join dim_date using (date_id) join dim_clubs c using (club_id)
     where competition_id = 'ES1' and season_start_year = 2022
     group by c.name having sum(goals) > 0 order by goals desc, club limit 15"""))
 
 REPORTS["q04_2c"] = (hierarchies.q04_2c, {"club": "%NATION_15%"}, with_mart("fact_appearances dim_date dim_clubs dim_players", f"""
-    select p.name as player, p.position as position, {isum('goals')} as goals, {isum('assists')} as assists,
-           count(distinct game_id) as games, {isum('minutes_played')} as minutes
+    select 'Nivel 3: Jugador' as level, p.name as player, p.position as position, {isum('goals')} as goals,
+           {isum('assists')} as assists, count(distinct game_id) as games, {isum('minutes_played')} as minutes
     from fact_appearances a join dim_date using (date_id) join dim_clubs c using (club_id)
          join dim_players p using (player_id)
     where competition_id = 'ES1' and season_start_year = 2022 and c.name ilike '%nation_15%'
     group by p.name, p.position having sum(goals) > 0"""))
 
 REPORTS["q04_3a"] = (hierarchies.q04_3a, {}, with_mart("fact_player_valuations dim_date dim_competitions", """
-    select confederation, cast(sum(market_value_in_eur) filter (where market_value_in_eur > 0) as double) as value,
+    select 'Nivel 1: Confederacion' as level, confederation, cast(sum(market_value_in_eur) filter (where market_value_in_eur > 0) as double) as value,
            count(distinct player_id) as players
     from fact_player_valuations join dim_date using (date_id) join dim_competitions using (competition_id)
     where year = 2024 and month = 1 group by confederation"""))
 
 REPORTS["q04_3b"] = (hierarchies.q04_3b, {}, with_mart("fact_player_valuations dim_date dim_competitions", f"""
-    select name as league, cast(sum(market_value_in_eur) filter (where market_value_in_eur > 0) as double) as value,
+    select 'Nivel 2: Liga' as level, name as league, cast(sum(market_value_in_eur) filter (where market_value_in_eur > 0) as double) as value,
            count(distinct player_id) as players,
            {rounded('sum(market_value_in_eur) filter (where market_value_in_eur > 0)',
                     'count(*) filter (where market_value_in_eur > 0)', 0)} as mean_value

@@ -136,6 +136,11 @@ def _int(column: str) -> str:
     return f"coalesce(try_cast({column} as int), cast(try_cast({column} as double) as int))"
 
 
+def _absent(columns: str) -> str:
+    """Text columns of a table that its source does not have."""
+    return ", ".join(f"'N/A' as {c}" for c in columns.split())
+
+
 # What each load must produce, written against the source rows.
 BUILT = {
     "built_competitions": f"""
@@ -162,6 +167,11 @@ BUILT = {
         union all
         select -1, 'N/A', 'Desconocido', 'N/A', -1, -1, -1, -1, -1, -1, 'N/A', -1, 'N/A', 'N/A', -1, 'N/A'""",
     "built_players": f"""
+        select *, {_absent(
+            "first_name last_name player_code country_of_birth city_of_birth sub_position foot agent_name image_url url "
+            "current_club_domestic_competition_id current_club_name"
+        )}
+        from (
         select {_int('player_id')} as player_id, coalesce(name, 'N/A') as name, coalesce({_int('last_season')}, -1) as last_season,
                coalesce({_int('current_club_id')}, -1) as current_club_id,
                coalesce(country_of_citizenship, 'N/A') as country_of_citizenship,
@@ -172,7 +182,7 @@ BUILT = {
                coalesce(try_cast(highest_market_value_in_eur as decimal(15,2)), -1) as highest_market_value_in_eur
         from (select *, row_number() over (partition by player_id order by _row_order) as rn from raw_players) r where rn = 1
         union all
-        select -1, 'Desconocido', -1, -1, 'N/A', date '1900-01-01', 'N/A', -1, date '9999-12-31', -1, -1""",
+        select -1, 'Desconocido', -1, -1, 'N/A', date '1900-01-01', 'N/A', -1, date '9999-12-31', -1, -1) p""",
     "built_games": f"""
         select * from (
             select {_int('game_id')} as game_id, competition_id, coalesce({_int('season')}, -1) as season,
@@ -181,7 +191,8 @@ BUILT = {
                    coalesce(home_club_name, 'N/A') as home_club_name, coalesce(away_club_name, 'N/A') as away_club_name,
                    coalesce({_int('attendance')}, -1) as attendance,
                    coalesce(left(home_club_formation, 20), 'N/A') as home_club_formation,
-                   coalesce(left(away_club_formation, 20), 'N/A') as away_club_formation
+                   coalesce(left(away_club_formation, 20), 'N/A') as away_club_formation,
+                   {_absent("stadium referee url home_club_manager_name away_club_manager_name aggregate competition_type")}
             from raw_games) g
         where date is not null and home_club_id in (select club_id from built_clubs)
           and away_club_id in (select club_id from built_clubs)

@@ -45,10 +45,16 @@ def to_number(column: ColumnOrName, data_type: str | DataType) -> Column:
     return numeric.try_cast(data_type)
 
 
-def to_date_lenient(column: ColumnOrName) -> Column:
-    """Date from text, NULL when the text is no date."""
+def to_date_lenient(column: ColumnOrName, formats: Sequence[str] = ()) -> Column:
+    """Date from text, NULL when the text is no date.
+
+    ISO dates are always understood; ``formats`` lists further ones, such as ``dd/MM/yyyy``, which
+    are tried in turn.
+    """
     column = as_column(column)
-    return F.when(column.cast("string").rlike(DATE_PATTERN), column).try_cast("date")
+    iso = F.when(column.cast("string").rlike(DATE_PATTERN), column).try_cast("date")
+    others = [F.try_to_timestamp(F.trim(column.cast("string")), F.lit(f)).cast("date") for f in formats]
+    return F.coalesce(iso, *others) if others else iso
 
 
 def date_id(column: ColumnOrName) -> Column:
@@ -65,8 +71,8 @@ def season_of(column: ColumnOrName, first_month: int = 7) -> Column:
 
 def season_start(column: ColumnOrName, pivot: int = 50) -> Column:
     """``23/24`` to 2023, ``99/00`` to 1999; anything else to -1."""
-    digits = F.regexp_extract(as_column(column), r"^\s*(\d{1,9})\s*/[^/]*$", 1)
-    year = F.nullif(digits, F.lit("")).cast("int")
+    digits = F.regexp_extract(as_column(column), r"^\s*(\d+)\s*/[^/]*$", 1)
+    year = F.nullif(digits, F.lit("")).try_cast("int")
     full = F.when(year < pivot, year + 2000).otherwise(year + 1900)
     return F.coalesce(full, F.lit(-1))
 
@@ -74,14 +80,18 @@ def season_start(column: ColumnOrName, pivot: int = 50) -> Column:
 # Fee texts that mean "no fee paid", and the multipliers of the unit letters.
 FREE_FEES = ("free", "loan", "free transfer", "-", "?")
 FEE_UNITS = {"m": 1_000_000, "k": 1_000}
-FEE_PATTERN = r"([\d.]+)\s*([mk])?"
+
+# The first number of the text, and the unit letter right behind it.
+FEE_NUMBER = r"^[^0-9.]*([0-9.]+)"
+FEE_UNIT = FEE_NUMBER + r"\s*(m|k)"
 
 
 def money(column: ColumnOrName) -> Column:
     """Amount from text such as ``€50.00m``; 0 for free moves, NULL without a number."""
     text = F.lower(F.trim(as_column(column)))
-    amount = F.nullif(F.regexp_extract(text, FEE_PATTERN, 1), F.lit("")).try_cast("decimal(20,6)")
-    unit = F.regexp_extract(text, FEE_PATTERN, 2)
+    number = F.regexp_extract(text, FEE_NUMBER, 1)
+    amount = F.when(number.rlike(NUMBER_PATTERN), number).try_cast("decimal(20,6)")
+    unit = F.regexp_extract(text, FEE_UNIT, 2)
     factor = F.lit(1)
     for letter, size in FEE_UNITS.items():
         factor = F.when(unit == letter, F.lit(size)).otherwise(factor)
@@ -160,12 +170,13 @@ def ratio(numerator: Column, denominator: Column, digits: int | None = None, fac
     """``factor * numerator / denominator``, NULL on a zero denominator.
 
     With ``digits`` the quotient is exact decimal arithmetic rounded half-up; without, a double.
-    Inputs of the exact form must be whole numbers or decimals: up to four digits above, two below.
+    Inputs of the exact form must be whole numbers or decimals, with up to four decimals above and
+    two below the line, and below 10^22 and 10^20.
     """
     denominator = F.nullif(denominator, F.lit(0))
     if digits is None:
         return numerator.cast("double") * factor / denominator.cast("double")
-    exact = (numerator * F.lit(factor)).cast("decimal(26,4)") / denominator.cast("decimal(18,2)")
+    exact = (numerator * F.lit(factor)).cast("decimal(26,4)") / denominator.cast("decimal(22,2)")
     return F.round(exact, digits)
 
 

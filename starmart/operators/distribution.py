@@ -1,8 +1,9 @@
 """Global order at scale: running sums, positions and medians without a one-task sort.
 
-The rows are range-partitioned by the order columns, each range is summed, and the sums of the
-earlier ranges become the offset of a range. The ranges are written to the shared folder before
-they are summed: a range split samples its input, and both uses must see the same split.
+The rows are written once, range-partitioned by the order columns, sorted within each range and
+written again with their range and place in it; the sums of the earlier ranges become the offset of
+a range. The first write keeps what is upstream from running twice (a range split samples its
+input); the second fixes the split, so that sums and rows see the same one.
 """
 
 from collections.abc import Sequence
@@ -25,13 +26,13 @@ def prefix_sums(
     ``total`` names a column for the sum over all rows.
 
     ``order`` must be total for the result to be repeatable; it also lets equal leading values
-    fall into several ranges, so a frequent value does not end up in one task.
+    fall into several ranges, so a frequent value does not end up in one task. Positions follow from
+    range and place alone; sums of a weight need a window within each range.
     """
-    weight = F.lit(1).cast("long") if weight is None else weight
-    ranges = df.repartitionByRange(*order).withColumns(
-        {"_range": F.spark_partition_id(), "_weight": weight}
-    )
-    ranges = cut_lineage(ranges)
+    placed = {"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
+    weights = {"_weight": F.lit(1).cast("long") if weight is None else weight}
+    ranges = cut_lineage(df).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = cut_lineage(ranges.withColumns({**placed, **weights}))
     sums = ranges.groupBy("_range").agg(F.sum("_weight").alias("_sum"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     columns = ["_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")]
@@ -39,11 +40,12 @@ def prefix_sums(
         everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         columns.append(F.sum("_sum").over(everything).alias(total))
     offsets = sums.select(*columns)
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    within = F.col("_place") + 1 if weight is None else F.sum("_weight").over(inside)
     return (
         ranges.join(F.broadcast(offsets), "_range")  # one row per range
-        .withColumn(name, F.col("_offset") + F.sum("_weight").over(inside))
-        .drop("_range", "_weight", "_offset")
+        .withColumn(name, F.col("_offset") + within)
+        .drop("_range", "_place", "_weight", "_offset")
     )
 
 

@@ -102,9 +102,21 @@ def balance(
     )
 
 
-def drill_across(aggregates: Sequence[DataFrame], on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join facts that are already aggregated to the same conformed keys."""
-    return reduce(lambda a, b: a.join(b, list(on), how), aggregates)
+def drill_across(
+    aggregates: Sequence[DataFrame], on: Sequence[str], how: str = "left", null_safe: bool = False
+) -> DataFrame:
+    """Join facts that are already aggregated to the same conformed keys.
+
+    ``null_safe`` (inner and left joins) also joins groups whose key is NULL.
+    """
+    def join(a: DataFrame, b: DataFrame) -> DataFrame:
+        if not null_safe:
+            return a.join(b, list(on), how)
+        renamed = b.withColumnsRenamed({k: f"_b_{k}" for k in on})
+        same = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in on]
+        return a.join(renamed, same, how).drop(*[f"_b_{k}" for k in on])
+
+    return reduce(join, aggregates)
 
 
 def child_counts(
@@ -121,7 +133,7 @@ def child_counts(
 
 def restrict_to_top(df: DataFrame, ranked: DataFrame, key: str, n: int, order: Sequence[Column]) -> DataFrame:
     """Rows of ``df`` whose key is among the first n of ``ranked``, with the ranked attributes."""
-    return df.join(F.broadcast(ranked.orderBy(*order).limit(n)), key)  # n rows
+    return df.join(ranked.orderBy(*order).limit(n), key)
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

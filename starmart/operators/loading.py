@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmart.operators.distribution import positions
 from starmart.schemas import NULL_DEFAULTS, SENTINEL, TEXT_DEFAULTS
 
-SALTS = 64
+SALTS = 64  # tasks that rows without a match are spread over, unless told otherwise
 
 
 def select_available(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,15 +61,17 @@ def filter_fk(df: DataFrame, column: str, dim: DataFrame, key: str) -> DataFrame
     return df.join(keys, F.col(column) == F.col("_key"), "left_semi")
 
 
-def redirect_fk(df: DataFrame, column: str, dim: DataFrame, key: str, sentinel: int = SENTINEL) -> DataFrame:
+def redirect_fk(
+    df: DataFrame, column: str, dim: DataFrame, key: str, sentinel: int = SENTINEL, salts: int = SALTS
+) -> DataFrame:
     """Point an optional key without a parent to the unknown member; NULL stays NULL.
 
     Rows that are NULL or already redirected can be most of a table and need no match, so they are
-    spread over the join by a hash of the row instead of meeting in one task.
+    spread over ``salts`` places of the join by a hash of the row instead of meeting in one task.
     """
     parents = dim.select(F.col(key).alias("_key"), F.lit(0).alias("_key_salt")).dropDuplicates(["_key"])
     unmatched = F.col(column).isNull() | (F.col(column) == sentinel)
-    salt = F.when(unmatched, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int") + 1).otherwise(0)
+    salt = F.when(unmatched, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int") + 1).otherwise(0)
     joined = df.withColumn("_salt", salt).join(
         parents, (F.col(column) == F.col("_key")) & (F.col("_salt") == F.col("_key_salt")), "left"
     )
@@ -97,9 +99,12 @@ def enrich(
     return df.join(dedupe(other, on, ordering).select(*on, *columns), list(on), "left")
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: str, columns: Sequence[str]) -> DataFrame:
-    """Take columns from a dimension, replacing source columns of the same name."""
-    return df.drop(*columns).join(dim.select(on, *columns), on, "left")
+def lookup(df: DataFrame, dim: DataFrame, on: str, columns: Sequence[str], required: bool = False) -> DataFrame:
+    """Take columns from a dimension, replacing source columns of the same name.
+
+    With ``required``, rows without a parent go, as in :func:`filter_fk`; one join does both.
+    """
+    return df.drop(*columns).join(dim.select(on, *columns), on, "inner" if required else "left")
 
 
 def derive_outcome(df: DataFrame, home: str, away: str) -> DataFrame:
@@ -117,14 +122,15 @@ def derive_outcome(df: DataFrame, home: str, away: str) -> DataFrame:
 
 
 def add_unknown_member(df: DataFrame, key: str, row: Mapping[str, object]) -> DataFrame:
-    """Add the unknown-member row unless its key is already present."""
+    """Add the unknown-member row unless its key is already present; ``df`` is evaluated once."""
     values = {c: F.lit(row[c]).cast(t).alias(c) for c, t in df.dtypes if c in row}
     missing = [c for c in df.columns if c not in values]
     if missing:
         raise ValueError(f"the unknown member has no value for {missing}")
     one = df.sparkSession.range(1).select(*[values[c] for c in df.columns])
-    present = df.filter(F.col(key) == F.lit(row[key])).select(key).limit(1)
-    return df.unionByName(one.join(present, key, "left_anti"))
+    both = df.withColumn("_added", F.lit(0)).unionByName(one.withColumn("_added", F.lit(1)))
+    first = F.min("_added").over(Window.partitionBy(key))
+    return both.withColumn("_first", first).filter(F.col("_added") == F.col("_first")).drop("_added", "_first")
 
 
 def with_surrogate_key(df: DataFrame, name: str, ordering: Sequence[Column]) -> DataFrame:

@@ -31,13 +31,23 @@ def _orphan_rows(df: DataFrame, column: str, dim: DataFrame, key: str) -> DataFr
 
 
 def orphan_counts(checks: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Rows without a parent per check ``{name: (fact, column, dimension, key)}``."""
-    return union_all(
-        *[
-            _orphan_rows(*check).select(F.lit(name).alias("check_name"), "orphans")
-            for name, check in checks.items()
-        ]
-    )
+    """Rows without a parent per check ``{name: (fact, column, dimension, key)}``.
+
+    The checks of one fact share a scan: its key columns become (check, value) pairs, which are
+    counted before the shuffle, so only distinct values meet the dimensions' keys.
+    """
+    facts: dict[int, tuple[DataFrame, list]] = {}
+    for name, (fact, column, dim, key) in checks.items():
+        facts.setdefault(id(fact), (fact, []))[1].append((name, column, dim, key))
+    parts = []
+    for fact, own in facts.values():
+        pairs = [F.struct(F.lit(name).alias("check_name"), F.col(c).cast("string").alias("_value")) for name, c, *_ in own]
+        counted = fact.select(F.explode(F.array(*pairs)).alias("p")).groupBy("p.check_name", "p._value").agg(F.count(F.lit(1)).alias("_n"))
+        keys = union_all(*[d.select(F.lit(name).alias("_check"), F.col(k).cast("string").alias("_key")) for name, _, d, k in own])
+        missing = counted.join(keys, (F.col("check_name") == F.col("_check")) & (F.col("_value") == F.col("_key")), "left_anti")
+        names = fact.sparkSession.createDataFrame([(name, 0) for name, *_ in own], "check_name string, _n long")
+        parts.append(missing.select("check_name", "_n").unionByName(names))
+    return union_all(*parts).groupBy("check_name").agg(F.sum("_n").alias("orphans"))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -35,14 +35,17 @@ def top_overall(
 ) -> DataFrame:
     """First n rows of the whole frame, numbered in column ``name`` if given.
 
-    ``row_number`` takes the top n first and numbers only those. ``dense_rank`` (descending on
-    column ``by``) finds the n highest distinct values and joins them back, so any number of ties
-    is kept without gathering the rows in one task.
+    ``row_number`` takes the top n first and numbers only those. ``dense_rank`` finds the first n
+    distinct values of column ``by`` in ``ordering`` (which may use that column only; descending
+    with NULLs last if empty) and joins them back, so any number of ties is kept without gathering
+    the rows in one task. NULL counts as a value.
     """
     if how == "dense_rank":
-        values = df.select(F.col(by).alias("_value")).distinct().orderBy(F.desc_nulls_last("_value")).limit(n)
-        ranked = values.withColumn(name or "_rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("_value"))))
-        kept = df.join(F.broadcast(ranked), F.col(by) == F.col("_value")).drop("_value")  # n rows
+        keys = list(ordering) or [F.desc_nulls_last(by)]
+        values = df.select(by).distinct().orderBy(*keys).limit(n)
+        ranked = values.withColumn(name or "_rank", F.row_number().over(Window.orderBy(*keys)))
+        ranked = ranked.withColumnRenamed(by, "_value")
+        kept = df.join(ranked, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
         return kept if name else kept.drop("_rank")
     first = df.orderBy(*ordering).limit(n)
     if name is None:

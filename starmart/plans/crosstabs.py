@@ -84,9 +84,14 @@ def q07_2(mart: Mart, leagues=BIG_FIVE) -> DataFrame:
     """Appearances by position, type and captaincy at all eight grouping levels."""
     lines = dice(mart["fact_appearances"], {"competition_id": list(leagues)})
     lines = lines.filter(~F.col("position").isin(*UNNAMED))
-    n = F.count(F.lit(1))
+    keys = ["position", "type", "team_captain"]
+    # Summed to the finest level first, so the cube repeats those few rows and not the lines.
+    sums = {c: F.sum(c).alias(c) for c in ("goals", "assists", "minutes_played", "yellow_cards", "red_cards")}
+    finest = lines.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.count("minutes_played").alias("_timed"), *sums.values()
+    )
     result = cube(
-        lines, ["position", "type", "team_captain"],
+        finest, keys,
         {
             "position_label": level_label("position", "** TODAS **"),
             "type_label": level_label("type", "** TODOS **"),
@@ -94,10 +99,10 @@ def q07_2(mart: Mart, leagues=BIG_FIVE) -> DataFrame:
                 "team_captain", "** TODOS **", F.when(F.col("team_captain"), "Si").otherwise("No")
             ),
             "levels": F.grouping_id(),
-            "appearances": n,
+            "appearances": F.sum("_n"),
             "goals": F.sum("goals"),
             "assists": F.sum("assists"),
-            "mean_minutes": ratio(F.sum("minutes_played"), F.count("minutes_played"), 0),
+            "mean_minutes": ratio(F.sum("minutes_played"), F.sum("_timed"), 0),
             "yellow_cards": F.sum("yellow_cards"),
             "red_cards": F.sum("red_cards"),
         },

@@ -113,6 +113,11 @@ def q04_1c(mart: Mart, competition: str = "GB1", year: int = 2023, quarter: int
     return _level(result, "Nivel 3: Mes", period_label("year", "month", "month_name"), "month")
 
 
+def _at(df: DataFrame, level: str) -> DataFrame:
+    """Name the level of a drill-down in a first column."""
+    return df.select(F.lit(level).alias("level"), *df.columns)
+
+
 def q04_2a(mart: Mart, leagues=BIG_FIVE, season: int = 2022) -> DataFrame:
     """Goals of one season by league."""
     lines = with_calendar(
@@ -120,7 +125,7 @@ def q04_2a(mart: Mart, leagues=BIG_FIVE, season: int = 2022) -> DataFrame:
     )
     by_league = aggregate(lines, ["competition_id"], {"n": F.sum("goals")})
     result = aggregate(with_league(by_league, mart), ["league"], {"goals": F.sum("n")})
-    return order(result, [("goals", "desc", "last"), ("league", "asc", "last")])
+    return order(_at(result, "Nivel 1: Liga"), [("goals", "desc", "last"), ("league", "asc", "last")])
 
 
 def q04_2b(mart: Mart, competition: str = "ES1", season: int = 2022, top: int = 15) -> DataFrame:
@@ -133,7 +138,7 @@ def q04_2b(mart: Mart, competition: str = "ES1", season: int = 2022, top: int =
     result = aggregate(
         named, ["club"], {"goals": F.sum("n"), "players": n_distinct("player_id")}, having=F.col("goals") > 0
     )
-    return top_overall(result, [F.desc("goals"), F.asc("club")], top)
+    return top_overall(_at(result, "Nivel 2: Club"), [F.desc("goals"), F.asc("club")], top)
 
 
 def q04_2c(
@@ -158,6 +163,7 @@ def q04_2c(
         },
         having=F.col("goals") > 0,
     )
+    result = _at(result, "Nivel 3: Jugador")
     return order(result, [("goals", "desc", "last"), ("player", "asc", "last"), ("position", "asc", "last")])
 
 
@@ -176,6 +182,7 @@ def q04_3a(mart: Mart, year: int = 2024, month: int = 1) -> DataFrame:
             "players": n_distinct("player_id"),
         },
     )
+    result = _at(result, "Nivel 1: Confederacion")
     return order(result, [("value", "desc", "last"), ("confederation", "asc", "last")])
 
 
@@ -194,4 +201,4 @@ def q04_3b(
             "mean_value": ratio(sum_where("market_value_in_eur", priced), F.count_if(priced), 0),
         },
     )
-    return top_overall(result, [F.desc_nulls_last("value"), F.asc("league")], top)
+    return top_overall(_at(result, "Nivel 2: Liga"), [F.desc_nulls_last("value"), F.asc("league")], top)

@@ -47,7 +47,7 @@ def _with_lists(first: DataFrame, lines: DataFrame, keys: list[str], lists: dict
     chosen = first.select(*[F.col(k).alias(f"_{k}") for k in keys])
     own = lines.join(chosen, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
     listed = aggregate(own, keys, {name: string_list(column) for name, column in lists.items()})
-    return drill_across([first, listed], keys)
+    return drill_across([first, listed], keys, null_safe=True)
 
 
 def q09_1(mart: Mart, leagues=BIG_FIVE, top: int = 25, split_homonyms: bool = False) -> DataFrame:

@@ -31,9 +31,9 @@ from starmart.operators.loading import (
     with_surrogate_key,
 )
 from starmart.operators.quality import load_rate, null_audit, orphan_counts
-from starmart.schemas import NULL_RULES, TABLES, unknown_member
+from starmart.schemas import NULL_DEFAULTS, NULL_RULES, TABLES, TEXT_DEFAULTS, unknown_member
 from starmart.sources.calendar import date_dimension
-from starmart.sources.csv import ROW_ORDER, read_csv
+from starmart.sources.csv import ROW_ORDER, count_bad_lines, read_csv
 from starmart.sources.tables import Warehouse, load_metrics, read_table, write_table
 
 # Text limits of the game dimension.
@@ -61,9 +61,13 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 
 def _final(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns that are present, in table order and type."""
-    present = [c for c in TABLES[table] if c in df.columns]
-    return df.select(*[F.col(c).cast(TABLES[table][c]).alias(c) for c in present])
+    """All columns of the table in its order and types; columns the source lacks are at their marker."""
+    defaults = {**NULL_DEFAULTS, "text": TEXT_DEFAULTS[table.startswith("dim_")]}
+    markers = {c: F.lit(defaults[category]) for category, columns in NULL_RULES[table].items() for c in columns}
+    absent = [c for c in TABLES[table] if c not in df.columns and c not in markers]
+    if absent:
+        raise ValueError(f"{table}: the source has no {', '.join(absent)}")
+    return df.select(*[(F.col(c) if c in df.columns else markers[c]).cast(k).alias(c) for c, k in TABLES[table].items()])
 
 
 def _keep_order(columns: Sequence[str]) -> list[str]:
@@ -138,9 +142,8 @@ def build_fact_appearances(
         lineups.select("game_id", "player_id", "type", "position", "team_captain", ROW_ORDER), "fact_appearances"
     )
     rows = enrich(rows, roles, ["game_id", "player_id"], ["type", "position", "team_captain"], [F.asc(ROW_ORDER)])
-    rows = lookup(rows, _game_info(games), "game_id", ["competition_id", "date_id"])
+    rows = lookup(rows, _game_info(games), "game_id", ["competition_id", "date_id"], required=True)
     rows = _filled(_final(rows, "fact_appearances"), "fact_appearances")
-    rows = filter_fk(rows, "game_id", games, "game_id")
     rows = filter_fk(rows, "player_id", players, "player_id")
     return filter_fk(rows, "club_id", clubs, "club_id")
 
@@ -155,7 +158,7 @@ def build_fact_game_events(
     else:
         source = source.withColumn("event_id", event_id)
     rows = _typed(source, "fact_game_events")
-    rows = lookup(rows, _game_info(games), "game_id", ["competition_id", "date_id"])
+    rows = lookup(rows, _game_info(games), "game_id", ["competition_id", "date_id"], required=True)
     rows = _final(rows, "fact_game_events").withColumns(
         {
             "description": clean_text("description"),
@@ -164,7 +167,6 @@ def build_fact_game_events(
         }
     )
     rows = _filled(rows, "fact_game_events")
-    rows = filter_fk(rows, "game_id", games, "game_id")
     rows = filter_fk(rows, "club_id", clubs, "club_id")
     rows = filter_fk(rows, "player_id", players, "player_id")
     rows = redirect_fk(rows, "player_in_id", players, "player_id")
@@ -237,6 +239,20 @@ JOBS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], tuple[str, ...]
 }
 
 
+# Columns a source must have; without one of them a load would be empty or meaningless.
+REQUIRED = {
+    "competitions": ("competition_id",),
+    "clubs": ("club_id",),
+    "players": ("player_id",),
+    "games": ("game_id", "competition_id", "date", "home_club_id", "away_club_id"),
+    "club_games": ("game_id", "hosting", "own_position"),
+    "appearances": ("game_id", "player_id", "player_club_id"),
+    "game_lineups": ("game_id", "player_id", "type", "position", "team_captain"),
+    "game_events": ("game_id", "club_id", "player_id", "type", "description", "player_in_id", "player_assist_id"),
+    "transfers": ("player_id", "from_club_id", "to_club_id", "transfer_season", "transfer_fee"),
+    "player_valuations": ("player_id", "date", "current_club_id"),
+}
+
 DATE_KEYS = {"fact_transfers": "transfer_date_id"}  # other facts call it date_id
 
 
@@ -257,12 +273,25 @@ def load_dim_date(spark: SparkSession, root: str) -> int:
     return _write_counted(date_dimension(spark), root, "dim_date")
 
 
-def load_table(spark: SparkSession, src_dir: str, root: str, name: str) -> int:
-    """Load one table from its CSV files, replacing it, and return its row count."""
+def read_source(spark: SparkSession, src_dir: str, name: str, multi_line: bool = True) -> DataFrame:
+    """One source file with the position of its rows; raises if it lacks a required column."""
+    rows = read_csv(spark, f"{src_dir}/{name}.csv", with_order=True, multi_line=multi_line)
+    absent = [c for c in REQUIRED[name] if c not in rows.columns]
+    if absent:
+        raise ValueError(f"{name}.csv has no column {', '.join(absent)}")
+    return rows
+
+
+def load_table(spark: SparkSession, src_dir: str, root: str, name: str, multi_line: bool = True) -> int:
+    """Load one table from its CSV files, replacing it, and return its row count.
+
+    Quoted fields may hold line breaks. Where the files are known to have none, ``multi_line=False``
+    lets Spark split a file over tasks.
+    """
     if name == "dim_date":
         return load_dim_date(spark, root)
     build, sources, parents = JOBS[name]
-    rows = [read_csv(spark, f"{src_dir}/{s}.csv", with_order=True) for s in sources]
+    rows = [read_source(spark, src_dir, s, multi_line) for s in sources]
     return _write_counted(build(*rows, *[read_table(spark, root, p) for p in parents]), root, name)
 
 
@@ -304,35 +333,53 @@ def foreign_keys(tables: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame,
     }
 
 
-def load_all(spark: SparkSession, src_dir: str, root: str, strict: bool = False) -> DataFrame:
+STATUS = "check_type string, check_name string, found bigint, ok boolean"
+
+
+def load_status(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """NULLs per table and orphaned keys per reference of loaded tables."""
+    nulls = null_audit(tables).groupBy(F.col("table_name").alias("check_name")).agg(F.sum("nulls").alias("found"))
+    broken = orphan_counts(foreign_keys(tables)).withColumnRenamed("orphans", "found")
+    return union_all(
+        *[
+            check.select(F.lit(kind).alias("check_type"), "check_name", "found", (F.col("found") == 0).alias("ok"))
+            for kind, check in (("nulls", nulls), ("orphans", broken))
+        ]
+    )
+
+
+def load_all(
+    spark: SparkSession, src_dir: str, root: str, strict: bool = False, multi_line: bool = True
+) -> DataFrame:
     """Replace all tables in dependency order and return the checks as a status table.
 
-    The first failing job raises and ends the run. With ``strict``, a table with NULLs or orphaned
-    keys raises as well.
+    The status has the rows loaded per table, the malformed lines per source file, the NULLs per
+    table and the orphans per reference; it is computed once. The first failing job raises and ends
+    the run. With ``strict``, malformed lines end it before anything is loaded, and NULLs or orphaned
+    keys raise at its end.
     """
-    loaded = {"dim_date": load_dim_date(spark, root)}
+    def stop_on(rows: list) -> None:
+        failed = [r for r in rows if not r[3]]
+        if strict and failed:
+            raise ValueError("; ".join(f"{kind} in {name}: {found}" for kind, name, found, _ in failed))
+
+    files = sorted({s for _, sources, _ in JOBS.values() for s in sources})
+    bad = [("bad_lines", s, count_bad_lines(spark, f"{src_dir}/{s}.csv", multi_line)) for s in files]
+    rows = [(*b, b[2] == 0) for b in bad]
+    stop_on(rows)
+    rows.append(("rows_loaded", "dim_date", load_dim_date(spark, root), True))
     for name in JOBS:
-        loaded[name] = load_table(spark, src_dir, root, name)
-    tables = Warehouse.at(spark, root)
-    rows = [("rows_loaded", name, count, True) for name, count in loaded.items()]
-    status = spark.createDataFrame(rows, "check_type string, check_name string, found bigint, ok boolean")
-    nulls = null_audit(tables).groupBy(F.col("table_name").alias("check_name")).agg(F.sum("nulls").alias("found"))
-    broken = orphan_counts(foreign_keys(tables)).withColumnRenamed("orphans", "found")
-    for kind, check in (("nulls", nulls), ("orphans", broken)):
-        checked = check.select(F.lit(kind).alias("check_type"), "check_name", "found", (F.col("found") == 0).alias("ok"))
-        status = union_all(status, checked)
-    if strict:
-        failed = status.filter(~F.col("ok")).collect()  # at most one row per table and reference
-        if failed:
-            raise ValueError("; ".join(f"{r.check_type} in {r.check_name}: {r.found}" for r in failed))
-    return status
+        rows.append(("rows_loaded", name, load_table(spark, src_dir, root, name, multi_line), True))
+    rows += [tuple(r) for r in load_status(Warehouse.at(spark, root)).collect()]  # a row per table and reference
+    stop_on(rows)
+    return spark.createDataFrame(rows, STATUS)
 
 
-def source_load_rate(spark: SparkSession, src_dir: str, root: str) -> DataFrame:
+def source_load_rate(spark: SparkSession, src_dir: str, root: str, multi_line: bool = True) -> DataFrame:
     """Source rows against loaded rows per table and in total."""
     return load_rate(
         {
-            name: (read_csv(spark, f"{src_dir}/{sources[0]}.csv"), read_table(spark, root, name))
+            name: (read_csv(spark, f"{src_dir}/{sources[0]}.csv", multi_line=multi_line), read_table(spark, root, name))
             for name, (_, sources, _) in JOBS.items()
         }
     )

@@ -136,11 +136,12 @@ def q11_3(
     )
     games = aggregate(lines, keys, {"games": n_distinct("game_id")})
     ordering = [F.desc("clubs"), F.desc("games"), F.asc("player"), F.asc("position"), F.asc("country")]
-    first = top_overall(drill_across([totals, games], keys), ordering, top, "rank")
-    own = lines.join(first.select(*keys), keys, "left_semi")
+    first = top_overall(drill_across([totals, games], keys, null_safe=True), ordering, top, "rank")
+    chosen = first.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    own = lines.join(chosen, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
     clubs = star_join(own, [("club_id", mart["dim_clubs"], "club_id", {"name": "club"})])
     listed = aggregate(clubs, keys, {"club_list": string_list("club", " --> ")})
-    return drill_across([first, listed], keys).orderBy("rank")
+    return drill_across([first, listed], keys, null_safe=True).orderBy("rank")
 
 
 def q11_4(

@@ -158,7 +158,7 @@ def q12_4(mart: Mart, leagues=BIG_FIVE, top: int = 25) -> DataFrame:
     games = dice(mart["fact_games"], {"competition_id": list(leagues)})
     ordering = [F.desc("total_goals"), F.desc("goal_difference"), F.asc("game_id")]
     chosen = top_overall(games, ordering, top, "rank")
-    events = mart["fact_game_events"].join(F.broadcast(chosen.select("game_id")), "game_id", "left_semi")  # top rows
+    events = mart["fact_game_events"].join(chosen.select("game_id"), "game_id", "left_semi")
     counted = child_counts(
         chosen, events, "game_id",
         {"cards": F.col("type") == "Cards", "substitutions": F.col("type") == "Substitutions"},

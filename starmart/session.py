@@ -1,5 +1,6 @@
 """Session settings this package is written for, and the shared folder for cut lineage."""
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ SETTINGS = {
     # Wide projections of parsed columns generate methods over 8,000 bytes, which the JVM leaves
     # uncompiled; beyond this limit Spark uses its smaller generated pieces instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows written to cut lineage go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,13 +33,14 @@ def builder(app_name: str = "starmart") -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder; on a cluster a folder that
-    one machine alone can see would lose the data with that machine, so the setting is required.
+    Only a session that is one process (``local``, ``local[n]``) gets a temporary folder without the
+    setting; with executors of their own, ``local-cluster`` included, the setting is required, as
+    rows in a folder that one machine alone can see are lost with that machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="starmart-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -9,6 +9,7 @@ from starmart.functions import null_if_token
 from starmart.schemas import NULL_TOKENS
 
 ROW_ORDER = "_row_order"
+BAD_LINE = "_bad_line"
 
 
 def read_csv(
@@ -18,22 +19,37 @@ def read_csv(
     null_tokens: Sequence[str] = NULL_TOKENS,
     multi_line: bool = False,
     with_order: bool = False,
+    bad_lines: bool = False,
 ) -> DataFrame:
     """Read UTF-8 CSV with a header as text columns.
 
     ``columns`` names a schema and saves reading the header first; without it, the header decides.
     Files are split over tasks unless ``multi_line`` (quoted line breaks) is set. ``with_order`` adds
-    the position of each row in its source, for rules such as "keep the first".
+    the position of each row in its source, for rules such as "keep the first". ``bad_lines`` adds
+    the text of each line that has more or fewer fields than the header (else NULL).
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
     reader = reader.option("multiLine", multi_line)
+    if bad_lines and columns is None:
+        columns = reader.csv(path).columns
     if columns is not None:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+        named = [*columns, BAD_LINE] if bad_lines else columns
+        reader = reader.schema(", ".join(f"`{c}` string" for c in named))
+    if bad_lines:
+        # All fields are parsed even where few are used; a line is only bad as a whole.
+        reader = reader.option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", False)
     raw = reader.csv(path)
-    fields = [null_if_token(c, null_tokens).alias(c) for c in raw.columns]
+    fields = [F.col(c) if c == BAD_LINE else null_if_token(c, null_tokens).alias(c) for c in raw.columns]
     return raw.select(*fields, *([source_order().alias(ROW_ORDER)] if with_order else []))
 
 
+def count_bad_lines(spark: SparkSession, path: str, multi_line: bool = False) -> int:
+    """Lines with more or fewer fields than the header."""
+    rows = read_csv(spark, path, multi_line=multi_line, bad_lines=True)
+    # Spark wants a field of the file read as well.
+    return rows.agg(F.count_if(F.col(BAD_LINE).isNotNull()), F.count(rows.columns[0])).first()[0]
+
+
 def source_order() -> Column:
     """Position of a row in its source files: file, block, then row within the block.
 

@@ -89,3 +89,23 @@ def test_labels_words_and_bands(spark):
     assert apply(spark, ["1", "15", "16", "200", "0"], bucket(F.col("c").cast("int"), bands, "none")) == [
         "early", "early", "late", "late", "none"
     ]
+
+
+def test_ratio_of_very_large_groups(spark):
+    row = spark.range(1).select(
+        ratio(F.lit(str(10**20)).cast("decimal(38,0)"), F.lit(10**12).cast("long") * 1_000_000, 2).alias("mean"),
+        ratio(F.lit(1).cast("long"), F.lit(2 * 10**16).cast("long"), 2).alias("tiny"),
+    ).first()
+    assert (float(row.mean), float(row.tiny)) == (100.0, 0.0)
+
+
+def test_dates_in_further_formats(spark):
+    df = spark.createDataFrame([("31/01/2024",), ("2024-01-31",), ("soon",), (None,)], "d string")
+    rows = [r[0] for r in df.select(to_date_lenient("d", ["dd/MM/yyyy"])).collect()]
+    assert [str(r) for r in rows] == ["2024-01-31", "2024-01-31", "None", "None"]
+    assert df.select(to_date_lenient("d")).first()[0] is None
+
+
+def test_season_with_many_digits_is_unknown(spark):
+    df = spark.createDataFrame([("99999999999/00",), ("23/24",)], "s string")
+    assert [r[0] for r in df.select(season_start("s")).collect()] == [-1, 2023]

@@ -1,5 +1,6 @@
 """Full load of small CSV files, with every rule a table has."""
 
+import shutil
 from datetime import date
 from decimal import Decimal
 
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from starmart.plans import loads
 from starmart.schemas import TABLES, unknown_member
-from starmart.sources import Warehouse, read_csv, write_table
+from starmart.sources import Warehouse, count_bad_lines, read_csv, write_table
+from checks.reports import REPORTS
 
 FILES = {
     "competitions": """competition_id,competition_code,name,sub_type,type,country_id,country_name,domestic_league_code,confederation,url,is_major_national_league
@@ -209,3 +211,43 @@ def test_appending_adds_rows(spark, tmp_path):
     write_table(rows, str(tmp_path), "t")
     write_table(rows, str(tmp_path), "t")
     assert spark.read.parquet(f"{tmp_path}/t").agg(F.count(F.lit(1))).first()[0] == 6
+
+
+def test_tables_have_all_their_columns(spark, warehouse):
+    tables = Warehouse.at(spark, warehouse[3])  # opened anew, as a later load has replaced the files
+    for name, kinds in TABLES.items():
+        assert list(tables[name].columns) == list(kinds), name
+    player = by(tables["dim_players"], "player_id")[1]
+    assert (player.foot, player.country_of_citizenship) == ("N/A", "N/A")
+
+
+def test_every_report_runs_on_a_loaded_warehouse(spark, warehouse):
+    tables = Warehouse.at(spark, warehouse[3])
+    for key, (report, parameters, _) in REPORTS.items():
+        try:
+            report(tables, **parameters).collect()
+        except Exception as error:
+            raise AssertionError(key) from error
+
+
+def test_line_breaks_in_quotes_are_kept(spark, warehouse, tmp_path):
+    (tmp_path / "clubs.csv").write_text('club_id,club_code,name,stadium_name\n10,a,"Club\nA",Park\n', encoding="utf-8")
+    assert loads.load_table(spark, str(tmp_path), str(tmp_path), "dim_clubs") == 2
+    club = by(spark.read.parquet(f"{tmp_path}/dim_clubs"), "club_id")[10]
+    assert (club.name, club.stadium_name) == ("Club\nA", "Park")
+
+
+def test_malformed_lines_are_counted_and_end_a_strict_load(spark, warehouse, tmp_path):
+    _, _, folder, _ = warehouse
+    shutil.copytree(folder, tmp_path / "csv")
+    with open(tmp_path / "csv" / "club_games.csv", "a", encoding="utf-8") as file:
+        file.write("105,Home,1,2\n105\n")
+    assert count_bad_lines(spark, str(tmp_path / "csv" / "club_games.csv"), multi_line=True) == 2
+    with pytest.raises(ValueError, match="bad_lines in club_games: 2"):
+        loads.load_all(spark, str(tmp_path / "csv"), str(tmp_path / "tables"), strict=True)
+
+
+def test_a_source_without_its_key_column_raises(spark, tmp_path):
+    (tmp_path / "clubs.csv").write_text("club_code,name\na,A\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="clubs.csv has no column club_id"):
+        loads.load_table(spark, str(tmp_path), str(tmp_path), "dim_clubs")

@@ -12,11 +12,13 @@ from starmart.operators import (
     balance,
     cube,
     dedupe,
+    drill_across,
     either_role,
     exact_median,
     filter_fk,
     grouping_sets,
     moving_avg,
+    order,
     period_change,
     prefix_sums,
     redirect_fk,
@@ -199,3 +201,39 @@ def test_totals_shares_and_rejects_add_up(spark, sf_dir):
     assert loaded + rejected == games.count()
     classes = {r.reject_class: r.row_count for r in reject_classes(games, "home_club_id", "away_club_id", clubs, "club_id").collect()}
     assert classes["both_valid"] + classes["first_invalid"] + classes["second_invalid"] - classes["both_invalid"] == games.count()
+
+
+def test_order_puts_nulls_and_ties_where_told(spark):
+    df = spark.createDataFrame([(1, "b"), (None, "a"), (2, "a"), (1, "a"), (2, None)], "n int, t string")
+    keys = [("n", "desc", "last"), ("t", "asc", "first")]
+    assert [tuple(r) for r in order(df, keys).collect()] == [(2, None), (2, "a"), (1, "a"), (1, "b"), (None, "a")]
+    keys = [("n", "asc", "first"), ("t", "desc", "last")]
+    assert [tuple(r) for r in order(df, keys).collect()] == [(None, "a"), (1, "b"), (1, "a"), (2, "a"), (2, None)]
+
+
+def test_top_k_is_numbered_in_its_order(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3), ("d", None)], "k string, v int")
+    rows = top_overall(df, [F.desc_nulls_last("v"), F.asc("k")], 3, "place").orderBy("place").collect()
+    assert [(r.k, r.place) for r in rows] == [("b", 1), ("c", 2), ("a", 3)]
+
+
+def test_dense_rank_follows_its_ordering_and_keeps_null(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3), ("d", None)], "k string, v int")
+    up = top_overall(df, [F.asc_nulls_first("v")], 2, "place", how="dense_rank", by="v").collect()
+    assert sorted((r.k, r.place) for r in up) == [("a", 2), ("d", 1)]
+    down = top_overall(df, [], 3, "place", how="dense_rank", by="v").collect()
+    assert sorted((r.k, r.place) for r in down) == [("a", 2), ("b", 1), ("c", 1), ("d", 3)]
+
+
+def test_drill_across_joins_null_keys_when_told(spark):
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
+    b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
+    joined = {r.k: r.b for r in drill_across([a, b], ["k"], null_safe=True).collect()}
+    assert joined == {None: 10, "x": 20}
+
+
+def test_unknown_member_is_added_once(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    row = {"id": -1, "name": "none"}
+    once = add_unknown_member(df, "id", row)
+    assert sorted(tuple(r) for r in add_unknown_member(once, "id", row).collect()) == [(-1, "none"), (1, "a")]
