@@ -165,7 +165,7 @@ class Batch:
 
     def buckets(self, n: int) -> list[tuple[int, np.ndarray]]:
         """Places in ``values`` of each bucket's anchors."""
-        bucket = (self.runs.values % np.uint64(n)).astype(np.int64)
+        bucket = ((self.runs.values >> np.uint64(1)) % np.uint64(n)).astype(np.int64)  # the lowest bit is always set
         order = np.argsort(bucket, kind="stable")
         found, first = np.unique(bucket[order], return_index=True)
         return list(zip(found.tolist(), np.split(order, first[1:])))
