@@ -30,22 +30,45 @@ CHUNK = 1 << 14  # windows compared at once
 
 
 def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Rank of each suffix, read up to its sequence's end; equal suffixes have equal ranks.
+    """How many suffixes are smaller than each one, read up to its sequence's end.
 
     ``symbols`` are positive; ``ends`` is, for each place, one behind its sequence's last place.
+    Suffixes are ranked by as many symbols as fit a number, then by twice as many in each round,
+    in which only those take part that are not told apart yet and have symbols left.
     """
-    n = len(symbols)
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-    size, classes, places = 1, 0, np.arange(n)
+    n, bits = len(symbols), int(symbols.max()).bit_length()
+    size = 63 // bits
+    key = np.zeros(n, dtype=np.int64)
+    for i in range(size):
+        key <<= bits
+        inside = np.arange(i, n) < ends[: n - i]
+        key[: n - i][inside] |= symbols[i:][inside]
+    _, place, counts = np.unique(key, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(counts) - counts)[place]
+    class_size = counts[place]
+    places = np.flatnonzero(class_size > 1)
     while True:
-        behind = places + size
-        inside = behind < ends
-        key = rank * (n + 1)
-        key[inside] += rank[behind[inside]] + 1
-        values, rank = np.unique(key, return_inverse=True)
-        if len(values) == classes or len(values) == n:
+        # Classes in which some suffix has symbols left.
+        going = places[places + size < ends[places]]
+        open_class = np.zeros(n, dtype=bool)
+        open_class[rank[going]] = True
+        places = places[open_class[rank[places]]]
+        if not len(places):
             return rank
-        classes = len(values)
+        behind = places + size
+        second = np.where(behind < ends[places], rank[np.minimum(behind, n - 1)] + 1, 0)
+        first = rank[places]
+        order = np.lexsort((second, first))
+        places, first, second = places[order], first[order], second[order]
+        new_class = np.concatenate([[True], first[1:] != first[:-1]])
+        new_part = new_class | np.concatenate([[True], second[1:] != second[:-1]])
+        at = np.arange(len(places))
+        start_of_class = np.maximum.accumulate(np.where(new_class, at, 0))
+        parts = np.flatnonzero(new_part)
+        sizes = np.diff(np.concatenate([parts, [len(places)]]))
+        part = np.cumsum(new_part) - 1
+        rank[places] = first + parts[part] - start_of_class
+        places = places[sizes[part] > 1]
         size *= 2
 
 
