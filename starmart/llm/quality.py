@@ -251,8 +251,8 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
     kinds = ", ".join(f"{n} long" for n in numbers)
     found = written(source.mapInArrow(judged, f"key {kind}, lang string, {kinds}, loss double"), "quality")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    words = F.col("n_words")
-    found = found.withColumns({"base_failed": failed, "log_perplexity": F.when(words > 0, F.col("loss") / words)})
+    words = F.nullif(F.col("n_words"), F.lit(0))
+    found = found.withColumns({"base_failed": failed, "log_perplexity": F.col("loss") / words})
 
     def quartiles(rows: DataFrame, column: str) -> DataFrame:
         q = F.percentile_approx(column, [0.25, 0.5, 0.75], 10_000)

@@ -37,7 +37,7 @@ def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
     in which only those take part that are not told apart yet and have symbols left.
     """
     n, bits = len(symbols), int(symbols.max()).bit_length()
-    size = 63 // bits
+    size = min(n, 63 // bits)
     key = np.zeros(n, dtype=np.int64)
     for i in range(size):
         key <<= bits
