@@ -16,7 +16,7 @@ OPERATORS = (
     "load_dedupe", "load_surrogate_key", "load_enrich", "load_fk_redirect", "agg_median", "agg_multi_distinct",
     "agg_cube", "win_ntile", "win_dense_rank", "join_star", "join_either_role", "join_preagg_children",
     "dq_orphans", "dq_reject_classes", "dq_key_check", "job_dim_games", "job_fact_games", "job_fact_appearances",
-    "job_fact_game_events", "job_fact_transfers", "job_fact_valuations",
+    "job_fact_game_events", "job_fact_transfers", "job_fact_valuations", "job_all",
 )
 
 

@@ -6,6 +6,7 @@ from table to table on purpose: games, appearances, events and valuations fill N
 key checks, so a NULL club becomes the unknown club and stays; transfers check first and fill last.
 """
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,7 @@ from starmart.operators.quality import load_rate, null_audit, orphan_counts
 from starmart.schemas import NULL_DEFAULTS, NULL_RULES, TABLES, TEXT_DEFAULTS, unknown_member
 from starmart.sources.calendar import date_dimension
 from starmart.sources.csv import ROW_ORDER, count_bad_lines, read_csv
-from starmart.sources.tables import Warehouse, load_metrics, read_table, write_table
+from starmart.sources.tables import Warehouse, current_root, load_metrics, publish, read_table, write_table
 
 # Text limits of the game dimension.
 GAME_TEXT_LIMITS = {
@@ -351,7 +352,11 @@ def load_status(tables: Mapping[str, DataFrame]) -> DataFrame:
 def load_all(
     spark: SparkSession, src_dir: str, root: str, strict: bool = False, multi_line: bool = True
 ) -> DataFrame:
-    """Replace all tables in dependency order and return the checks as a status table.
+    """Load all tables in dependency order and return the checks as a status table.
+
+    The tables are written to a new version folder under ``root``, which becomes the current one at
+    the end: a run that fails leaves the tables of the run before as they are, and queries already
+    running keep their files. Old versions are for the caller to delete.
 
     The status has the rows loaded per table, the malformed lines per source file, the NULLs per
     table and the orphans per reference; it is computed once. The first failing job raises and ends
@@ -367,16 +372,20 @@ def load_all(
     bad = [("bad_lines", s, count_bad_lines(spark, f"{src_dir}/{s}.csv", multi_line)) for s in files]
     rows = [(*b, b[2] == 0) for b in bad]
     stop_on(rows)
-    rows.append(("rows_loaded", "dim_date", load_dim_date(spark, root), True))
+    version = f"version-{uuid.uuid4().hex}"
+    folder = f"{root}/{version}"
+    rows.append(("rows_loaded", "dim_date", load_dim_date(spark, folder), True))
     for name in JOBS:
-        rows.append(("rows_loaded", name, load_table(spark, src_dir, root, name, multi_line), True))
-    rows += [tuple(r) for r in load_status(Warehouse.at(spark, root)).collect()]  # a row per table and reference
+        rows.append(("rows_loaded", name, load_table(spark, src_dir, folder, name, multi_line), True))
+    rows += [tuple(r) for r in load_status(Warehouse.at(spark, folder)).collect()]  # a row per table and reference
     stop_on(rows)
+    publish(spark, root, version)
     return spark.createDataFrame(rows, STATUS)
 
 
 def source_load_rate(spark: SparkSession, src_dir: str, root: str, multi_line: bool = True) -> DataFrame:
     """Source rows against loaded rows per table and in total."""
+    root = current_root(spark, root)
     return load_rate(
         {
             name: (read_csv(spark, f"{src_dir}/{sources[0]}.csv", multi_line=multi_line), read_table(spark, root, name))

@@ -1,3 +1,3 @@
 from starmart.sources.calendar import date_dimension  # noqa: F401
 from starmart.sources.csv import BAD_LINE, ROW_ORDER, count_bad_lines, read_csv, source_order  # noqa: F401
-from starmart.sources.tables import Warehouse, load_metrics, read_table, write_table  # noqa: F401
+from starmart.sources.tables import Warehouse, current_root, load_metrics, publish, read_table, write_table  # noqa: F401

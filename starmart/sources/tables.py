@@ -2,6 +2,7 @@
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,21 @@ def write_table(
     writer.parquet(f"{root}/{name}")
 
 
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make the tables in ``root/version`` the current ones, by one committed append."""
+    row = spark.range(1).select(F.current_timestamp().alias("loaded_at"), F.lit(version).alias("version"))
+    row.write.mode("append").parquet(f"{root}/current")
+
+
+def current_root(spark: SparkSession, root: str) -> str:
+    """The folder of the version published last, or ``root`` where none was."""
+    try:
+        versions = spark.read.parquet(f"{root}/current")
+    except AnalysisException:
+        return root
+    return f"{root}/{versions.orderBy(F.desc('loaded_at'), F.desc('version')).first().version}"
+
+
 def load_metrics(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
     """The frame with a row counter that fills while it is written, without another scan."""
     observation = Observation(name)
@@ -39,7 +55,9 @@ class Warehouse(Mapping):
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "Warehouse":
-        return cls(lambda name: read_table(spark, root, name))
+        """The tables published last under ``root``, or those in it."""
+        found = current_root(spark, root)
+        return cls(lambda name: read_table(spark, found, name))
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:

@@ -251,3 +251,13 @@ def test_a_source_without_its_key_column_raises(spark, tmp_path):
     (tmp_path / "clubs.csv").write_text("club_code,name\na,A\n", encoding="utf-8")
     with pytest.raises(ValueError, match="clubs.csv has no column club_id"):
         loads.load_table(spark, str(tmp_path), str(tmp_path), "dim_clubs")
+
+
+def test_a_failing_load_leaves_the_tables_before_it(spark, warehouse, tmp_path):
+    _, _, folder, root = warehouse
+    before = sorted(map(str, Warehouse.at(spark, root)["dim_clubs"].collect()))
+    shutil.copytree(folder, tmp_path / "csv")
+    (tmp_path / "csv" / "transfers.csv").write_text("player_id\n1\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="transfers.csv has no column"):
+        loads.load_all(spark, str(tmp_path / "csv"), root)
+    assert sorted(map(str, Warehouse.at(spark, root)["dim_clubs"].collect())) == before
