@@ -9,10 +9,10 @@ the first n - ceil(0.75 n) + 1 of each. The order puts shingles that few documen
    half comes first in the order). Most texts end here, as their first shingles are theirs alone.
 2. Each class votes for the smallest class behind each of its first shingles and is compared with
    the two it votes for most. Classes linked so form groups: similar documents, known connected.
-3. Token-group matrix: for each first shingle the groups that have it, groups cut into parts of
-   about ``PART`` members. A class asks for the parts of other groups; where a part's union of
-   shingles covers at least 75% of the class the part is opened and compared exactly. Of two
-   groups the smaller one asks.
+3. Token-group matrix: for each first shingle the groups that have it, large groups cut into parts
+   whose members have about ``PART`` shingles. A class asks for the parts of other groups; where
+   the overlap with a part's union of shingles is as large as a link with its members' sizes needs,
+   the part is opened and compared exactly. Of two groups the smaller one asks.
 4. Components of all links, by alternating large and small stars.
 
 So near copies in thousands cost one or two comparisons each, and only what is left between
@@ -36,7 +36,7 @@ from starmart.llm.common import as_bytes, bounded_batches, pieces, written
 
 SHINGLE = 5
 PERCENT = 75
-PART = 64
+PART = 1 << 20  # shingles of a part's members, about
 VOTES = 2
 BATCH_BYTES = 4 << 20
 PAIRS = 1 << 20  # compared at once within a posting list
@@ -207,13 +207,13 @@ def votes(table: pa.Table) -> pa.Table:
 
 def matrix_pairs(table: pa.Table) -> pa.Table:
     """Classes of a bucket and the parts of other groups behind their shingles."""
-    tokens, ids, sizes, groups, members, parts = _unpack(table, ["key", "n", "group", "members", "part"])
+    tokens, ids, sizes, groups, weights, parts = _unpack(table, ["key", "n", "group", "weight", "part"])
     starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     ends = np.concatenate([starts[1:], [len(tokens)]])
     mixed = np.minimum.reduceat(groups, starts) < np.maximum.reduceat(groups, starts)
     found: set[tuple[int, int, int]] = set()
     for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist()):
-        g, m, s, part = groups[a:b], members[a:b], sizes[a:b], parts[a:b]
+        g, m, s, part = groups[a:b], weights[a:b], sizes[a:b], parts[a:b]
         # The largest group (of equal ones the smallest key) is only asked.
         largest = g[np.lexsort((g, -m))[0]]
         asking = np.flatnonzero(g != largest)
@@ -234,8 +234,11 @@ def open_parts(members: pa.Table, queries: pa.Table) -> pa.Table:
     if members.num_rows and queries.num_rows:
         sets = sorted(zip(members.column("key").to_pylist(), _sets(members)), key=lambda x: x[0])
         union = np.unique(np.concatenate([s for _, s in sets]))
+        smallest = min(len(s) for _, s in sets)
         for query, own in zip(queries.column("query").to_pylist(), _sets(queries, "query_text")):
-            if 100 * common(own, union) < PERCENT * len(own):
+            # A link needs (100 + PERCENT) * common >= PERCENT * (both sizes), and a member as large as this.
+            least = max(smallest, -(-PERCENT * len(own) // 100))
+            if (100 + PERCENT) * common(own, union) < PERCENT * (len(own) + least):
                 continue
             other = next((key for key, s in sets if linked(own, s)), None)
             if other is not None:
@@ -330,11 +333,11 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     groups = components(links)
     grouped = texts.join(groups, "key", "left").withColumn("group", F.coalesce("component", "key"))
-    counted = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-    part = F.pmod(F.xxhash64("key"), F.lit(1).cast("long") + F.floor(F.col("members") / PART))
-    grouped = grouped.join(counted, "group").select("key", "n", "first", "group", "members", part.alias("part"))
+    counted = grouped.groupBy("group").agg(F.sum("n").alias("weight"))
+    part = F.pmod(F.xxhash64("key"), F.lit(1).cast("long") + F.floor(F.col("weight") / PART))
+    grouped = grouped.join(counted, "group").select("key", "n", "first", "group", "weight", part.alias("part"))
     grouped = written(grouped, "groups")
-    packed = postings(grouped, n, ["key", "n", "group", "members", "part"])
+    packed = postings(grouped, n, ["key", "n", "group", "weight", "part"])
     asked = packed.groupBy("bucket").applyInArrow(matrix_pairs, "query long, group long, part long")
     asked = written(asked.distinct(), "asked")
     opened = grouped.select("key", "group", "part").join(asked.select("group", "part").distinct(), ["group", "part"])
