@@ -10,7 +10,8 @@ the first n - ceil(0.75 n) + 1 of each. The order puts shingles that few documen
 2. Each class votes for the smallest class behind each of its first shingles and is compared with
    the two it votes for most. Classes linked so form groups: similar documents, known connected.
 3. Token-group matrix: for each first shingle the groups that have it, large groups cut into parts
-   whose members have about ``PART`` shingles. A class asks for the parts of other groups; where
+   whose members have about ``PART`` shingles. A class asks for the parts of other groups with a
+   member that can still link, given how many shingles both have left behind the common one; where
    the overlap with a part's union of shingles is as large as a link with its members' sizes needs,
    the part is opened and compared exactly. Of two groups the smaller one asks.
 4. Components of all links, by alternating large and small stars.
@@ -103,9 +104,10 @@ def _short(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def survivors(docs: DataFrame, n: int) -> DataFrame:
-    """Documents that can have a partner: ``key``, ``set_key``, ``n``, ``first`` and ``text``.
+    """Documents that can have a partner: ``key``, ``set_key``, ``n``, ``first``, ``places`` and ``text``.
 
-    ``first`` has those of the first shingles in order that other documents may have too.
+    ``first`` has those of the first shingles in order that other documents may have too, and
+    ``places`` their places in the order of the document's shingles.
     """
     source = docs.select("key", "text", F.pmod(F.xxhash64("key", "text"), F.lit(n)).alias("batch"))
 
@@ -145,24 +147,27 @@ def survivors(docs: DataFrame, n: int) -> DataFrame:
             level = levels[np.searchsorted(values, known)]
             order = np.argsort(level, kind="stable")
             first = _first(len(own))
-            chosen = known[order[:first]][level[order[:first]] > 0]
+            places = np.flatnonzero(level[order[:first]] > 0)
+            chosen = known[order[places]]
             if first > len(known):
                 chosen = np.concatenate([chosen, own[len(known) :][: first - len(known)]])  # sorted: the other half is behind
+                places = np.concatenate([places, np.arange(len(known), first)])
             if len(chosen):
-                rows.append((key, hashlib.md5(own.tobytes()).digest(), len(own), chosen.tobytes(), text.decode("utf-8", "replace")))
-        columns = list(zip(*rows)) or [()] * 5
-        kinds = [("key", pa.int64()), ("set_key", pa.binary()), ("n", pa.int64()), ("first", pa.binary()), ("text", pa.string())]
+                row = (key, hashlib.md5(own.tobytes()).digest(), len(own), chosen.tobytes(), places.astype(np.int32).tobytes())
+                rows.append((*row, text.decode("utf-8", "replace")))
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = [("key", pa.int64()), ("set_key", pa.binary()), ("n", pa.int64()), ("first", pa.binary()), ("places", pa.binary()), ("text", pa.string())]
         return pa.table({k: pa.array(c, t) for c, (k, t) in zip(columns, kinds)})
 
     asked = source.groupBy("batch").applyInArrow(ask, "bucket long, batch long, values binary, counts binary")
     answered = asked.groupBy("bucket").applyInArrow(answer, "batch long, bucket long, levels binary")
     return source.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(
-        keep, "key long, set_key binary, n long, first binary, text string"
+        keep, "key long, set_key binary, n long, first binary, places binary, text string"
     )
 
 
 def postings(rows: DataFrame, n: int, columns: list[str]) -> DataFrame:
-    """Packed posting lists: ``bucket``, ``tokens`` and of each token the long ``columns``."""
+    """Packed posting lists: ``bucket``, ``tokens`` and of each token the long ``columns`` and ``places``."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -171,9 +176,10 @@ def postings(rows: DataFrame, n: int, columns: list[str]) -> DataFrame:
             sizes = [len(p) for p in parts]
             tokens = np.concatenate(parts)
             numbers = [np.repeat(np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]), sizes) for c in columns]
+            numbers.append(np.concatenate([np.frombuffer(x, dtype=np.int32) for b in held for x in b.column("places").to_pylist()]))
             rows = [(bucket, tokens[p].tobytes(), *(x[p].astype(np.int64).tobytes() for x in numbers)) for bucket, p in _split(tokens, n)]
-            kinds = [pa.int64(), *[pa.binary()] * (1 + len(columns))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["bucket", "tokens", *columns])
+            kinds = [pa.int64(), *[pa.binary()] * (2 + len(columns))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["bucket", "tokens", *columns, "places"])
 
         for batch in batches:
             if batch.num_rows:
@@ -184,8 +190,8 @@ def postings(rows: DataFrame, n: int, columns: list[str]) -> DataFrame:
         if held:
             yield from packed()
 
-    names = ", ".join(f"{c} binary" for c in columns)
-    return rows.select("first", *columns).mapInArrow(pack, f"bucket long, tokens binary, {names}")
+    names = ", ".join(f"{c} binary" for c in [*columns, "places"])
+    return rows.select("first", "places", *columns).mapInArrow(pack, f"bucket long, tokens binary, {names}")
 
 
 def _unpack(table: pa.Table, columns: list[str]) -> list[np.ndarray]:
@@ -207,13 +213,14 @@ def votes(table: pa.Table) -> pa.Table:
 
 def matrix_pairs(table: pa.Table) -> pa.Table:
     """Classes of a bucket and the parts of other groups behind their shingles."""
-    tokens, ids, sizes, groups, weights, parts = _unpack(table, ["key", "n", "group", "weight", "part"])
+    tokens, ids, sizes, groups, weights, parts, places = _unpack(table, ["key", "n", "group", "weight", "part", "places"])
+    left = sizes - places  # shingles from this one on
     starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     ends = np.concatenate([starts[1:], [len(tokens)]])
     mixed = np.minimum.reduceat(groups, starts) < np.maximum.reduceat(groups, starts)
     found: set[tuple[int, int, int]] = set()
     for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist()):
-        g, m, s, part = groups[a:b], weights[a:b], sizes[a:b], parts[a:b]
+        g, m, s, part, rest = groups[a:b], weights[a:b], sizes[a:b], parts[a:b], left[a:b]
         # The largest group (of equal ones the smallest key) is only asked.
         largest = g[np.lexsort((g, -m))[0]]
         asking = np.flatnonzero(g != largest)
@@ -222,6 +229,8 @@ def matrix_pairs(table: pa.Table) -> pa.Table:
             at = asking[i : i + step]
             gi, mi, si = g[at, None], m[at, None], s[at, None]
             asks = (gi != g) & ((mi < m) | ((mi == m) & (gi > g))) & (100 * s >= PERCENT * si) & (100 * si >= PERCENT * s)
+            # The first common shingle of a linked pair has enough left behind it on both sides.
+            asks &= (100 + PERCENT) * np.minimum(rest[at, None], rest) >= PERCENT * (si + s)
             q, c = np.nonzero(asks)
             found.update(zip(ids[a + at[q]].tolist(), g[c].tolist(), part[c].tolist()))
     columns = list(zip(*sorted(found))) or [(), (), ()]
@@ -320,7 +329,7 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     found = survivors(docs.filter("key is not null"), n)
     texts = found.join(classes.select("set_key", F.col("class_id").alias("key")), ["set_key", "key"])
-    texts = written(texts.dropDuplicates(["key", "set_key"]).select("key", "n", "first", "text"), "classes-with-partners")
+    texts = written(texts.dropDuplicates(["key", "set_key"]).select("key", "n", "first", "places", "text"), "classes-with-partners")
 
     voted = postings(texts, n, ["key"]).groupBy("bucket").applyInArrow(votes, "a long, b long, votes long")
     voted = voted.groupBy("a", "b").agg(F.sum("votes").alias("votes"))
@@ -335,7 +344,7 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     grouped = texts.join(groups, "key", "left").withColumn("group", F.coalesce("component", "key"))
     counted = grouped.groupBy("group").agg(F.sum("n").alias("weight"))
     part = F.pmod(F.xxhash64("key"), F.lit(1).cast("long") + F.floor(F.col("weight") / PART))
-    grouped = grouped.join(counted, "group").select("key", "n", "first", "group", "weight", part.alias("part"))
+    grouped = grouped.join(counted, "group").select("key", "n", "first", "places", "group", "weight", part.alias("part"))
     grouped = written(grouped, "groups")
     packed = postings(grouped, n, ["key", "n", "group", "weight", "part"])
     asked = packed.groupBy("bucket").applyInArrow(matrix_pairs, "query long, group long, part long")
