@@ -11,7 +11,8 @@ the first n - ceil(0.75 n) + 1 of each. The order puts shingles that few documen
    the two it votes for most. Classes linked so form groups: similar documents, known connected.
 3. Token-group matrix: for each first shingle the groups that have it, large groups cut into parts
    whose members have about ``PART`` shingles. A class asks for the parts of other groups with a
-   member that can still link, given how many shingles both have left behind the common one; where
+   member that can still link, given how many shingles both have left behind the common one and in
+   how many bits their sketches differ; where
    the overlap with a part's union of shingles is as large as a link with its members' sizes needs,
    the part is opened and compared exactly. Of two groups the smaller one asks.
 4. Components of all links, by alternating large and small stars.
@@ -41,6 +42,7 @@ PART = 1 << 20  # shingles of a part's members, about
 VOTES = 2
 BATCH_BYTES = 4 << 20
 PAIRS = 1 << 20  # compared at once within a posting list
+SKETCH = [f"sketch{i}" for i in range(8)]  # columns of 64 bits each
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -67,6 +69,16 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
+def sketch(values: np.ndarray) -> np.ndarray:
+    """Whether an even or odd number of shingles falls on each bit.
+
+    Two sketches differ in no more bits than their sets in shingles.
+    """
+    bits = 64 * len(SKETCH)
+    odd = np.bincount((values >> np.uint64(7)).astype(np.int64) % bits, minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     n = common(a, b)
     return n > 0 and 100 * n >= PERCENT * (len(a) + len(b) - n)
@@ -104,7 +116,8 @@ def _short(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def survivors(docs: DataFrame, n: int) -> DataFrame:
-    """Documents that can have a partner: ``key``, ``set_key``, ``n``, ``first``, ``places`` and ``text``.
+    """Documents that can have a partner: ``key``, ``set_key``, ``n``, ``first``, ``places``, the sketch
+    and ``text``.
 
     ``first`` has those of the first shingles in order that other documents may have too, and
     ``places`` their places in the order of the document's shingles.
@@ -154,15 +167,15 @@ def survivors(docs: DataFrame, n: int) -> DataFrame:
                 places = np.concatenate([places, np.arange(len(known), first)])
             if len(chosen):
                 row = (key, hashlib.md5(own.tobytes()).digest(), len(own), chosen.tobytes(), places.astype(np.int32).tobytes())
-                rows.append((*row, text.decode("utf-8", "replace")))
-        columns = list(zip(*rows)) or [()] * 6
-        kinds = [("key", pa.int64()), ("set_key", pa.binary()), ("n", pa.int64()), ("first", pa.binary()), ("places", pa.binary()), ("text", pa.string())]
+                rows.append((*row, *sketch(own).tolist(), text.decode("utf-8", "replace")))
+        columns = list(zip(*rows)) or [()] * (6 + len(SKETCH))
+        kinds = [("key", pa.int64()), ("set_key", pa.binary()), ("n", pa.int64()), ("first", pa.binary()), ("places", pa.binary()), *[(c, pa.int64()) for c in SKETCH], ("text", pa.string())]
         return pa.table({k: pa.array(c, t) for c, (k, t) in zip(columns, kinds)})
 
     asked = source.groupBy("batch").applyInArrow(ask, "bucket long, batch long, values binary, counts binary")
     answered = asked.groupBy("bucket").applyInArrow(answer, "batch long, bucket long, levels binary")
     return source.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(
-        keep, "key long, set_key binary, n long, first binary, places binary, text string"
+        keep, f"key long, set_key binary, n long, first binary, places binary, {', '.join(f'{c} long' for c in SKETCH)}, text string"
     )
 
 
@@ -213,7 +226,8 @@ def votes(table: pa.Table) -> pa.Table:
 
 def matrix_pairs(table: pa.Table) -> pa.Table:
     """Classes of a bucket and the parts of other groups behind their shingles."""
-    tokens, ids, sizes, groups, weights, parts, places = _unpack(table, ["key", "n", "group", "weight", "part", "places"])
+    tokens, ids, sizes, groups, weights, parts, places, *bits = _unpack(table, ["key", "n", "group", "weight", "part", "places", *SKETCH])
+    sketches = np.stack(bits, axis=1).view(np.uint64)
     left = sizes - places  # shingles from this one on
     starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     ends = np.concatenate([starts[1:], [len(tokens)]])
@@ -232,6 +246,9 @@ def matrix_pairs(table: pa.Table) -> pa.Table:
             # The first common shingle of a linked pair has enough left behind it on both sides.
             asks &= (100 + PERCENT) * np.minimum(rest[at, None], rest) >= PERCENT * (si + s)
             q, c = np.nonzero(asks)
+            differ = np.bitwise_count(sketches[a + at[q]] ^ sketches[a + c]).sum(axis=1, dtype=np.int64)
+            near = (100 + PERCENT) * differ <= (100 - PERCENT) * (s[at[q]] + s[c])
+            q, c = q[near], c[near]
             found.update(zip(ids[a + at[q]].tolist(), g[c].tolist(), part[c].tolist()))
     columns = list(zip(*sorted(found))) or [(), (), ()]
     return pa.table({k: pa.array(c, pa.int64()) for k, c in zip(("query", "group", "part"), columns)})
@@ -329,7 +346,7 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     found = survivors(docs.filter("key is not null"), n)
     texts = found.join(classes.select("set_key", F.col("class_id").alias("key")), ["set_key", "key"])
-    texts = written(texts.dropDuplicates(["key", "set_key"]).select("key", "n", "first", "places", "text"), "classes-with-partners")
+    texts = written(texts.dropDuplicates(["key", "set_key"]).select("key", "n", "first", "places", *SKETCH, "text"), "classes-with-partners")
 
     voted = postings(texts, n, ["key"]).groupBy("bucket").applyInArrow(votes, "a long, b long, votes long")
     voted = voted.groupBy("a", "b").agg(F.sum("votes").alias("votes"))
@@ -344,9 +361,9 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     grouped = texts.join(groups, "key", "left").withColumn("group", F.coalesce("component", "key"))
     counted = grouped.groupBy("group").agg(F.sum("n").alias("weight"))
     part = F.pmod(F.xxhash64("key"), F.lit(1).cast("long") + F.floor(F.col("weight") / PART))
-    grouped = grouped.join(counted, "group").select("key", "n", "first", "places", "group", "weight", part.alias("part"))
+    grouped = grouped.join(counted, "group").select("key", "n", "first", "places", "group", "weight", part.alias("part"), *SKETCH)
     grouped = written(grouped, "groups")
-    packed = postings(grouped, n, ["key", "n", "group", "weight", "part"])
+    packed = postings(grouped, n, ["key", "n", "group", "weight", "part", *SKETCH])
     asked = packed.groupBy("bucket").applyInArrow(matrix_pairs, "query long, group long, part long")
     asked = written(asked.distinct(), "asked")
     opened = grouped.select("key", "group", "part").join(asked.select("group", "part").distinct(), ["group", "part"])
