@@ -4,7 +4,7 @@ Learning: over all labelled rows of the learning part, each term's documents are
 the terms that speak for label 1 (odds of at least ``LEAST_ODDS`` to 1 that are ``LEAST_Z`` standard
 errors from even; at most ``MOST_TERMS``, the surest) are the vocabulary. Labelled texts with a term of it are examples;
 a bounded sample, at most ``MOST_EXAMPLES`` of each label, those with the smallest hash of their
-text, goes into the index, and votes are weighed so that the sample stands for all of them.
+key and text, goes into the index, and votes are weighed so that the sample stands for all of them.
 
 Index: an inverted list per term, cut into blocks of ``BLOCK`` examples, with the largest weight
 of the term in each block. A query adds these up to a bound for each block, opens blocks from the
@@ -171,20 +171,19 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             rows = []
-            for i, v, t in zip(batch.column("id").to_pylist(), batch.column("label").to_pylist(), as_bytes(batch.column("text"))):
+            for i, v, h, t in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "hash")), as_bytes(batch.column("text"))):
                 known = Counter(filter(vocabulary.__contains__, terms(t)))
                 if known:
-                    rows.append((i, v, [vocabulary[k] for k in known], list(known.values())))
-            columns = list(zip(*rows)) or [[], [], [], []]
-            kinds = [batch.schema.field("id").type, pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "label", "terms", "counts"])
+                    rows.append((i, v, h, [vocabulary[k] for k in known], list(known.values())))
+            columns = list(zip(*rows)) or [[], [], [], [], []]
+            kinds = [batch.schema.field("id").type, pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "label", "hash", "terms", "counts"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    hashed = learned.withColumn("hash", F.xxhash64("text"))
-    with_terms = written(hashed.mapInArrow(candidates, f"id {kind}, label int, terms array<int>, counts array<int>"), "toxicity-examples")
-    order = F.xxhash64("terms", "counts")
+    hashed = learned.withColumn("hash", F.xxhash64("id", "text"))
+    with_terms = written(hashed.mapInArrow(candidates, f"id {kind}, label int, hash long, terms array<int>, counts array<int>"), "toxicity-examples")
     sizes = {r.label: r.n for r in with_terms.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = [r for v in (0, 1) for r in with_terms.filter(F.col("label") == v).orderBy(order, "id").limit(MOST_EXAMPLES).collect()]
+    sample = [r for v in (0, 1) for r in with_terms.filter(F.col("label") == v).orderBy("hash", "id").limit(MOST_EXAMPLES).collect()]
     in_sample = Counter(r.label for r in sample)
     without = (n0 + n1) - sum(sizes.values())
     prior = (n1 - sizes.get(1, 0)) / without if without > 0 else (n1 / (n0 + n1) if n0 + n1 else 0.0)

@@ -269,6 +269,17 @@ def test_toxic_texts_are_found_and_labels_are_no_input(spark):
     assert {r.score for r in nothing.collect()} == {0.0}
 
 
+def test_examples_are_a_sample_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_EXAMPLES", 100)
+    made = random.Random(4)
+    rows = [(i, " ".join(["vile" if i % 4 else "rotten"] + [made.choice("abcdefgh") for _ in range(20)]), 1) for i in range(1000)]
+    rows += [(1000 + i, " ".join(made.choice("abcdefgh") for _ in range(20)), 0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    shown = Counter(i % 4 == 0 for i, v in zip(model.ids, model.labels) if v == 1)
+    assert sum(shown.values()) == 100 and 10 <= shown[True] <= 45  # a quarter of the rows
+
+
 def filled(sizes: list[int], weights=(3, 1, 2), share=1.5, most=2.0) -> list[float]:
     """Targets by resharing again and again what is above a cap."""
     caps, goal = [most * s for s in sizes], share * sum(sizes)
