@@ -8,11 +8,12 @@ language's median shrinks with the root of the number of words, so the band is s
 distance times the root: ``WIDTH`` quartile distances beyond its quartiles, upper and lower. Short
 texts are then not rejected by chance.
 
-Counting: tasks count the n-grams of whole texts, Spark sums them; continuation counts, counts of
-counts, discounts and back-off weights are aggregations of that table. The model sent to the tasks
-holds sorted arrays of hashes with one value each. An n-gram is in it if its count is at least
-``LEAST_SHARE`` of all, so each order has at most 1 / LEAST_SHARE entries whatever the corpus; the
-weight of the others goes to the lower order, which keeps the probabilities of a context at 1.
+Counting: tasks count the n-grams of chunks of ``1 << CHUNK_BITS`` rows, Spark sums them;
+continuation counts, counts of counts, discounts and back-off weights are aggregations of that
+table. The model is Spark tables of every counted n-gram and context, and grows with the corpus.
+
+Looking up: the different n-grams of each chunk are dealt by a hash to buckets, which join them to
+their probabilities; each chunk's answers then go, in sorted arrays, to the task that has its rows.
 
 Nulls: a null text is empty, a null language is a language of its own. Texts without characters
 have no perplexity and fail the rules. Equal rows get equal results. A language
@@ -23,14 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import as_bytes, bounded_batches, pieces, sent_if_small, written
 
 ORDER = 5
 BITS = 12  # of a character's code in an n-gram
-LEAST_SHARE = 1.0 / (1 << 20)
+CHUNK_BITS = 13  # of the rows in a chunk
 WIDTH = 2.5
 FLUSH = 2_000_000  # n-grams that a task holds before it hands counts on
 
@@ -89,8 +90,22 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return packed[codes[ORDER - 1 :] != 0].astype(np.int64), np.concatenate([[0], np.cumsum(lengths)])
 
 
+def _chunked(df: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` and ``chunk``, the same in each scan of the input."""
+    return df.select(F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS).alias("chunk"), *columns)
+
+
+def _buckets(n: int) -> int:
+    """The smallest prime from ``n``: packed characters modulo a prime are even."""
+    n = max(n, 3)
+    while any(n % i == 0 for i in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
 def count_grams(df: DataFrame, text: str, lang: str) -> DataFrame:
-    """``lang``, ``gram`` and ``n`` of all n-grams of the highest order."""
+    """``chunk``, ``lang``, ``grams`` and ``n``: the different n-grams of the highest order in a
+    chunk in arrays; a chunk with many has several rows."""
     bounded_batches(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,17 +117,20 @@ def count_grams(df: DataFrame, text: str, lang: str) -> DataFrame:
             return keys, np.bincount(place, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for name, parts in held.items():
+            for (chunk, name), parts in held.items():
                 keys, n = merged(parts)
                 for i in range(0, len(keys), 100_000):
-                    k = keys[i : i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(k), pa.string()), pa.array(k), pa.array(n[i : i + 100_000])], ["lang", "gram", "n"])
+                    columns = [pa.array([x[i : i + 100_000].tolist()], pa.list_(pa.int64())) for x in (keys, n)]
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([name], pa.string()), *columns], ["chunk", "lang", "grams", "n"])
 
         for batch in pieces(batches, "text"):
-            by_lang: dict = {}
-            for name, t in zip(batch.column("lang").to_pylist(), as_bytes(batch.column("text"))):
-                by_lang.setdefault(name, []).append(t)
-            for name, texts in by_lang.items():
+            by_name: dict = {}
+            for chunk, name, t in zip(batch.column("chunk").to_pylist(), batch.column("lang").to_pylist(), as_bytes(batch.column("text"))):
+                by_name.setdefault((chunk, name), []).append(t)
+            if any(k[0] not in {c for c, _ in by_name} for k in held):
+                yield from rows()
+                held, size = {}, 0
+            for name, texts in by_name.items():
                 keys, n = np.unique(grams(texts)[0], return_counts=True)
                 parts = held.setdefault(name, [])
                 parts.append((keys, n))
@@ -125,61 +143,55 @@ def count_grams(df: DataFrame, text: str, lang: str) -> DataFrame:
                     held, size = {}, 0
         yield from rows()
 
-    source = df.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    counted = source.mapInArrow(count, "lang string, gram long, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    source = _chunked(df, F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
+    return written(source.mapInArrow(count, "chunk long, lang string, grams array<long>, n array<long>"), "quality-chunks")
 
 
 class Model:
-    """Sorted arrays of hashes: of each order's n-grams with their discounted probability, and of
-    contexts with the weight of the lower order."""
+    """Tables of each order's n-grams with their discounted probability (``lang``, ``gram``,
+    ``value``) and of contexts with the weight of the lower order (``lang``, ``context``, ``weight``)."""
 
-    def __init__(self, langs: list, values: dict[int, tuple], weights: dict[int, tuple], characters: dict):
-        self.langs = {name: i + 1 for i, name in enumerate(langs)}
+    def __init__(self, values: dict[int, DataFrame], weights: dict[int, DataFrame], characters: dict):
         self.values, self.weights, self.characters = values, weights, characters
 
-    @staticmethod
-    def key(lang: int, gram: np.ndarray) -> np.ndarray:
-        mixed = (gram.astype(np.uint64) + np.uint64(lang)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9 + 2 * lang)
-        return mixed ^ mixed >> np.uint64(29)
-
-    @staticmethod
-    def _find(table: tuple, keys: np.ndarray, absent: float) -> np.ndarray:
-        hashes, values = table
-        if not len(hashes):
-            return np.full(len(keys), absent)
-        place = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
-        return np.where(hashes[place] == keys, values[place], absent)
-
-    def log_probability(self, name, gram: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the probability of each n-gram's last character."""
-        lang = self.langs.get(name, 0)
-        p = np.full(len(gram), 1.0 / max(1, self.characters.get(name, 1) + 1))
+    def log_probabilities(self, wanted: DataFrame) -> DataFrame:
+        """``lang``, ``gram`` and ``log_p``, the natural logarithm of the probability of the
+        n-gram's last character, of the different ``lang`` and ``gram`` of ``wanted``."""
+        lower = None
         for n in range(1, ORDER + 1):
-            part = gram & ((1 << BITS * n) - 1)
-            weight = self._find(self.weights[n], self.key(lang, part >> BITS), 1.0)
-            p = self._find(self.values[n], self.key(lang, part), 0.0) + weight * p
-        return np.log(p)
+            part = wanted.select("lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * n) - 1)).alias("gram")).distinct()
+            part = part.withColumns({"_context": F.shiftright("gram", BITS), "_suffix": F.col("gram").bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1))})
+            for table, mine, its in ((self.values[n], "gram", "gram"), (self.weights[n], "_context", "context"), (lower, "_suffix", "gram")):
+                if table is not None:
+                    table = table.withColumnsRenamed({"lang": "_lang", its: "_its"})
+                    part = part.join(table, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col(mine) == F.col("_its")), "left").drop("_lang", "_its")
+            if lower is None:
+                p = F.lit(0.5)
+                for name, count in self.characters.items():
+                    p = F.when(F.col("lang").eqNullSafe(F.lit(name)), F.lit(1.0 / (max(1, count) + 1))).otherwise(p)
+                part = part.withColumn("p", p)
+            p = F.coalesce("value", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("p")
+            lower = part.select("lang", "gram", p.alias("p"))
+        return lower.select("lang", "gram", F.log("p").alias("log_p"))
 
-    def losses(self, name, texts: list[bytes]) -> list[float]:
-        """Negative log-probability of each text."""
-        gram, starts = grams(texts)
-        if not len(gram):
-            return [0.0] * len(texts)
-        each, place = np.unique(gram, return_inverse=True)
-        sums = np.concatenate([[0.0], np.cumsum(-self.log_probability(name, each)[place])])
-        return (sums[starts[1:]] - sums[starts[:-1]]).tolist()
+    def log_probability(self, name, gram: np.ndarray) -> np.ndarray:
+        """The same for an array of n-grams of a language."""
+        spark = self.values[1].sparkSession
+        wanted = spark.createDataFrame([(name, g) for g in gram.tolist()], "lang string, gram long")
+        found = {r.gram: r.log_p for r in self.log_probabilities(wanted).collect()}
+        return np.array([found[g] for g in gram.tolist()])
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Count all texts and make the model."""
-    table = written(count_grams(df, text, lang), "quality-grams")
-    langs = [r.lang for r in table.select("lang").distinct().orderBy("lang").collect()]
+    return _model(count_grams(df, text, lang))
+
+
+def _model(chunks: DataFrame) -> Model:
+    pairs = chunks.select("lang", F.explode(F.arrays_zip("grams", "n")).alias("_pair"))
+    table = written(pairs.groupBy("lang", F.col("_pair.grams").alias("gram")).agg(F.sum("_pair.n").alias("n")), "quality-grams")
     values, weights, characters = {}, {}, {}
     for order in range(ORDER, 0, -1):
-        total = table.agg(F.sum("n").alias("n")).first().n or 0
         ones = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).alias(f"n{i}") for i in range(1, 5)]
         counts = {r.lang: r for r in table.groupBy("lang").agg(*ones, F.count(F.lit(1)).alias("all")).collect()}
         if order == 1:
@@ -191,34 +203,74 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             by_count = F.when(F.col("n") == 1, F.lit(d[0])).when(F.col("n") == 2, F.lit(d[1])).otherwise(F.lit(d[2]))
             discount = F.when(F.col("lang").eqNullSafe(F.lit(name)), by_count).otherwise(discount)
         named = table.withColumns({"context": F.shiftright("gram", BITS), "left": F.col("n") - discount})
-        kept = F.col("n") >= F.lit(LEAST_SHARE * total)
-        contexts = named.groupBy("lang", "context").agg(
-            F.sum("n").alias("total"), F.sum(F.when(kept, F.col("left")).otherwise(0.0)).alias("given"), F.max(kept).alias("used")
-        )
-        contexts = contexts.filter("used")
-        stored = named.filter(kept).alias("a").join(
-            contexts.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.context") == F.col("b.context"))
-        ).select("a.lang", "gram", (F.col("left") / F.col("total")).alias("value"))
-        values[order] = _arrays(stored, "gram", langs)
-        weights[order] = _arrays(contexts.select("lang", "context", (1.0 - F.col("given") / F.col("total")).alias("value")), "context", langs)
+        contexts = named.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("left").alias("given"))
+        contexts = written(contexts.withColumn("weight", 1.0 - F.col("given") / F.col("total")), "quality-contexts")
+        stored = named.alias("a").join(contexts.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.context") == F.col("b.context")))
+        values[order] = stored.select("a.lang", "gram", (F.col("left") / F.col("total")).alias("value"))
+        weights[order] = contexts.select("lang", "context", "weight")
         if order > 1:
             # A shorter n-gram counts the different characters it follows.
             table = table.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-            if order == ORDER:
-                table = written(table, "quality-grams")
-    return Model(langs, values, weights, characters)
-
-
-def _arrays(df: DataFrame, column: str, langs: list) -> tuple[np.ndarray, np.ndarray]:
-    """At most 1 / LEAST_SHARE rows, as sorted hashes and their values."""
-    table = df.toArrow()
-    names = np.array([langs.index(x) + 1 for x in table.column("lang").to_pylist()], dtype=np.int64)
-    gram, value = (table.column(c).to_numpy() for c in (column, "value"))
-    keys = np.zeros(len(gram), dtype=np.uint64)
-    for lang in np.unique(names).tolist():
-        keys[names == lang] = Model.key(lang, gram[names == lang])
-    order = np.argsort(keys, kind="stable")
-    return keys[order], value[order].astype(np.float32)
+            table = written(table, "quality-grams")
+    return Model(values, weights, characters)
+
+
+def _answers(chunks: DataFrame, found: DataFrame) -> DataFrame:
+    """``chunk``, ``lang``, ``grams`` and ``log_p`` in arrays, by ``found``'s ``log_p`` of each n-gram."""
+    buckets = _buckets(chunks.count())
+    found = found.withColumn("bucket", F.col("gram") % buckets)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, name, each in zip(*(batch.column(c) for c in ("chunk", "lang", "grams"))):
+                each = each.values.to_numpy()
+                at = each % buckets
+                order = np.argsort(at, kind="stable")
+                ends = np.searchsorted(at[order], np.arange(buckets + 1))
+                sizes = np.diff(ends)
+                used = np.flatnonzero(sizes)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(ends[used], len(each)), pa.int32()), pa.array(each[order]))
+                n = len(used)
+                names = pa.array([name.as_py()] * n, pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array([chunk.as_py()] * n, pa.int64()), names, lists], ["bucket", "chunk", "lang", "grams"])
+
+    def look(asked: pa.Table, known: pa.Table) -> pa.Table:
+        names = np.array(known.column("lang").to_pylist(), dtype=object)
+        gram, log_p = known.column("gram").to_numpy(), known.column("log_p").to_numpy()
+        tables = {}
+        for name in set(names.tolist()):
+            at = np.flatnonzero(names == name)
+            at = at[np.argsort(gram[at])]
+            tables[name] = (gram[at], log_p[at])
+        answers = []
+        for name, each in zip(asked.column("lang").to_pylist(), (x.values.to_numpy() for x in asked.column("grams"))):
+            place = np.searchsorted(tables[name][0], each)
+            assert (tables[name][0][place] == each).all()
+            answers.append(tables[name][1][place].tolist())
+        return pa.table([asked.column("chunk"), asked.column("lang"), asked.column("grams"), pa.array(answers, pa.list_(pa.float64()))], ["chunk", "lang", "grams", "log_p"])
+
+    dealt = chunks.select("chunk", "lang", "grams").mapInArrow(split, "bucket long, chunk long, lang string, grams array<long>")
+    return dealt.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(look, "chunk long, lang string, grams array<long>, log_p array<double>")
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def losses(table: tuple | None, texts: list[bytes]) -> list[float]:
+    """Negative log-probability of each text by sorted n-grams and their logarithms."""
+    gram, starts = grams(texts)
+    if not len(gram):
+        return [0.0] * len(texts)
+    each, place = np.unique(gram, return_inverse=True)
+    at = np.searchsorted(table[0], each) if table else np.zeros(0)
+    if not table or at[-1] == len(table[0]) or (table[0][at] != each).any():
+        raise RuntimeError("the input had other rows when its n-grams were counted")
+    sums = np.concatenate([[0.0], np.cumsum(-table[1][at][place])])
+    return (sums[starts[1:]] - sums[starts[:-1]]).tolist()
 
 
 def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -228,28 +280,60 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
     ``n_repeat_words``, ``base_failed``, ``kept``, ``log_perplexity``, and the language's
     ``lower`` and ``upper`` for as many words. Other columns are not read.
     """
-    spark = df.sparkSession
-    bounded_batches(spark)
-    sent = spark.sparkContext.broadcast(model or fit(df, text, lang))
+    bounded_batches(df.sparkSession)
+    chunks = count_grams(df, text, lang)
+    if model:
+        wanted = written(chunks.select("lang", F.explode("grams").alias("gram")).distinct(), "quality-wanted")
+    else:
+        model = _model(chunks)
+        wanted = model.values[ORDER].select("lang", "gram")
+    answers = _answers(chunks, written(model.log_probabilities(wanted), "quality-answers"))
     kind = df.schema[key].dataType.simpleString()
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a chunk as compressed batches."""
         for batch in pieces(batches, "text"):
-            texts, names = as_bytes(batch.column("text")), batch.column("lang").to_pylist()
-            found = [0.0] * len(texts)
-            for name in set(names):
-                at = [i for i, x in enumerate(names) if x == name]
-                for i, result in zip(at, m.losses(name, [texts[i] for i in at])):
-                    found[i] = result
-            columns = [pa.array(c, pa.int64()) for c in zip(*map(rules, texts))]
-            columns.append(pa.array(found, pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *columns], ["key", "lang", *numbers, "loss"])
-
-    source = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
+            chunk = batch.column("chunk").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), batch.num_rows]
+            parts = [_packed(batch.slice(a, b - a).select(["key", "lang", "text"])) for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(chunk[cuts[:-1]]), pa.array(parts, pa.binary())], ["chunk", "rows"])
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A chunk's answers come before its rows."""
+        now, parts, tables = None, {}, {}
+        for batch in batches:
+            for i, (chunk, name, rows) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("chunk", "lang", "rows")))):
+                if chunk != now:
+                    now, parts, tables = chunk, {}, {}
+                if rows is None:
+                    parts.setdefault(name, []).append(tuple(batch.column(c)[i].values.to_numpy() for c in ("grams", "log_p")))
+                    continue
+                for name in list(parts):
+                    each, log_p = (np.concatenate(x) for x in zip(*parts.pop(name)))
+                    first = np.unique(each, return_index=True)[1]
+                    tables[name] = (each[first], log_p[first])
+                for part in pa.ipc.open_stream(rows):
+                    yield scored(part, tables)
+
+    def scored(batch: pa.RecordBatch, tables: dict) -> pa.RecordBatch:
+        texts, names = as_bytes(batch.column("text")), batch.column("lang").to_pylist()
+        found = [0.0] * len(texts)
+        for name in set(names):
+            at = [i for i, x in enumerate(names) if x == name]
+            for i, result in zip(at, losses(tables.get(name), [texts[i] for i in at])):
+                found[i] = result
+        columns = [pa.array(c, pa.int64()) for c in zip(*map(rules, texts))]
+        columns.append(pa.array(found, pa.float64()))
+        return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *columns], ["key", "lang", *numbers, "loss"])
+
+    source = _chunked(df, F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = source.mapInArrow(packed, "chunk long, rows binary")
+    both = answers.withColumn("rows", F.lit(None).cast("binary")).unionByName(rows, allowMissingColumns=True)
+    both = both.repartition(max(1, chunks.select("chunk").distinct().count()), "chunk")
+    both = both.sortWithinPartitions("chunk", F.col("rows").isNotNull())
     kinds = ", ".join(f"{n} long" for n in numbers)
-    found = written(source.mapInArrow(judged, f"key {kind}, lang string, {kinds}, loss double"), "quality")
+    found = written(both.mapInArrow(judged, f"key {kind}, lang string, {kinds}, loss double"), "quality")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     words = F.nullif(F.col("n_words"), F.lit(0))
     found = found.withColumns({"base_failed": failed, "log_perplexity": F.col("loss") / words})

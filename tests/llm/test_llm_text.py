@@ -186,6 +186,15 @@ def test_perplexity_tells_other_text(spark):
     assert 0.9 < np.exp(model.log_probability("xx", grams)).sum() <= 1.0001  # the rest is for unseen characters
 
 
+def test_rare_ngrams_are_in_the_model(spark):
+    """An n-gram below a millionth of all characters keeps its own probability."""
+    made = random.Random(2)
+    texts = ["".join(made.choice("cdefghijklmnop") for _ in range(n)) for n in (40, 20, 10, 8)]
+    rows = [(0, "ab" * 1_500_000, "xx")] + [(10 * i + j, t, "xx") for i, t in enumerate(texts, 1) for j in range(i)]
+    model = quality.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert np.exp(model.log_probability("xx", quality.grams([texts[1].encode()])[0][-1:]))[0] > 0.37  # it occurs twice
+
+
 def test_edited_texts_and_their_likeness(spark, empty):
     rows = [(3, "One two three. Four five six.\nSeven eight.\n\nNine ten."), (2, "Alpha beta. Gamma delta.\nEpsilon."), (1, None), (None, "last"), (7, "é" * 9)]
     got = {r.doc_id: r for r in merkle.compare_with_edited(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
