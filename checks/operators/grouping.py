@@ -8,22 +8,29 @@ from starmart.functions import (
     concat_text,
     count_where,
     date_text,
+    distinct_ids,
+    highest,
     label,
     leading_token,
+    lowest,
     n_distinct,
     n_distinct_where,
+    number,
     per_90,
     period_label,
+    quotient,
     ratio,
     scaled,
     string_list,
     sum_case,
     sum_where,
+    total,
     word,
 )
 from starmart.operators import (
     aggregate,
     cube,
+    distinct_counts,
     drill_down,
     exact_median,
     grouping_sets,
@@ -31,6 +38,7 @@ from starmart.operators import (
     pivot,
     roll_up,
     share_of_total,
+    tally,
 )
 from checks.sql import isum, msum, rounded
 from checks.testmart import Tables, with_mart
@@ -98,18 +106,36 @@ OPERATORS["agg_count_distinct"] = (
     "select l_returnflag, count(distinct l_partkey) as parts from lineitem group by l_returnflag",
 )
 OPERATORS["agg_multi_distinct"] = (
-    lambda t: aggregate(
-        t["lineitem"], ["l_returnflag"],
-        {
-            "parts": n_distinct("l_partkey"),
-            "suppliers": n_distinct("l_suppkey"),
-            "orders": n_distinct("l_orderkey"),
-            "row_count": F.count(F.lit(1)),
-        },
+    lambda t: distinct_counts(
+        t["lineitem"], ["l_returnflag"], {"parts": "l_partkey", "suppliers": "l_suppkey", "orders": "l_orderkey"},
+        {"row_count": F.count(F.lit(1))},
     ),
     """select l_returnflag, count(distinct l_partkey) as parts, count(distinct l_suppkey) as suppliers,
               count(distinct l_orderkey) as orders, count(*) as row_count from lineitem group by l_returnflag""",
 )
+OPERATORS["agg_distinct_rollup"] = (
+    lambda t: roll_up(
+        t["lineitem"], ["l_returnflag", "l_linestatus"],
+        {
+            "suppliers": distinct_ids("l_suppkey", 32768), "last_part": highest("l_partkey"), "first_part": lowest("l_partkey"),
+            "mean_lines": quotient(number(), number(F.col("l_linenumber") == 1), 2),
+        },
+    ),
+    """select l_returnflag, l_linestatus, count(distinct l_suppkey) as suppliers, max(l_partkey) as last_part,
+              min(l_partkey) as first_part,
+              cast(round(cast(count(*) as decimal(26,4)) / count(*) filter (l_linenumber = 1), 2) as double) as mean_lines
+       from lineitem group by rollup (l_returnflag, l_linestatus)""",
+)
+OPERATORS["agg_tally"] = (
+    lambda t: tally(
+        t["lineitem"], ["l_returnflag"], ["l_linenumber"],
+        {"suppliers": "l_suppkey", "parts": "l_partkey", "states": "l_linestatus"}, {"state_list": "l_linestatus"},
+    ).withColumn("state_list", F.array_join("state_list", ", ")),
+    """select l_returnflag, cast(sum(l_linenumber) as bigint) as l_linenumber, count(distinct l_suppkey) as suppliers,
+              count(distinct l_partkey) as parts, count(distinct l_linestatus) as states,
+              array_to_string(list_sort(list(distinct l_linestatus)), ', ') as state_list
+       from lineitem group by l_returnflag""",
+)
 OPERATORS["agg_distinct_filter"] = (
     lambda t: aggregate(
         t["lineitem"], ["l_returnflag"],
@@ -158,7 +184,7 @@ _CALENDAR_ORDERS = """(select year(o_orderdate) as year, quarter(o_orderdate) as
         o_orderstatus, o_orderpriority, cast(o_totalprice as decimal(15,2)) as price from orders) o"""
 OPERATORS["agg_rollup"] = (
     lambda t: roll_up(
-        _calendar_orders(t), ["year", "quarter", "month"], {"orders": F.count(F.lit(1)), "total": F.sum("price")}
+        _calendar_orders(t), ["year", "quarter", "month"], {"orders": number(), "total": total("price")}
     ),
     f"""select year, quarter, month, count(*) as orders, {msum('price')} as total from {_CALENDAR_ORDERS}
         group by rollup (year, quarter, month)""",
@@ -171,7 +197,7 @@ OPERATORS["agg_rollup_partial"] = (
 OPERATORS["agg_cube"] = (
     lambda t: cube(
         _calendar_orders(t), ["year", "o_orderstatus", "o_orderpriority"],
-        {"level": F.grouping_id().cast("int"), "orders": F.count(F.lit(1))},
+        {"level": F.grouping_id().cast("int"), "orders": number()},
     ),
     f"""select year, o_orderstatus, o_orderpriority,
                cast(grouping(year, o_orderstatus, o_orderpriority) as int) as level, count(*) as orders
@@ -180,7 +206,7 @@ OPERATORS["agg_cube"] = (
 OPERATORS["agg_grouping_sets"] = (
     lambda t: grouping_sets(
         _calendar_orders(t), [["year", "o_orderstatus"], ["year"], ["o_orderstatus"], []],
-        {"orders": F.count(F.lit(1)), "total": F.sum("price")},
+        {"orders": number(), "total": total("price")},
     ),
     f"""select year, o_orderstatus, count(*) as orders, {msum('price')} as total from {_CALENDAR_ORDERS}
         group by grouping sets ((year, o_orderstatus), (year), (o_orderstatus), ())""",

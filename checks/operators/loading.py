@@ -11,9 +11,11 @@ from starmart.operators import (
     apply_null_rules,
     dedupe,
     derive_outcome,
+    detect_date_formats,
     enrich,
     filter_fk,
     first_available,
+    iso_dates,
     lookup,
     redirect_fk,
     rename,
@@ -26,7 +28,7 @@ from starmart.operators import (
 from starmart.plans import loads
 from starmart.session import shared_folder
 from starmart.sources import date_dimension, load_metrics, read_csv, read_table, write_table
-from checks.sources import BUILT, RAW, raw_tables, with_raw
+from checks.sources import BUILT, RAW, integer, raw_tables, with_raw
 from checks.testmart import Tables, with_mart
 
 OPERATORS: dict[str, tuple] = {}
@@ -169,6 +171,20 @@ OPERATORS["load_try_date"] = (
     lambda t: raw_tables(t.spark, t.sf_dir)["games"].select("game_id", to_date_lenient("date").alias("day")),
     with_raw("raw_games", "select game_id, try_cast(date as date) as day from raw_games"),
 )
+
+
+def _detected_dates(t: Tables):
+    """Dates in two formats that are told from the rows themselves."""
+    day = F.col("o_orderdate").cast("date")
+    rows = t["orders"].select("o_orderkey", F.date_format(day, "dd/MM/yyyy").alias("day"), F.date_format(day, "yyyyMMdd").alias("packed"))
+    rows = iso_dates(rows, detect_date_formats(rows, ["day", "packed", "absent"], loads.DATE_FORMATS, 100_000))
+    return rows.select("o_orderkey", to_date_lenient("day").alias("day"), to_date_lenient("packed").alias("packed"))
+
+
+OPERATORS["load_detect_dates"] = (
+    _detected_dates,
+    "select o_orderkey, cast(o_orderdate as date) as day, cast(o_orderdate as date) as packed from orders",
+)
 OPERATORS["load_date_id"] = (
     lambda t: t["orders"].select("o_orderkey", date_id("o_orderdate").alias("date_id")),
     "select o_orderkey, cast(strftime(o_orderdate, '%Y%m%d') as int) as date_id from orders",
@@ -365,6 +381,58 @@ def _view(table: str) -> str:
     return table if table == "dim_date" else "built_" + table.removeprefix("dim_")
 
 
+def _rejects_sql() -> str:
+    """Source rows per table and rule: each is lost to the first rule that it fails."""
+    clubs, players, games, dates = (
+        f"(select {key} from {_view(dim)})"
+        for key, dim in (("club_id", "dim_clubs"), ("player_id", "dim_players"), ("game_id", "dim_games"), ("date_id", "dim_date"))
+    )
+    leagues = f"(select competition_id from {_view('dim_competitions')})"
+    number = lambda column: f"coalesce({integer(column)}, -1)"
+    key = lambda column: f"coalesce(cast(strftime(try_cast({column} as date), '%Y%m%d') as int), -1)"
+    earlier = lambda column: f"row_number() over (partition by {column} order by _row_order) > 1"
+    rules = {
+        ("dim_competitions", "competitions"): {"duplicate": earlier("competition_id"), "missing": "competition_id is null"},
+        ("dim_clubs", "clubs"): {"duplicate": earlier("club_id"), "missing": f"{integer('club_id')} is null"},
+        ("dim_players", "players"): {"duplicate": earlier("player_id"), "missing": f"{integer('player_id')} is null"},
+        ("dim_games", "games"): {
+            "duplicate": earlier("game_id"),
+            "missing": f"{integer('game_id')} is null or competition_id is null or try_cast(date as date) is null",
+            "home_club_id": f"{number('home_club_id')} not in {clubs}", "away_club_id": f"{number('away_club_id')} not in {clubs}",
+            "competition_id": f"competition_id not in {leagues}",
+        },
+        ("fact_games", "games"): {
+            "game_id": f"{number('game_id')} not in {games}", "competition_id": f"coalesce(competition_id, 'Unknown') not in {leagues}",
+            "home_club_id": f"{number('home_club_id')} not in {clubs}", "away_club_id": f"{number('away_club_id')} not in {clubs}",
+            "date_id": f"{key('date')} not in {dates}",
+        },
+        ("fact_appearances", "appearances"): {
+            "game_id": f"{number('game_id')} not in {games}", "player_id": f"{number('player_id')} not in {players}",
+            "club_id": f"{number('player_club_id')} not in {clubs}",
+        },
+        ("fact_game_events", "game_events"): {
+            "game_id": f"{number('game_id')} not in {games}", "club_id": f"{number('club_id')} not in {clubs}",
+            "player_id": f"{number('player_id')} not in {players}",
+        },
+        ("fact_transfers", "transfers"): {
+            "missing": f"{integer('player_id')} is null or try_cast(transfer_date as date) is null",
+            "player_id": f"{number('player_id')} not in {players}", "transfer_date_id": f"{key('transfer_date')} not in {dates}",
+        },
+        ("fact_player_valuations", "player_valuations"): {
+            "player_id": f"{number('player_id')} not in {players}", "club_id": f"{number('current_club_id')} not in {clubs}",
+            "date_id": f"{key('date')} not in {dates}",
+        },
+    }
+    parts = []
+    for (table, source), own in rules.items():
+        first = " ".join(f"when {condition} then '{rule}'" for rule, condition in own.items())
+        names = ", ".join(f"('{rule}')" for rule in own)
+        parts.append(f"""
+            select 'rows_rejected', '{table}.' || rule, count(failed) from (values {names}) r(rule)
+            left join (select case {first} end as failed from raw_{source}) x on failed = rule group by rule""")
+    return " union all ".join(parts)
+
+
 def _status_sql() -> str:
     """The status of a full load: counts of the tables that must come out, and their orphans."""
     files = sorted({s for _, sources, _ in loads.JOBS.values() for s in sources})
@@ -372,14 +440,18 @@ def _status_sql() -> str:
     for table in ("dim_date", *loads.JOBS):
         parts.append(f"select 'rows_loaded', '{table}', count(*) from {_view(table)}")
         parts.append(f"select 'nulls', '{table}', 0")
+        parts.append(f"select 'repeated_keys', '{table}', count(*) - count(distinct {loads.KEYS[table]}) from {_view(table)}")
+    parts += [f"select 'rows_unaccounted', '{table}', 0" for table in loads.JOBS]
+    measures = ("goal_difference", "total_goals", "is_home_win", "is_draw", "is_away_win")
+    parts += [f"select 'wrong_measures', 'fact_games.{c}', 0" for c in measures]
     for name, (fact, column, dim, key) in loads.foreign_keys({n: n for n in ("dim_date", *loads.JOBS)}).items():
         parts.append(
             f"select 'orphans', '{name}', count(*) from {_view(fact)} "
             f"where {column} is null or {column} not in (select {key} from {_view(dim)})"
         )
-    rows = " union all ".join(parts)
+    rows = " union all ".join([*parts, _rejects_sql()])
     return f"""select check_type, check_name, cast(found as bigint) as found,
-                      check_type = 'rows_loaded' or found = 0 as ok from ({rows}) s"""
+                      check_type in ('rows_loaded', 'rows_rejected') or found = 0 as ok from ({rows}) s"""
 
 
 OPERATORS["job_all"] = (_load_everything, with_raw(" ".join([*RAW, "dim_date", *BUILT]), _status_sql()))

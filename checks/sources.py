@@ -132,7 +132,7 @@ RAW = {
 }
 
 
-def _int(column: str) -> str:
+def integer(column: str) -> str:
     return f"coalesce(try_cast({column} as int), cast(try_cast({column} as double) as int))"
 
 
@@ -145,23 +145,23 @@ def _absent(columns: str) -> str:
 BUILT = {
     "built_competitions": f"""
         select competition_id, coalesce(competition_code, 'N/A') as competition_code, coalesce(name, 'N/A') as name,
-               coalesce(sub_type, 'N/A') as sub_type, coalesce(type, 'N/A') as type, coalesce({_int('country_id')}, -1) as country_id,
+               coalesce(sub_type, 'N/A') as sub_type, coalesce(type, 'N/A') as type, coalesce({integer('country_id')}, -1) as country_id,
                coalesce(country_name, 'N/A') as country_name, coalesce(domestic_league_code, 'N/A') as domestic_league_code,
                coalesce(confederation, 'N/A') as confederation, coalesce(url, 'N/A') as url,
                coalesce(try_cast(is_major_national_league as boolean), try_cast(is_major_national_league as double) <> 0, false) as is_major_national_league
         from (select *, row_number() over (partition by competition_id order by _row_order) as rn from raw_competitions) r
         where rn = 1""",
     "built_clubs": f"""
-        select {_int('club_id')} as club_id, coalesce(club_code, 'N/A') as club_code, coalesce(name, 'N/A') as name,
+        select {integer('club_id')} as club_id, coalesce(club_code, 'N/A') as club_code, coalesce(name, 'N/A') as name,
                coalesce(domestic_competition_id, 'N/A') as domestic_competition_id,
                coalesce(try_cast(total_market_value as decimal(15,2)), -1) as total_market_value,
-               coalesce({_int('squad_size')}, -1) as squad_size, coalesce(try_cast(average_age as decimal(4,2)), 0) as average_age,
-               coalesce({_int('foreigners_number')}, -1) as foreigners_number,
+               coalesce({integer('squad_size')}, -1) as squad_size, coalesce(try_cast(average_age as decimal(4,2)), 0) as average_age,
+               coalesce({integer('foreigners_number')}, -1) as foreigners_number,
                coalesce(try_cast(foreigners_percentage as decimal(5,2)), 0) as foreigners_percentage,
-               coalesce({_int('national_team_players')}, -1) as national_team_players,
-               coalesce(stadium_name, 'N/A') as stadium_name, coalesce({_int('stadium_seats')}, -1) as stadium_seats,
+               coalesce({integer('national_team_players')}, -1) as national_team_players,
+               coalesce(stadium_name, 'N/A') as stadium_name, coalesce({integer('stadium_seats')}, -1) as stadium_seats,
                coalesce(net_transfer_record, 'N/A') as net_transfer_record, coalesce(coach_name, 'N/A') as coach_name,
-               coalesce({_int('last_season')}, -1) as last_season, coalesce(url, 'N/A') as url
+               coalesce({integer('last_season')}, -1) as last_season, coalesce(url, 'N/A') as url
         from (select *, row_number() over (partition by club_id order by _row_order) as rn from raw_clubs) r
         where rn = 1 and club_id is not null
         union all
@@ -172,8 +172,8 @@ BUILT = {
             "current_club_domestic_competition_id current_club_name"
         )}
         from (
-        select {_int('player_id')} as player_id, coalesce(name, 'N/A') as name, coalesce({_int('last_season')}, -1) as last_season,
-               coalesce({_int('current_club_id')}, -1) as current_club_id,
+        select {integer('player_id')} as player_id, coalesce(name, 'N/A') as name, coalesce({integer('last_season')}, -1) as last_season,
+               coalesce({integer('current_club_id')}, -1) as current_club_id,
                coalesce(country_of_citizenship, 'N/A') as country_of_citizenship,
                coalesce(try_cast(date_of_birth as date), date '1900-01-01') as date_of_birth,
                coalesce(position, 'N/A') as position, coalesce(try_cast(height_in_cm as decimal(5,2)), -1) as height_in_cm,
@@ -185,11 +185,11 @@ BUILT = {
         select -1, 'Desconocido', -1, -1, 'N/A', date '1900-01-01', 'N/A', -1, date '9999-12-31', -1, -1) p""",
     "built_games": f"""
         select * from (
-            select {_int('game_id')} as game_id, competition_id, coalesce({_int('season')}, -1) as season,
+            select {integer('game_id')} as game_id, competition_id, coalesce({integer('season')}, -1) as season,
                    coalesce(left(round, 50), 'N/A') as round, try_cast(date as date) as date,
-                   coalesce({_int('home_club_id')}, -1) as home_club_id, coalesce({_int('away_club_id')}, -1) as away_club_id,
+                   coalesce({integer('home_club_id')}, -1) as home_club_id, coalesce({integer('away_club_id')}, -1) as away_club_id,
                    coalesce(home_club_name, 'N/A') as home_club_name, coalesce(away_club_name, 'N/A') as away_club_name,
-                   coalesce({_int('attendance')}, -1) as attendance,
+                   coalesce({integer('attendance')}, -1) as attendance,
                    coalesce(left(home_club_formation, 20), 'N/A') as home_club_formation,
                    coalesce(left(away_club_formation, 20), 'N/A') as away_club_formation,
                    {_absent("stadium referee url home_club_manager_name away_club_manager_name aggregate competition_type")}
@@ -203,13 +203,13 @@ BUILT = {
                home_club_goals + away_club_goals as total_goals, home_club_goals > away_club_goals as is_home_win,
                home_club_goals = away_club_goals as is_draw, home_club_goals < away_club_goals as is_away_win
         from (
-            select {_int('r.game_id')} as game_id, competition_id, coalesce({_int('home_club_id')}, -1) as home_club_id,
-                   coalesce({_int('away_club_id')}, -1) as away_club_id,
+            select {integer('r.game_id')} as game_id, competition_id, coalesce({integer('home_club_id')}, -1) as home_club_id,
+                   coalesce({integer('away_club_id')}, -1) as away_club_id,
                    coalesce(cast(strftime(try_cast(date as date), '%Y%m%d') as int), -1) as date_id,
-                   coalesce({_int('season')}, -1) as season, coalesce({_int('home_club_goals')}, 0) as home_club_goals,
-                   coalesce({_int('away_club_goals')}, 0) as away_club_goals,
-                   coalesce({_int('h.own_position')}, 0) as home_club_position,
-                   coalesce({_int('a.own_position')}, 0) as away_club_position, coalesce({_int('attendance')}, -1) as attendance
+                   coalesce({integer('season')}, -1) as season, coalesce({integer('home_club_goals')}, 0) as home_club_goals,
+                   coalesce({integer('away_club_goals')}, 0) as away_club_goals,
+                   coalesce({integer('h.own_position')}, 0) as home_club_position,
+                   coalesce({integer('a.own_position')}, 0) as away_club_position, coalesce({integer('attendance')}, -1) as attendance
             from raw_games r left join raw_club_games h on h.game_id = r.game_id and trim(h.hosting) = 'Home'
                  left join raw_club_games a on a.game_id = r.game_id and trim(a.hosting) = 'Away') g
         where game_id in (select game_id from built_games) and date_id in (select date_id from dim_date)""",
@@ -220,10 +220,10 @@ BUILT = {
                coalesce(minutes_played, 0) as minutes_played, coalesce(goals, 0) as goals, coalesce(assists, 0) as assists,
                coalesce(yellow_cards, 0) as yellow_cards, coalesce(red_cards, 0) as red_cards
         from (
-            select a.appearance_id, {_int('a.game_id')} as game_id, {_int('a.player_id')} as player_id,
-                   {_int('player_club_id')} as club_id, player_name, l.type, l.position,
-                   l.team_captain = '1.0' as team_captain, {_int('minutes_played')} as minutes_played, {_int('goals')} as goals,
-                   {_int('assists')} as assists, {_int('yellow_cards')} as yellow_cards, {_int('red_cards')} as red_cards
+            select a.appearance_id, {integer('a.game_id')} as game_id, {integer('a.player_id')} as player_id,
+                   {integer('player_club_id')} as club_id, player_name, l.type, l.position,
+                   l.team_captain = '1.0' as team_captain, {integer('minutes_played')} as minutes_played, {integer('goals')} as goals,
+                   {integer('assists')} as assists, {integer('yellow_cards')} as yellow_cards, {integer('red_cards')} as red_cards
             from raw_appearances a left join (
                 select *, row_number() over (partition by game_id, player_id order by _row_order) as rn
                 from raw_game_lineups) l on l.game_id = a.game_id and l.player_id = a.player_id and rn = 1) x
@@ -235,11 +235,11 @@ BUILT = {
                case when player_assist_id in (select player_id from built_players) then player_assist_id else -1 end as player_assist_id,
                minute
         from (
-            select game_event_id as event_id, {_int('game_id')} as game_id, {_int('club_id')} as club_id,
-                   coalesce({_int('player_id')}, -1) as player_id, type, nullif(trim(ltrim(description, ', ')), '') as description,
-                   case when type = 'Substitutions' then coalesce({_int('player_in_id')}, -1) else -1 end as player_in_id,
-                   case when type = 'Goals' then coalesce({_int('player_assist_id')}, -1) else -1 end as player_assist_id,
-                   coalesce({_int('minute')}, -1) as minute
+            select game_event_id as event_id, {integer('game_id')} as game_id, {integer('club_id')} as club_id,
+                   coalesce({integer('player_id')}, -1) as player_id, type, nullif(trim(ltrim(description, ', ')), '') as description,
+                   case when type = 'Substitutions' then coalesce({integer('player_in_id')}, -1) else -1 end as player_in_id,
+                   case when type = 'Goals' then coalesce({integer('player_assist_id')}, -1) else -1 end as player_assist_id,
+                   coalesce({integer('minute')}, -1) as minute
             from raw_game_events) e
              join (select game_id, competition_id, cast(strftime(date, '%Y%m%d') as int) as date_id from built_games) g using (game_id)
         where club_id in (select club_id from built_clubs) and player_id in (select player_id from built_players)""",
@@ -251,7 +251,7 @@ BUILT = {
                coalesce(from_club_name, 'Unknown') as from_club_name, coalesce(to_club_name, 'Unknown') as to_club_name,
                coalesce(fee, -1) as transfer_fee, coalesce(market_value, -1) as market_value_in_eur
         from (
-            select *, {_int('player_id')} as player_key, cast(strftime(try_cast(transfer_date as date), '%Y%m%d') as int) as transfer_date_id,
+            select *, {integer('player_id')} as player_key, cast(strftime(try_cast(transfer_date as date), '%Y%m%d') as int) as transfer_date_id,
                    case when regexp_full_match(transfer_season, '\\d+/\\d+')
                         then case when cast(split_part(transfer_season, '/', 1) as int) < 50 then 2000 else 1900 end
                              + cast(split_part(transfer_season, '/', 1) as int) else -1 end as season_start,
@@ -260,7 +260,7 @@ BUILT = {
                              * case regexp_extract(lower(transfer_fee), '[\\d.]+\\s*([mk])', 1) when 'm' then 1000000 when 'k' then 1000 else 1 end
                              as decimal(15,2)) end as fee,
                    try_cast(market_value_in_eur as decimal(15,2)) as market_value,
-                   {_int('from_club_id')} as from_key, {_int('to_club_id')} as to_key
+                   {integer('from_club_id')} as from_key, {integer('to_club_id')} as to_key
             from raw_transfers) t
         where player_key in (select player_id from built_players) and transfer_date_id in (select date_id from dim_date)""",
     "built_fact_player_valuations": f"""
@@ -268,7 +268,7 @@ BUILT = {
                coalesce(player_club_domestic_competition_id, 'Unknown') as competition_id, date_key as date_id,
                coalesce(try_cast(market_value_in_eur as decimal(15,2)), -1) as market_value_in_eur
         from (
-            select *, coalesce({_int('player_id')}, -1) as player_key, coalesce({_int('current_club_id')}, -1) as club_key,
+            select *, coalesce({integer('player_id')}, -1) as player_key, coalesce({integer('current_club_id')}, -1) as club_key,
                    coalesce(cast(strftime(try_cast(date as date), '%Y%m%d') as int), -1) as date_key
             from raw_player_valuations) v
         where player_key in (select player_id from built_players) and club_key in (select club_id from built_clubs)

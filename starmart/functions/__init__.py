@@ -1,11 +1,20 @@
 from starmart.functions.aggregates import (  # noqa: F401
+    BITMAP_IDS,
+    MOST_BITMAPS,
+    Mergeable,
     avg_where,
     count_where,
+    distinct_ids,
+    highest,
+    lowest,
     n_distinct,
     n_distinct_where,
+    number,
+    quotient,
     string_list,
     sum_case,
     sum_where,
+    total,
 )
 from starmart.functions.columns import (  # noqa: F401
     between,
@@ -13,6 +22,7 @@ from starmart.functions.columns import (  # noqa: F401
     clean_text,
     concat_text,
     date_id,
+    date_in,
     date_text,
     is_type,
     label,

@@ -1,9 +1,82 @@
 """Aggregate expressions that combine map-side before the shuffle."""
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starmart.functions.columns import ColumnOrName, as_column
+from starmart.functions.columns import ColumnOrName, as_column, ratio
+
+BITMAP_IDS = 32768  # ids in one of Spark's bitmaps, which takes 4 KB
+MOST_BITMAPS = 64  # of a group and column: ids to 2,097,152, 256 KB
+
+
+@dataclass(frozen=True)
+class Mergeable:
+    """An aggregate in parts that can be merged: each part is an aggregate over rows and the one that
+    merges its values; ``finish`` makes the result of all parts.
+
+    Subtotals at several levels then follow from the groups of the finest one.
+    """
+
+    parts: tuple[tuple[Column, Callable[[Column], Column]], ...]
+    finish: Callable[[Sequence[Column]], Column] = lambda values: values[0]
+
+    def over_rows(self) -> Column:
+        """The aggregate itself, over rows."""
+        return self.finish([part for part, _ in self.parts])
+
+    def over_parts(self, columns: Sequence[Column]) -> Column:
+        """The aggregate over the columns of its parts."""
+        return self.finish([merge(c) for (_, merge), c in zip(self.parts, columns)])
+
+
+def total(column: ColumnOrName) -> Mergeable:
+    return Mergeable(((F.sum(as_column(column)), F.sum),))
+
+
+def number(condition: Column | None = None) -> Mergeable:
+    """Rows, or those that meet a condition."""
+    counted = F.count(F.lit(1)) if condition is None else F.count_if(condition)
+    return Mergeable(((counted, lambda c: F.coalesce(F.sum(c), F.lit(0))),))
+
+
+def lowest(column: ColumnOrName) -> Mergeable:
+    return Mergeable(((F.min(as_column(column)), F.min),))
+
+
+def highest(column: ColumnOrName) -> Mergeable:
+    return Mergeable(((F.max(as_column(column)), F.max),))
+
+
+def quotient(above: Mergeable, below: Mergeable, digits: int | None = None, factor: int = 1) -> Mergeable:
+    """The ``ratio`` of two merged aggregates."""
+    n = len(above.parts)
+    return Mergeable((*above.parts, *below.parts), lambda v: ratio(above.finish(v[:n]), below.finish(v[n:]), digits, factor))
+
+
+def distinct_ids(column: ColumnOrName, most: int, least: int = 1) -> Mergeable:
+    """Exact number of different ids from ``least`` to ``most``, by bitmaps that are united when merged.
+
+    For dense keys of a dimension and few groups: each group holds a bit per id. Values outside of
+    the span raise, NULL does not count.
+    """
+    column = as_column(column).cast("long")
+    bitmaps = -(-(most - least + 1) // BITMAP_IDS)
+    if not 0 < bitmaps <= MOST_BITMAPS:
+        raise ValueError(f"ids must span at most {MOST_BITMAPS * BITMAP_IDS}")
+    outside = F.raise_error(F.lit("an id is out of its span")).cast("long")
+    inside = F.when(column.between(least, most), column - (least - 1)).when(column.isNotNull(), outside)
+
+    def bitmap(i: int) -> Column:
+        return F.bitmap_construct_agg(F.when(F.bitmap_bucket_number(inside) == i + 1, F.bitmap_bit_position(inside)))
+
+    def counted(values: Sequence[Column]) -> Column:
+        counts = [F.bitmap_count(v) for v in values]
+        return sum(counts[1:], counts[0])
+
+    return Mergeable(tuple((bitmap(i), F.bitmap_or_agg) for i in range(bitmaps)), counted)
 
 
 def count_where(condition: Column) -> Column:

@@ -57,6 +57,17 @@ def to_date_lenient(column: ColumnOrName, formats: Sequence[str] = ()) -> Column
     return F.coalesce(iso, *others) if others else iso
 
 
+def date_pattern(date_format: str) -> str:
+    """A regular expression for texts in a format of ``d``, ``M``, ``y`` and separators."""
+    return "^\\s*" + "".join(r"\d" if c in "dMy" else f"[{c}]" for c in date_format) + "\\s*$"
+
+
+def date_in(column: ColumnOrName, date_format: str) -> Column:
+    """Date from text in one format, NULL otherwise; other text never reaches the parser."""
+    text = F.when(as_column(column).rlike(date_pattern(date_format)), F.trim(as_column(column)))
+    return F.try_to_timestamp(text, F.lit(date_format)).cast("date")
+
+
 def date_id(column: ColumnOrName) -> Column:
     """Integer key YYYYMMDD of a date."""
     column = as_column(column)

@@ -1,7 +1,9 @@
 from starmart.operators.cube import (  # noqa: F401
     aggregate,
     cube,
+    distinct_counts,
     drill_down,
+    finest,
     grouping_sets,
     level_label,
     pivot,
@@ -22,14 +24,23 @@ from starmart.operators.joins import (  # noqa: F401
     two_perspectives,
     union_all,
 )
+from starmart.operators.ledger import (  # noqa: F401
+    accepted,
+    accepted_and_counted,
+    reject_missing,
+    reject_orphans,
+    reject_where,
+)
 from starmart.operators.loading import (  # noqa: F401
     add_unknown_member,
     apply_null_rules,
     dedupe,
     derive_outcome,
+    detect_date_formats,
     enrich,
     filter_fk,
     first_available,
+    iso_dates,
     lookup,
     redirect_fk,
     rename,
@@ -72,6 +83,8 @@ from starmart.operators.ranking import (  # noqa: F401
     tiers,
     top_overall,
     top_per_group,
+    with_ties,
 )
 from starmart.operators.selection import any_of, dice, known, lookup_key, slice_  # noqa: F401
+from starmart.operators.tally import tally  # noqa: F401
 from starmart.operators.trend import medians, trend  # noqa: F401

@@ -5,11 +5,29 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Aggregates = Mapping[str, Column]
+from starmart.functions import BITMAP_IDS, MOST_BITMAPS, Mergeable, distinct_ids, n_distinct
+
+Aggregates = Mapping[str, Column | Mergeable]
 
 
 def _named(aggs: Aggregates) -> list[Column]:
-    return [column.alias(name) for name, column in aggs.items()]
+    return [(a.over_rows() if isinstance(a, Mergeable) else a).alias(name) for name, a in aggs.items()]
+
+
+def finest(df: DataFrame, keys: Sequence[str | Column], aggs: Aggregates) -> tuple[DataFrame, dict[str, Column]]:
+    """The groups of ``keys`` with the parts of mergeable aggregates, and what merges them.
+
+    Subtotals over these groups read each row once, where grouping sets over rows repeat every row
+    for every set. Without any mergeable aggregate, the rows as they are; aggregates of both kinds
+    mix only if the plain ones are about the grouping itself (``grouping``, ``grouping_id``).
+    """
+    own = {name: a for name, a in aggs.items() if isinstance(a, Mergeable)}
+    if not own:
+        return df, dict(aggs)
+    parts = {name: [f"_{name}_{i}" for i in range(len(a.parts))] for name, a in own.items()}
+    columns = [part.alias(n) for name, a in own.items() for (part, _), n in zip(a.parts, parts[name])]
+    grouped = df.groupBy(*keys).agg(*columns) if keys else df.agg(*columns)
+    return grouped, {name: a.over_parts([F.col(n) for n in parts[name]]) if name in own else a for name, a in aggs.items()}
 
 
 def aggregate(
@@ -23,20 +41,23 @@ def aggregate(
 def roll_up(df: DataFrame, levels: Sequence[str], aggs: Aggregates, fixed: Sequence[str] = ()) -> DataFrame:
     """Subtotals from the finest level up to the total; ``fixed`` keys stay in every level."""
     if not fixed:
-        return df.rollup(*levels).agg(*_named(aggs))
+        df, merged = finest(df, levels, aggs)
+        return df.rollup(*levels).agg(*_named(merged))
     sets = [[*levels[:n], *fixed] for n in range(len(levels), -1, -1)]
     return grouping_sets(df, sets, aggs)
 
 
 def cube(df: DataFrame, keys: Sequence[str], aggs: Aggregates) -> DataFrame:
     """Subtotals for every subset of the keys."""
-    return df.cube(*keys).agg(*_named(aggs))
+    df, merged = finest(df, keys, aggs)
+    return df.cube(*keys).agg(*_named(merged))
 
 
 def grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], aggs: Aggregates) -> DataFrame:
     """Subtotals for the listed key sets, from one scan."""
     keys = list(dict.fromkeys(k for one in sets for k in one))
-    return df.groupingSets([[F.col(k) for k in one] for one in sets], *[F.col(k) for k in keys]).agg(*_named(aggs))
+    df, merged = finest(df, keys, aggs)
+    return df.groupingSets([[F.col(k) for k in one] for one in sets], *[F.col(k) for k in keys]).agg(*_named(merged))
 
 
 def level_label(column: str, total: str, text: Column | None = None) -> Column:
@@ -93,6 +114,22 @@ def drill_down(
     return aggregate(df, hierarchy[: len(path) + 1], aggs, having)
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], aggs: Aggregates | None = None) -> DataFrame:
+    """Exact distinct counts of several columns per group, with further aggregates, from one pass over the rows.
+
+    Columns of whole numbers that span at most some two million, such as keys of a dimension, are
+    counted by bitmaps and repeat no row; others by Spark's distinct aggregates, which repeat the rows for each.
+    A look at the smallest and largest values decides.
+    """
+    whole = [c for c in dict.fromkeys(columns.values()) if df.schema[c].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")]
+    spans = df.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in whole]).first() if whole else {}
+    bounded = [c for c in whole if spans[c].low is not None and spans[c].high - spans[c].low < MOST_BITMAPS * BITMAP_IDS]
+    counts = {
+        name: distinct_ids(c, spans[c].high, spans[c].low) if c in bounded else n_distinct(c) for name, c in columns.items()
+    }
+    return aggregate(df, keys, {**counts, **(aggs or {})})
+
+
 def share_of_total(df: DataFrame, column: str, name: str, digits: int | None = None) -> DataFrame:
     """Percentage of each row in the column total; the total is one scalar subquery, not a join."""
     from starmart.functions import ratio

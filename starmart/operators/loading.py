@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.functions import date_in, to_date_lenient
 from starmart.operators.distribution import positions
 from starmart.schemas import NULL_DEFAULTS, SENTINEL, TEXT_DEFAULTS
 
@@ -26,6 +27,30 @@ def first_available(df: DataFrame, names: Sequence[str]) -> Column | None:
     return next((F.col(n) for n in names if n in df.columns), None)
 
 
+def detect_date_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str], rows: int | None = None) -> dict[str, str]:
+    """The format of each text column that is not in ISO dates, if one of ``formats`` parses more of it.
+
+    One pass counts what each format parses, in all rows, or in a sample of about ``rows``; the first
+    listed wins ties.
+    """
+    columns = [c for c in columns if c in df.columns]
+    if not columns:
+        return {}
+    if rows is not None:
+        total = df.count()
+        df = df.sample(min(1.0, rows / total), 0) if total > rows else df
+    counts = [F.count(to_date_lenient(c)).alias(f"{i} ") for i, c in enumerate(columns)]
+    counts += [F.count(date_in(c, f)).alias(f"{i} {f}") for i, c in enumerate(columns) for f in formats]
+    found = df.agg(*counts).first()
+    best = {c: max(["", *formats], key=lambda f: found[f"{i} {f}"]) for i, c in enumerate(columns)}
+    return {c: f for c, f in best.items() if f}
+
+
+def iso_dates(df: DataFrame, formats: Mapping[str, str]) -> DataFrame:
+    """Texts in a column's own format as ISO dates; other text stays as it is."""
+    return df.withColumns({c: F.coalesce(date_in(c, f).cast("string"), F.col(c)) for c, f in formats.items()}) if formats else df
+
+
 def truncate_text(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """Cut texts to a length per column; NULL stays NULL."""
     return df.withColumns({c: F.substring(c, 1, n) for c, n in limits.items() if c in df.columns})

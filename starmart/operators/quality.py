@@ -3,8 +3,9 @@
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from starmart.functions import ratio
 from starmart.operators.joins import union_all
@@ -33,23 +34,50 @@ def _orphan_rows(df: DataFrame, column: str, dim: DataFrame, key: str) -> DataFr
 def orphan_counts(checks: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Rows without a parent per check ``{name: (fact, column, dimension, key)}``.
 
-    The checks of one fact share a scan: its key columns become (check, value) pairs, which are
-    counted before the shuffle, so only distinct values meet the dimensions' keys.
+    Keys are compared as values of the type both sides have in common, as ``=`` would; text that is no
+    number has no parent among numbers. The checks of one fact share a scan: its rows are counted by
+    each key on its own (grouping sets), and the distinct values, one column per type, meet the
+    dimensions' keys in one join.
     """
     facts: dict[int, tuple[DataFrame, list]] = {}
     for name, (fact, column, dim, key) in checks.items():
         facts.setdefault(id(fact), (fact, []))[1].append((name, column, dim, key))
     parts = []
     for fact, own in facts.values():
-        pairs = [F.struct(F.lit(name).alias("check_name"), F.col(c).cast("string").alias("_value")) for name, c, *_ in own]
-        counted = fact.select(F.explode(F.array(*pairs)).alias("p")).groupBy("p.check_name", "p._value").agg(F.count(F.lit(1)).alias("_n"))
-        keys = union_all(*[d.select(F.lit(name).alias("_check"), F.col(k).cast("string").alias("_key")) for name, _, d, k in own])
-        missing = counted.join(keys, (F.col("check_name") == F.col("_check")) & (F.col("_value") == F.col("_key")), "left_anti")
-        names = fact.sparkSession.createDataFrame([(name, 0) for name, *_ in own], "check_name string, _n long")
+        spark = fact.sparkSession
+        kinds = [_common_type(spark, fact.schema[c].dataType, d.schema[k].dataType) for _, c, d, k in own]
+        by_kind = {kind: [i for i, other in enumerate(kinds) if other == kind] for kind in kinds}
+        typed = fact.select(*[F.col(c).try_cast(kind).alias(f"_k{i}") for i, ((_, c, *_), kind) in enumerate(zip(own, kinds))])
+        columns = [F.col(f"_k{i}") for i in range(len(own))]
+        counted = typed.groupingSets([[c] for c in columns], *columns).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
+        # In the id of a set, the bit of its column is 0 and all others are 1; the first column has the highest.
+        every = (1 << len(own)) - 1
+        check = F.coalesce(*[F.when(F.col("_set") == every ^ (1 << (len(own) - 1 - i)), F.lit(name)) for i, (name, *_) in enumerate(own)])
+        values = [F.coalesce(*[columns[i] for i in places]).alias(f"_v{n}") for n, places in enumerate(by_kind.values())]
+        counted = counted.select(check.alias("check_name"), *values, "_n")
+
+        def keys_of(i: int) -> DataFrame:
+            name, _, dim, key = own[i]
+            mine = F.col(key).try_cast(kinds[i])
+            columns = [(mine if i in places else F.lit(None).cast(kind)).alias(f"_p{n}") for n, (kind, places) in enumerate(by_kind.items())]
+            return dim.filter(mine.isNotNull()).select(F.lit(name).alias("_check"), *columns)
+
+        same = F.col("check_name") == F.col("_check")
+        for n in range(len(by_kind)):
+            same = same & F.col(f"_v{n}").eqNullSafe(F.col(f"_p{n}"))
+        missing = counted.join(union_all(*[keys_of(i) for i in range(len(own))]), same, "left_anti")
+        zeros = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(0).cast("long").alias("_n")) for name, *_ in own])
+        names = spark.range(1).select(F.explode(zeros).alias("z")).select("z.*")
         parts.append(missing.select("check_name", "_n").unionByName(names))
     return union_all(*parts).groupBy("check_name").agg(F.sum("_n").alias("orphans"))
 
 
+def _common_type(spark: SparkSession, one: DataType, other: DataType) -> DataType:
+    """The type in which Spark compares values of two types."""
+    same = spark.range(0).select(F.coalesce(F.lit(None).cast(one), F.lit(None).cast(other)).alias("same"))
+    return same.schema["same"].dataType
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULL count of each column side by side, in one scan."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns])

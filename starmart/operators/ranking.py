@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.operators.distribution import prefix_sums
+from starmart.session import cut_lineage
 
 _RANKS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -53,6 +54,14 @@ def top_overall(
     return first.withColumn(name, F.row_number().over(Window.orderBy(*ordering)))
 
 
+def with_ties(df: DataFrame, ordering: Sequence[Column], n: int) -> DataFrame:
+    """The first n rows of the whole frame and all that are level with the last of them.
+
+    Every task keeps its own first n with their ties before one task joins them.
+    """
+    return top_per_group(df, [], ordering, n, how="rank")
+
+
 def rank_columns(
     df: DataFrame, partition: Sequence[str], ranks: Mapping[str, Sequence[Column]], how: str = "dense_rank"
 ) -> DataFrame:
@@ -103,11 +112,19 @@ def best_per_group(df: DataFrame, partition: Sequence[str], ordering: Sequence[C
 def kpi_ranking(df: DataFrame, key: str, kpis: Mapping[str, bool]) -> DataFrame:
     """Rank every row on every KPI; ``True`` marks a KPI where lower is better.
 
-    For scorecards with one row per entity: the values of a KPI are ranked by one task.
+    Equal values are counted first and put in a total order over all KPIs; a rank is the place of the
+    first of its value less that of the first of its KPI, so no task ever ranks a whole KPI.
     """
     values = [F.col(k).cast("double").alias(k) for k in kpis]
     long = df.select(key, *values).unpivot([key], list(kpis), "kpi", "value")
     lower_better = [k for k, lower in kpis.items() if lower]
     signed = F.when(F.col("kpi").isin(lower_better), F.col("value")).otherwise(-F.col("value"))
-    window = Window.partitionBy("kpi").orderBy(F.asc_nulls_last("_signed"))
-    return long.withColumn("_signed", signed).withColumn("kpi_rank", F.rank().over(window)).drop("_signed")
+    long = cut_lineage(long.withColumn("_signed", signed))  # used twice
+    counts = long.groupBy(F.col("kpi").alias("_kpi"), F.col("_signed").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = prefix_sums(counts, [F.asc("_kpi"), F.asc_nulls_last("_value")], F.col("_n"), "_end")
+    placed = placed.withColumn("_start", F.col("_end") - F.col("_n"))
+    starts = placed.groupBy(F.col("_kpi").alias("_of")).agg(F.min("_start").alias("_first"))
+    ranked = placed.join(F.broadcast(starts), F.col("_kpi") == F.col("_of"))  # one row per KPI
+    ranked = ranked.select("_kpi", "_value", (F.col("_start") - F.col("_first") + 1).cast("int").alias("kpi_rank"))
+    same = (F.col("kpi") == F.col("_kpi")) & F.col("_signed").eqNullSafe(F.col("_value"))
+    return long.join(ranked, same).drop("_signed", "_kpi", "_value")

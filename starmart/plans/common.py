@@ -10,7 +10,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators import dice, known, star_join
+from starmart.functions import string_list
+from starmart.operators import aggregate, dice, known, star_join
+from starmart.sources import Warehouse
 
 Mart = Mapping[str, DataFrame]
 Span = tuple[int, int]
@@ -20,6 +22,20 @@ BIG_FIVE = ("ES1", "GB1", "IT1", "FR1", "L1")
 
 UNNAMED = ("Unknown", "N/A")  # markers of an unknown text
 
+# Attributes that identify a player in a report, and their names there.
+PLAYER = {"name": "player", "position": "position", "country_of_citizenship": "country"}
+
+
+def fact(mart: Mart, name: str, years: Span | None = None, seasons: Span | None = None) -> DataFrame:
+    """A fact without the year folders that a span of years or seasons cannot be in.
+
+    Where the facts of a mart lie in no folders, all rows; ``with_calendar`` filters the dates.
+    """
+    spans = [*([years] if years else []), *([(seasons[0], seasons[1] + 1)] if seasons else [])]
+    if not spans or not isinstance(mart, Warehouse):
+        return mart[name]
+    return mart.in_years(name, max(a for a, _ in spans), min(b for _, b in spans))
+
 
 def with_calendar(
     df: DataFrame,
@@ -80,3 +96,37 @@ def with_player(
 def player_keys(keys: Sequence[str], split_homonyms: bool) -> list[str]:
     """Grouping keys of a player report; by name alone, players of one name count as one."""
     return [*keys, "player_id"] if split_homonyms else list(keys)
+
+
+def persons(mart: Mart, keys: Sequence[str], split_homonyms: bool = False) -> DataFrame:
+    """The players' dictionary: of each player the smallest id with the same ``keys`` (names of PLAYER).
+
+    Facts are grouped by this one number, ``person``; names come back for the rows a report returns.
+    """
+    players = known(mart["dim_players"], "player_id")
+    columns = [c for c, name in PLAYER.items() if name in keys]
+    if split_homonyms:
+        return players.select("player_id", F.col("player_id").alias("person"))
+    first = aggregate(players, [F.col(c).alias(f"_{c}") for c in columns], {"person": F.min("player_id")})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
+    return players.join(first, same).select("player_id", "person")
+
+
+def with_person(df: DataFrame, mart: Mart, keys: Sequence[str], split_homonyms: bool) -> DataFrame:
+    """Add the person of each line and drop the lines of the unknown player."""
+    return star_join(known(df, "player_id"), [("player_id", persons(mart, keys, split_homonyms), "player_id", {"person": "person"})])
+
+
+def named(df: DataFrame, mart: Mart, keys: Sequence[str], split_homonyms: bool) -> DataFrame:
+    """Replace the person of a few rows by the names in ``keys``, and the id where homonyms are split."""
+    attributes = {c: name for c, name in PLAYER.items() if name in keys}
+    rows = star_join(df, [("person", mart["dim_players"], "player_id", attributes)])
+    return rows.withColumnRenamed("person", "player_id") if split_homonyms else rows.drop("person")
+
+
+def name_list(df: DataFrame, column: str, dim: DataFrame, key: str, name: str, separator: str = ", ") -> DataFrame:
+    """Replace an array of ids, in a few different rows, by the sorted distinct names of these, joined; NULL without any."""
+    others = [c for c in df.columns if c != column]
+    ids = df.select(*others, F.explode_outer(column).alias("_id"))
+    names = star_join(ids, [("_id", dim, key, {"name": "_name"})], "left")
+    return aggregate(names, others, {name: F.nullif(string_list("_name", separator), F.lit(""))})

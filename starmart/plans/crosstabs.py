@@ -15,7 +15,7 @@ from starmart.operators import (
     pivot,
     top_overall,
 )
-from starmart.plans.common import BIG_FIVE, UNNAMED, Mart, with_calendar, with_club, with_club_league, with_league
+from starmart.plans.common import BIG_FIVE, UNNAMED, Mart, fact, with_calendar, with_club, with_club_league, with_league
 
 # Column names of the league and weekday matrices.
 LEAGUE_COLUMNS = {
@@ -26,7 +26,7 @@ WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 
 def q05_1(mart: Mart, leagues=BIG_FIVE, seasons=(2015, 2024)) -> DataFrame:
     """Goals by season and league as a matrix with the season total."""
-    games = with_calendar(dice(mart["fact_games"], {"competition_id": list(leagues)}), mart, seasons=seasons)
+    games = with_calendar(dice(fact(mart, "fact_games", seasons=seasons), {"competition_id": list(leagues)}), mart, seasons=seasons)
     by_day = aggregate(games, ["date_id", "competition_id"], {"goals": F.sum("total_goals")})
     days = with_calendar(by_day, mart, columns=["season_start_year"]).withColumnRenamed("season_start_year", "season")
     columns = {code: name for code, name in LEAGUE_COLUMNS.items() if code in leagues}
@@ -57,7 +57,7 @@ def q05_3(mart: Mart, leagues=BIG_FIVE) -> DataFrame:
 
 def q07_1(mart: Mart, leagues=BIG_FIVE, seasons=(2020, 2024)) -> DataFrame:
     """Goals by league and season, by league, by season and in total, in one pass."""
-    games = with_calendar(dice(mart["fact_games"], {"competition_id": list(leagues)}), mart, seasons=seasons)
+    games = with_calendar(dice(fact(mart, "fact_games", seasons=seasons), {"competition_id": list(leagues)}), mart, seasons=seasons)
     by_day = aggregate(
         games, ["competition_id", "date_id"], {"goals": F.sum("total_goals"), "games": F.count(F.lit(1))}
     )

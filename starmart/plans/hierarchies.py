@@ -8,6 +8,7 @@ from starmart.operators import aggregate, dice, drill_down, order, roll_up, slic
 from starmart.plans.common import (
     BIG_FIVE,
     Mart,
+    fact,
     player_keys,
     with_calendar,
     with_club_league,
@@ -19,7 +20,7 @@ from starmart.plans.common import (
 def q03_1(mart: Mart, years=(2020, 2024)) -> DataFrame:
     """Goals by month, quarter, year and in total."""
     by_day = aggregate(
-        with_calendar(mart["fact_games"], mart, years=years), ["date_id"],
+        with_calendar(fact(mart, "fact_games", years), mart, years=years), ["date_id"],
         {"goals": F.sum("total_goals"), "games": F.count(F.lit(1))},
     )
     days = with_calendar(by_day, mart, columns=["year", "quarter", "month"])
@@ -71,7 +72,7 @@ def q03_3(mart: Mart, leagues=BIG_FIVE) -> DataFrame:
 
 
 def _attendance(mart: Mart, competition: str, years, path) -> DataFrame:
-    games = with_calendar(slice_(mart["fact_games"], "competition_id", competition), mart, years=years)
+    games = with_calendar(slice_(fact(mart, "fact_games", years), "competition_id", competition), mart, years=years)
     seen = F.col("attendance") > 0
     by_day = aggregate(
         games, ["date_id"],
@@ -121,7 +122,7 @@ def _at(df: DataFrame, level: str) -> DataFrame:
 def q04_2a(mart: Mart, leagues=BIG_FIVE, season: int = 2022) -> DataFrame:
     """Goals of one season by league."""
     lines = with_calendar(
-        dice(mart["fact_appearances"], {"competition_id": list(leagues)}), mart, seasons=(season, season)
+        dice(fact(mart, "fact_appearances", seasons=(season, season)), {"competition_id": list(leagues)}), mart, seasons=(season, season)
     )
     by_league = aggregate(lines, ["competition_id"], {"n": F.sum("goals")})
     result = aggregate(with_league(by_league, mart), ["league"], {"goals": F.sum("n")})
@@ -131,7 +132,7 @@ def q04_2a(mart: Mart, leagues=BIG_FIVE, season: int = 2022) -> DataFrame:
 def q04_2b(mart: Mart, competition: str = "ES1", season: int = 2022, top: int = 15) -> DataFrame:
     """Goals and distinct players of the clubs of one league."""
     lines = with_calendar(
-        slice_(mart["fact_appearances"], "competition_id", competition), mart, seasons=(season, season)
+        slice_(fact(mart, "fact_appearances", seasons=(season, season)), "competition_id", competition), mart, seasons=(season, season)
     )
     lines = lines.groupBy("club_id", "player_id").agg(F.sum("goals").alias("n"))
     named = lines.join(mart["dim_clubs"].select("club_id", F.col("name").alias("club")), "club_id")
@@ -147,7 +148,7 @@ def q04_2c(
 ) -> DataFrame:
     """Goals, assists and minutes of the players of one club."""
     lines = with_calendar(
-        slice_(mart["fact_appearances"], "competition_id", competition), mart, seasons=(season, season)
+        slice_(fact(mart, "fact_appearances", seasons=(season, season)), "competition_id", competition), mart, seasons=(season, season)
     )
     chosen = mart["dim_clubs"].filter(matches("name", club)).select("club_id")
     lines = lines.join(chosen, "club_id", "left_semi")
@@ -169,7 +170,7 @@ def q04_2c(
 
 def _values(mart: Mart, year: int, month: int) -> DataFrame:
     first = year * 10000 + month * 100
-    return mart["fact_player_valuations"].filter(F.col("date_id").between(first + 1, first + 31))
+    return fact(mart, "fact_player_valuations", (year, year)).filter(F.col("date_id").between(first + 1, first + 31))
 
 
 def q04_3a(mart: Mart, year: int = 2024, month: int = 1) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import bucket, n_distinct, per_90, ratio, scaled, string_list, sum_case, sum_where
+from starmart.functions import bucket, n_distinct, per_90, ratio, scaled, sum_case, sum_where
 from starmart.operators import (
     aggregate,
     balance,
@@ -13,23 +13,25 @@ from starmart.operators import (
     order,
     period_change,
     share_of_total,
-    star_join,
+    tally,
     top_overall,
     top_per_group,
+    with_ties,
 )
 from starmart.plans.common import (
     BIG_FIVE,
     Mart,
+    fact,
+    name_list,
+    named,
     player_keys,
     with_calendar,
     with_club_league,
     with_league,
+    with_person,
     with_player,
 )
 
-PLAYER = {"name": "player", "position": "position", "country_of_citizenship": "country"}
-
-
 def _paid() -> Column:
     return F.col("transfer_fee") > 0
 
@@ -38,63 +40,40 @@ def _lines(mart: Mart, leagues) -> DataFrame:
     return dice(mart["fact_appearances"], {"competition_id": list(leagues)})
 
 
-def _club_names(df: DataFrame, mart: Mart) -> DataFrame:
-    return star_join(df, [("club_id", mart["dim_clubs"], "club_id", {"name": "club"})])
-
-
-def _with_lists(first: DataFrame, lines: DataFrame, keys: list[str], lists: dict[str, str]) -> DataFrame:
-    """Add lists of distinct names to rows already chosen; only the lines of those rows are listed."""
-    chosen = first.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    own = lines.join(chosen, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
-    listed = aggregate(own, keys, {name: string_list(column) for name, column in lists.items()})
-    return drill_across([first, listed], keys, null_safe=True)
-
-
 def q09_1(mart: Mart, leagues=BIG_FIVE, top: int = 25, split_homonyms: bool = False) -> DataFrame:
-    """Top scorers with their leagues, clubs, and goals per match and per 90 minutes.
-
-    The first players are chosen on their goals; league and club names are collected for them only.
-    """
-    keys = player_keys(["player", "position", "country"], split_homonyms)
-    lines = with_player(_lines(mart, leagues), mart, PLAYER)
-    games = n_distinct("game_id")
-    scorers = aggregate(
-        lines, keys,
-        {
-            "goals": F.sum("goals"),
-            "assists": F.sum("assists"),
-            "goal_involvements": F.sum(F.col("goals") + F.col("assists")),
-            "games": games,
-            "goals_per_game": ratio(F.sum("goals"), games, 2),
-            "minutes": F.sum("minutes_played"),
-            "goals_per_90": per_90(F.sum("goals"), F.sum("minutes_played"), 2),
-        },
-        having=F.col("goals") > 0,
-    )
+    """Top scorers with their leagues, clubs, and goals per match and per 90 minutes."""
+    keys = ["player", "position", "country"]
+    lines = with_person(_lines(mart, leagues), mart, keys, split_homonyms)
+    totals = tally(
+        lines, ["person"], ["goals", "assists", "minutes_played"], {"games": "game_id"},
+        {"_leagues": "competition_id", "_clubs": "club_id"},
+    ).filter(F.col("goals") > 0)
+    # Ties at the cut are broken by names, so rows with as many goals as the last come along.
     ordering = [F.desc("goals"), F.asc("player"), F.asc("position"), F.asc("country")]
-    first = top_overall(scorers, ordering, top, "rank")
-    names = _club_names(with_league(lines, mart), mart)
-    return _with_lists(first, names, keys, {"leagues": "league", "clubs": "club"}).orderBy("rank")
+    first = top_overall(named(with_ties(totals, [F.desc("goals")], top), mart, keys, split_homonyms), ordering, top, "rank")
+    keys = player_keys(keys, split_homonyms)
+    first = name_list(first, "_leagues", mart["dim_competitions"], "competition_id", "leagues")
+    first = name_list(first, "_clubs", mart["dim_clubs"], "club_id", "clubs")
+    return first.orderBy("rank").select(
+        *keys, "goals", "assists", (F.col("goals") + F.col("assists")).alias("goal_involvements"), "games",
+        ratio(F.col("goals"), F.col("games"), 2).alias("goals_per_game"), F.col("minutes_played").alias("minutes"),
+        per_90(F.col("goals"), F.col("minutes_played"), 2).alias("goals_per_90"), "rank", "leagues", "clubs",
+    )
 
 
 def q09_2(mart: Mart, leagues=BIG_FIVE, top: int = 25, split_homonyms: bool = False) -> DataFrame:
     """Top assist makers."""
-    keys = player_keys(["player", "position", "country"], split_homonyms)
-    lines = with_player(_lines(mart, leagues), mart, PLAYER)
-    games = n_distinct("game_id")
-    makers = aggregate(
-        lines, keys,
-        {
-            "assists": F.sum("assists"),
-            "goals": F.sum("goals"),
-            "games": games,
-            "assists_per_game": ratio(F.sum("assists"), games, 2),
-        },
-        having=F.col("assists") > 0,
-    )
+    keys = ["player", "position", "country"]
+    lines = with_person(_lines(mart, leagues), mart, keys, split_homonyms)
+    totals = tally(lines, ["person"], ["assists", "goals"], {"games": "game_id"}, {"_clubs": "club_id"})
     ordering = [F.desc("assists"), F.asc("player"), F.asc("position"), F.asc("country")]
-    first = top_overall(makers, ordering, top, "rank")
-    return _with_lists(first, _club_names(lines, mart), keys, {"clubs": "club"}).orderBy("rank")
+    makers = with_ties(totals.filter(F.col("assists") > 0), [F.desc("assists")], top)
+    first = top_overall(named(makers, mart, keys, split_homonyms), ordering, top, "rank")
+    keys = player_keys(keys, split_homonyms)
+    first = name_list(first, "_clubs", mart["dim_clubs"], "club_id", "clubs")
+    return first.orderBy("rank").select(
+        *keys, "assists", "goals", "games", ratio(F.col("assists"), F.col("games"), 2).alias("assists_per_game"), "rank", "clubs"
+    )
 
 
 def q09_3(mart: Mart, top: int = 20) -> DataFrame:
@@ -150,19 +129,16 @@ def q09_4(mart: Mart, leagues=BIG_FIVE) -> DataFrame:
 
 def q09_5(mart: Mart, leagues=BIG_FIVE, seasons=(2015, 2024), split_homonyms: bool = False) -> DataFrame:
     """Top scorer of every league and season; ties are all kept."""
-    keys = player_keys(["league", "season", "player"], split_homonyms)
-    lines = with_calendar(_lines(mart, leagues), mart, columns=["season_start_year"], seasons=seasons)
+    lines = dice(fact(mart, "fact_appearances", seasons=seasons), {"competition_id": list(leagues)})
+    lines = with_calendar(lines, mart, columns=["season_start_year"], seasons=seasons)
     lines = with_league(lines.withColumnRenamed("season_start_year", "season"), mart)
-    lines = with_player(lines, mart, {"name": "player"})
-    games = n_distinct("game_id")
-    scorers = aggregate(
-        lines, keys,
-        {"goals": F.sum("goals"), "games": games, "goals_per_game": ratio(F.sum("goals"), games, 2)},
-        having=F.col("goals") > 0,
+    lines = with_person(lines, mart, ["player"], split_homonyms)
+    totals = tally(lines, ["league", "season", "person"], ["goals"], {"games": "game_id"}, {"_clubs": "club_id"})
+    best = top_per_group(totals.filter(F.col("goals") > 0), ["league", "season"], [F.desc("goals")], how="rank")
+    best = name_list(best, "_clubs", mart["dim_clubs"], "club_id", "clubs")
+    result = named(best, mart, ["player"], split_homonyms).select(
+        "league", "season", "player", "clubs", "goals", "games", ratio(F.col("goals"), F.col("games"), 2).alias("goals_per_game")
     )
-    best = top_per_group(scorers, ["league", "season"], [F.desc("goals")], how="rank")
-    result = _with_lists(best, _club_names(lines, mart), keys, {"clubs": "club"})
-    result = result.select("league", "season", "player", "clubs", "goals", "games", "goals_per_game")
     return order(result, [("league", "asc", "last"), ("season", "asc", "last"), ("player", "asc", "last")])
 
 

@@ -1,41 +1,54 @@
 """Load jobs of the ten warehouse tables.
 
-Every ``build_*`` takes source rows as text and the already loaded parents and returns the finished
-table as one lazy plan; ``load_*`` reads the CSV, builds and writes. The order of the steps differs
-from table to table on purpose: games, appearances, events and valuations fill NULLs before the
-key checks, so a NULL club becomes the unknown club and stays; transfers check first and fill last.
+Every ``mark_*`` takes source rows as text and the already loaded parents and returns the rows of the
+table with the rule that rejects them, if one does; ``build_*`` returns the finished table as one
+lazy plan. ``load_*`` stage the CSV as Parquet in one parse, build and write, counting rejected rows
+while they write. The order of the steps differs from table to table on purpose: games, appearances,
+events and valuations fill NULLs before the key checks, so a NULL club becomes the unknown club and
+stays; transfers check first and fill last.
 """
 
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import clean_text, date_id, money, null_unless, season_start, to_date_lenient, to_number
 from starmart.operators.joins import union_all
+from starmart.operators.ledger import ADDED, REJECT, accepted, accepted_and_counted, reject_missing, reject_orphans
 from starmart.operators.loading import (
     add_unknown_member,
     apply_null_rules,
     dedupe,
     derive_outcome,
+    detect_date_formats,
     enrich,
-    filter_fk,
     first_available,
-    lookup,
+    iso_dates,
     redirect_fk,
     rename,
-    require,
     select_available,
     truncate_text,
     widen_by_role,
     with_surrogate_key,
 )
-from starmart.operators.quality import load_rate, null_audit, orphan_counts
+from starmart.operators.quality import key_check, load_rate, null_audit, orphan_counts, verify_derived
 from starmart.schemas import NULL_DEFAULTS, NULL_RULES, TABLES, TEXT_DEFAULTS, unknown_member
 from starmart.sources.calendar import date_dimension
-from starmart.sources.csv import ROW_ORDER, count_bad_lines, read_csv
-from starmart.sources.tables import Warehouse, current_root, load_metrics, publish, read_table, write_table
+from starmart.sources.csv import BAD_LINE, OPEN_QUOTE, ROW_ORDER, read_csv, read_csv_lines
+from starmart.sources.tables import (
+    FOLDERS,
+    Warehouse,
+    current_root,
+    in_folders,
+    load_metrics,
+    publish,
+    read_table,
+    write_folders,
+    write_table,
+)
 
 # Text limits of the game dimension.
 GAME_TEXT_LIMITS = {
@@ -68,7 +81,8 @@ def _final(df: DataFrame, table: str) -> DataFrame:
     absent = [c for c in TABLES[table] if c not in df.columns and c not in markers]
     if absent:
         raise ValueError(f"{table}: the source has no {', '.join(absent)}")
-    return df.select(*[(F.col(c) if c in df.columns else markers[c]).cast(k).alias(c) for c, k in TABLES[table].items()])
+    finished = [(F.col(c) if c in df.columns else markers[c]).cast(k).alias(c) for c, k in TABLES[table].items()]
+    return df.select(*finished, *[c for c in (REJECT,) if c in df.columns])
 
 
 def _keep_order(columns: Sequence[str]) -> list[str]:
@@ -83,33 +97,37 @@ def _dimension(source: DataFrame, table: str, key: str, critical: Sequence[str])
     rows = _typed(select_available(source, _keep_order(TABLES[table])), table)
     if table == "dim_games":
         rows = truncate_text(rows, GAME_TEXT_LIMITS)
-    rows = require(dedupe(rows, [key], [F.asc(ROW_ORDER)]), critical)
+    rows = reject_missing(dedupe(rows, [key], [F.asc(ROW_ORDER)]), "missing", critical)
     return _filled(rows, table)
 
 
-def build_dim_competitions(source: DataFrame) -> DataFrame:
+def _with_unknown(rows: DataFrame, table: str, key: str) -> DataFrame:
+    return add_unknown_member(rows, key, {**unknown_member(table, key), REJECT: ADDED})
+
+
+def mark_dim_competitions(source: DataFrame) -> DataFrame:
     return _final(_dimension(source, "dim_competitions", "competition_id", ["competition_id"]), "dim_competitions")
 
 
-def build_dim_clubs(source: DataFrame) -> DataFrame:
+def mark_dim_clubs(source: DataFrame) -> DataFrame:
     rows = _final(_dimension(source, "dim_clubs", "club_id", ["club_id"]), "dim_clubs")
-    return add_unknown_member(rows, "club_id", unknown_member("dim_clubs", "club_id"))
+    return _with_unknown(rows, "dim_clubs", "club_id")
 
 
-def build_dim_players(source: DataFrame) -> DataFrame:
+def mark_dim_players(source: DataFrame) -> DataFrame:
     rows = _final(_dimension(source, "dim_players", "player_id", ["player_id"]), "dim_players")
-    return add_unknown_member(rows, "player_id", unknown_member("dim_players", "player_id"))
+    return _with_unknown(rows, "dim_players", "player_id")
 
 
-def build_dim_games(source: DataFrame, clubs: DataFrame, competitions: DataFrame) -> DataFrame:
+def mark_dim_games(source: DataFrame, clubs: DataFrame, competitions: DataFrame) -> DataFrame:
     rows = _dimension(source, "dim_games", "game_id", ["game_id", "competition_id", "date"])
-    rows = filter_fk(rows, "home_club_id", clubs, "club_id")
-    rows = filter_fk(rows, "away_club_id", clubs, "club_id")
-    rows = filter_fk(rows, "competition_id", competitions, "competition_id")
+    rows = reject_orphans(rows, "home_club_id", "home_club_id", clubs, "club_id")
+    rows = reject_orphans(rows, "away_club_id", "away_club_id", clubs, "club_id")
+    rows = reject_orphans(rows, "competition_id", "competition_id", competitions, "competition_id")
     return _final(rows, "dim_games")
 
 
-def build_fact_games(
+def mark_fact_games(
     source: DataFrame, club_games: DataFrame, games: DataFrame, competitions: DataFrame, clubs: DataFrame,
     dates: DataFrame,
 ) -> DataFrame:
@@ -123,11 +141,11 @@ def build_fact_games(
     rows = _typed(rows.withColumn("date_id", date_id(to_date_lenient("date"))), "fact_games")
     rows = _filled(_final(rows.join(places, "game_id", "left"), "fact_games"), "fact_games")
     rows = derive_outcome(rows, "home_club_goals", "away_club_goals")
-    rows = filter_fk(rows, "game_id", games, "game_id")
-    rows = filter_fk(rows, "competition_id", competitions, "competition_id")
-    rows = filter_fk(rows, "home_club_id", clubs, "club_id")
-    rows = filter_fk(rows, "away_club_id", clubs, "club_id")
-    rows = filter_fk(rows, "date_id", dates, "date_id")
+    rows = reject_orphans(rows, "game_id", "game_id", games, "game_id")
+    rows = reject_orphans(rows, "competition_id", "competition_id", competitions, "competition_id")
+    rows = reject_orphans(rows, "home_club_id", "home_club_id", clubs, "club_id")
+    rows = reject_orphans(rows, "away_club_id", "away_club_id", clubs, "club_id")
+    rows = reject_orphans(rows, "date_id", "date_id", dates, "date_id")
     return _final(rows, "fact_games")
 
 
@@ -135,7 +153,7 @@ def _game_info(games: DataFrame) -> DataFrame:
     return games.select("game_id", "competition_id", date_id("date").alias("date_id"))
 
 
-def build_fact_appearances(
+def mark_fact_appearances(
     source: DataFrame, lineups: DataFrame, games: DataFrame, players: DataFrame, clubs: DataFrame
 ) -> DataFrame:
     rows = _typed(rename(source, {"player_club_id": "club_id"}), "fact_appearances")
@@ -143,13 +161,13 @@ def build_fact_appearances(
         lineups.select("game_id", "player_id", "type", "position", "team_captain", ROW_ORDER), "fact_appearances"
     )
     rows = enrich(rows, roles, ["game_id", "player_id"], ["type", "position", "team_captain"], [F.asc(ROW_ORDER)])
-    rows = lookup(rows, _game_info(games), "game_id", ["competition_id", "date_id"], required=True)
+    rows = reject_orphans(rows, "game_id", "game_id", _game_info(games), "game_id", ["competition_id", "date_id"])
     rows = _filled(_final(rows, "fact_appearances"), "fact_appearances")
-    rows = filter_fk(rows, "player_id", players, "player_id")
-    return filter_fk(rows, "club_id", clubs, "club_id")
+    rows = reject_orphans(rows, "player_id", "player_id", players, "player_id")
+    return _final(reject_orphans(rows, "club_id", "club_id", clubs, "club_id"), "fact_appearances")
 
 
-def build_fact_game_events(
+def mark_fact_game_events(
     source: DataFrame, games: DataFrame, players: DataFrame, clubs: DataFrame
 ) -> DataFrame:
     event_id = first_available(source, ["game_event_id", "id"])
@@ -159,7 +177,7 @@ def build_fact_game_events(
     else:
         source = source.withColumn("event_id", event_id)
     rows = _typed(source, "fact_game_events")
-    rows = lookup(rows, _game_info(games), "game_id", ["competition_id", "date_id"], required=True)
+    rows = reject_orphans(rows, "game_id", "game_id", _game_info(games), "game_id", ["competition_id", "date_id"])
     rows = _final(rows, "fact_game_events").withColumns(
         {
             "description": clean_text("description"),
@@ -168,14 +186,14 @@ def build_fact_game_events(
         }
     )
     rows = _filled(rows, "fact_game_events")
-    rows = filter_fk(rows, "club_id", clubs, "club_id")
-    rows = filter_fk(rows, "player_id", players, "player_id")
+    rows = reject_orphans(rows, "club_id", "club_id", clubs, "club_id")
+    rows = reject_orphans(rows, "player_id", "player_id", players, "player_id")
     rows = redirect_fk(rows, "player_in_id", players, "player_id")
     rows = redirect_fk(rows, "player_assist_id", players, "player_id")
     return _final(rows, "fact_game_events")
 
 
-def build_fact_transfers(
+def mark_fact_transfers(
     source: DataFrame, players: DataFrame, clubs: DataFrame, dates: DataFrame
 ) -> DataFrame:
     day = to_date_lenient(first_available(source, ["transfer_date", "date"]))
@@ -187,16 +205,18 @@ def build_fact_transfers(
         }
     )
     rows = _typed(select_available(rows, _keep_order(TABLES["fact_transfers"])), "fact_transfers")
-    rows = require(rows, ["player_id", "transfer_date_id"])
-    rows = filter_fk(rows, "player_id", players, "player_id")
+    rows = reject_missing(rows, "missing", ["player_id", "transfer_date_id"])
+    rows = reject_orphans(rows, "player_id", "player_id", players, "player_id")
     rows = redirect_fk(rows, "from_club_id", clubs, "club_id")
     rows = redirect_fk(rows, "to_club_id", clubs, "club_id")
-    rows = filter_fk(rows, "transfer_date_id", dates, "date_id")
-    rows = with_surrogate_key(_filled(rows, "fact_transfers"), "transfer_id", [F.asc(ROW_ORDER)])
-    return _final(rows, "fact_transfers")
+    return reject_orphans(rows, "transfer_date_id", "transfer_date_id", dates, "date_id")
+
+
+def _number_transfers(rows: DataFrame) -> DataFrame:
+    return _final(with_surrogate_key(_filled(rows, "fact_transfers"), "transfer_id", [F.asc(ROW_ORDER)]), "fact_transfers")
 
 
-def build_fact_player_valuations(
+def mark_fact_player_valuations(
     source: DataFrame, players: DataFrame, clubs: DataFrame, dates: DataFrame
 ) -> DataFrame:
     rows = source.withColumn("date_id", date_id(to_date_lenient("date")))
@@ -205,13 +225,33 @@ def build_fact_player_valuations(
     )
     rows = _typed(select_available(rows, _keep_order(TABLES["fact_player_valuations"])), "fact_player_valuations")
     rows = _filled(rows, "fact_player_valuations")
-    rows = filter_fk(rows, "player_id", players, "player_id")
-    rows = filter_fk(rows, "club_id", clubs, "club_id")
-    rows = filter_fk(rows, "date_id", dates, "date_id")
-    rows = with_surrogate_key(rows, "valuation_id", [F.asc(ROW_ORDER)])
-    return _final(rows, "fact_player_valuations")
+    rows = reject_orphans(rows, "player_id", "player_id", players, "player_id")
+    rows = reject_orphans(rows, "club_id", "club_id", clubs, "club_id")
+    return reject_orphans(rows, "date_id", "date_id", dates, "date_id")
+
+
+def _number_valuations(rows: DataFrame) -> DataFrame:
+    return _final(with_surrogate_key(rows, "valuation_id", [F.asc(ROW_ORDER)]), "fact_player_valuations")
+
+
+def _built(mark: Callable[..., DataFrame], number: Callable[[DataFrame], DataFrame] | None = None) -> Callable[..., DataFrame]:
+    def build(*tables: DataFrame) -> DataFrame:
+        rows = accepted(mark(*tables))
+        return number(rows) if number else rows
+
+    return build
 
 
+build_dim_competitions = _built(mark_dim_competitions)
+build_dim_clubs = _built(mark_dim_clubs)
+build_dim_players = _built(mark_dim_players)
+build_dim_games = _built(mark_dim_games)
+build_fact_games = _built(mark_fact_games)
+build_fact_appearances = _built(mark_fact_appearances)
+build_fact_game_events = _built(mark_fact_game_events)
+build_fact_transfers = _built(mark_fact_transfers, _number_transfers)
+build_fact_player_valuations = _built(mark_fact_player_valuations, _number_valuations)
+
 # -- from files to tables ----------------------------------------------------------------------
 
 # Each table with its sources and parents, in dependency order.
@@ -254,46 +294,120 @@ REQUIRED = {
     "player_valuations": ("player_id", "date", "current_club_id"),
 }
 
-DATE_KEYS = {"fact_transfers": "transfer_date_id"}  # other facts call it date_id
+# Of each table, the rules in the order in which they reject rows; tables named in DEDUPED also
+# lose rows whose key came before. Numbered tables get their key from accepted rows only.
+REJECT_RULES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "dim_competitions": (mark_dim_competitions, ("missing",)),
+    "dim_clubs": (mark_dim_clubs, ("missing",)),
+    "dim_players": (mark_dim_players, ("missing",)),
+    "dim_games": (mark_dim_games, ("missing", "home_club_id", "away_club_id", "competition_id")),
+    "fact_games": (mark_fact_games, ("game_id", "competition_id", "home_club_id", "away_club_id", "date_id")),
+    "fact_appearances": (mark_fact_appearances, ("game_id", "player_id", "club_id")),
+    "fact_game_events": (mark_fact_game_events, ("game_id", "club_id", "player_id")),
+    "fact_transfers": (mark_fact_transfers, ("missing", "player_id", "transfer_date_id")),
+    "fact_player_valuations": (mark_fact_player_valuations, ("player_id", "club_id", "date_id")),
+}
+DEDUPED = ("dim_competitions", "dim_clubs", "dim_players", "dim_games")
+NUMBERED = {"fact_transfers": _number_transfers, "fact_player_valuations": _number_valuations}
+
+# The key of each table, unique after a load.
+KEYS = {
+    "dim_date": "date_id", "dim_competitions": "competition_id", "dim_clubs": "club_id", "dim_players": "player_id",
+    "dim_games": "game_id", "fact_games": "game_id", "fact_appearances": "appearance_id", "fact_game_events": "event_id",
+    "fact_transfers": "transfer_id", "fact_player_valuations": "valuation_id",
+}
 
 
-def _write_counted(df: DataFrame, root: str, name: str) -> int:
-    """Write a table and return its row count.
+# Columns that hold dates, and the formats besides ISO that a load tells by itself, by a sample.
+DATE_COLUMNS = {
+    "players": ("date_of_birth", "contract_expiration_date"), "games": ("date",), "transfers": ("transfer_date", "date"),
+    "player_valuations": ("date",),
+}
+DATE_FORMATS = ("dd/MM/yyyy", "MM/dd/yyyy", "dd.MM.yyyy", "dd-MM-yyyy", "yyyy/MM/dd", "yyyyMMdd")
+DATE_SAMPLE = 200_000  # rows
 
-    Facts are sorted by date inside each task, without a shuffle, so that the date filters of the
-    reports skip row groups by their statistics.
-    """
-    if name.startswith("fact_"):
-        df = df.sortWithinPartitions(DATE_KEYS.get(name, "date_id"))
-    counted, observation = load_metrics(df, name)
-    write_table(counted, root, name, mode="overwrite")
-    return observation.get["row_count"]
 
+def stage_source(spark: SparkSession, src_dir: str, root: str, name: str, multi_line: bool | None = None) -> dict[str, int]:
+    """Parse one CSV source and write it as text columns to ``sources`` under ``root``.
 
-def load_dim_date(spark: SparkSession, root: str) -> int:
-    return _write_counted(date_dimension(spark), root, "dim_date")
+    Returns its ``rows`` and ``bad_lines`` (more or fewer fields than the header), counted while it is
+    written. Files are split over tasks and parsed once. Only if a line is found whose quotes do not
+    pair, the source has line breaks inside of fields and is staged again by whole files;
+    ``multi_line`` True or False settles the question beforehand. Raises if a required column is absent.
+    """
+    path = f"{src_dir}/{name}.csv"
+
+    def write(rows: DataFrame) -> dict[str, int]:
+        absent = [c for c in REQUIRED[name] if c not in rows.columns]
+        if absent:
+            raise ValueError(f"{name}.csv has no column {', '.join(absent)}")
+        observation = Observation()
+        open_lines = F.count_if(F.col(OPEN_QUOTE)) if OPEN_QUOTE in rows.columns else F.count_if(F.lit(False))
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(BAD_LINE).isNotNull()).alias("bad_lines"), open_lines.alias("open_quotes")]
+        write_table(rows.observe(observation, *counts), root, f"sources/{name}", mode="overwrite")
+        return observation.get
+
+    if not multi_line:
+        counts = write(read_csv_lines(spark, path))
+        if multi_line is False or not counts["open_quotes"]:
+            return counts
+    return write(read_csv(spark, path, multi_line=True, with_order=True, bad_lines=True))
+
+
+def staged(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A staged source: its columns as text, dates as ISO dates, and the position of its rows."""
+    rows = read_table(spark, root, f"sources/{name}").drop(BAD_LINE, OPEN_QUOTE)
+    return iso_dates(rows, detect_date_formats(rows, DATE_COLUMNS.get(name, ()), DATE_FORMATS, DATE_SAMPLE))
+
+
+def _write_rows(spark: SparkSession, root: str, name: str, years: tuple[int, int] | None = None) -> dict[str, int]:
+    """Build a table from its staged sources, write it, and return its counts (see ``accepted_and_counted``)."""
+    _, sources, parents = JOBS[name]
+    mark, rules = REJECT_RULES[name]
+    marked = mark(*[staged(spark, root, s) for s in sources], *[read_table(spark, root, p) for p in parents])
+    if name in NUMBERED:
+        rows, observation = accepted_and_counted(marked, rules)
+        write_folders(NUMBERED[name](rows), root, name, years=years)
+    else:
+        ready = in_folders(marked, name, years)
+        rows, observation = accepted_and_counted(ready, rules)
+        write_folders(rows, root, name, years=years, ready=True)
+    return observation.get
 
 
-def read_source(spark: SparkSession, src_dir: str, name: str, multi_line: bool = True) -> DataFrame:
-    """One source file with the position of its rows; raises if it lacks a required column."""
-    rows = read_csv(spark, f"{src_dir}/{name}.csv", with_order=True, multi_line=multi_line)
-    absent = [c for c in REQUIRED[name] if c not in rows.columns]
-    if absent:
-        raise ValueError(f"{name}.csv has no column {', '.join(absent)}")
-    return rows
+def load_dim_date(spark: SparkSession, root: str) -> int:
+    counted, observation = load_metrics(date_dimension(spark), "dim_date")
+    write_table(counted, root, "dim_date", mode="overwrite")
+    return observation.get["row_count"]
 
 
-def load_table(spark: SparkSession, src_dir: str, root: str, name: str, multi_line: bool = True) -> int:
+def load_table(spark: SparkSession, src_dir: str, root: str, name: str, multi_line: bool | None = None) -> int:
     """Load one table from its CSV files, replacing it, and return its row count.
 
-    Quoted fields may hold line breaks. Where the files are known to have none, ``multi_line=False``
-    lets Spark split a file over tasks.
+    Its parents must be loaded. ``multi_line`` as for :func:`stage_source`.
     """
     if name == "dim_date":
         return load_dim_date(spark, root)
-    build, sources, parents = JOBS[name]
-    rows = [read_source(spark, src_dir, s, multi_line) for s in sources]
-    return _write_counted(build(*rows, *[read_table(spark, root, p) for p in parents]), root, name)
+    for source in JOBS[name][1]:
+        stage_source(spark, src_dir, root, source, multi_line)
+    counts = _write_rows(spark, root, name)
+    return counts["rows"] - sum(counts[f"rule {rule}"] for rule in REJECT_RULES[name][1])
+
+
+def refresh_years(
+    spark: SparkSession, src_dir: str, root: str, name: str, first: int, last: int, multi_line: bool | None = None
+) -> None:
+    """Replace the rows of a fact that lie in a span of years (seasons for transfers), in the current tables.
+
+    Only the folders of these years are written; years without rows in the source keep theirs. The
+    dimensions stay as they are. Numbered keys are those of a full load of the same source.
+    """
+    if name not in FOLDERS:
+        raise ValueError(f"{name} has no year folders")
+    folder = current_root(spark, root)
+    for source in JOBS[name][1]:
+        stage_source(spark, src_dir, folder, source, multi_line)
+    _write_rows(spark, folder, name, (first, last))
 
 
 def foreign_keys(tables: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, str, DataFrame, str]]:
@@ -335,50 +449,86 @@ def foreign_keys(tables: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame,
 
 
 STATUS = "check_type string, check_name string, found bigint, ok boolean"
+JOB_LOG = "table_name string, seconds double"
 
 
 def load_status(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """NULLs per table and orphaned keys per reference of loaded tables."""
+    """NULLs per table, orphans per reference, rows on a repeated key and derived measures that are wrong."""
     nulls = null_audit(tables).groupBy(F.col("table_name").alias("check_name")).agg(F.sum("nulls").alias("found"))
     broken = orphan_counts(foreign_keys(tables)).withColumnRenamed("orphans", "found")
+    repeated = union_all(
+        *[
+            key_check(tables[name], [key]).select(F.lit(name).alias("check_name"), F.coalesce("extra_rows", F.lit(0)).alias("found"))
+            for name, key in KEYS.items()
+        ]
+    )
+    home, away = F.col("home_club_goals"), F.col("away_club_goals")
+    rules = {
+        "goal_difference": home - away, "total_goals": home + away,
+        "is_home_win": home > away, "is_draw": home == away, "is_away_win": home < away,
+    }
+    verified = verify_derived(tables["fact_games"], rules)
+    wrong = verified.select(*[(F.col("row_count") - F.col(f"{c}_ok")).alias(c) for c in rules])
+    derived = wrong.unpivot([], wrong.columns, "measure", "found")
+    derived = derived.select(F.concat(F.lit("fact_games."), "measure").alias("check_name"), "found")
     return union_all(
         *[
             check.select(F.lit(kind).alias("check_type"), "check_name", "found", (F.col("found") == 0).alias("ok"))
-            for kind, check in (("nulls", nulls), ("orphans", broken))
+            for kind, check in (("nulls", nulls), ("orphans", broken), ("repeated_keys", repeated), ("wrong_measures", derived))
         ]
     )
 
 
 def load_all(
-    spark: SparkSession, src_dir: str, root: str, strict: bool = False, multi_line: bool = True
+    spark: SparkSession, src_dir: str, root: str, strict: bool = False, multi_line: bool | None = None
 ) -> DataFrame:
     """Load all tables in dependency order and return the checks as a status table.
 
     The tables are written to a new version folder under ``root``, which becomes the current one at
     the end: a run that fails leaves the tables of the run before as they are, and queries already
-    running keep their files. Old versions are for the caller to delete.
-
-    The status has the rows loaded per table, the malformed lines per source file, the NULLs per
-    table and the orphans per reference; it is computed once. The first failing job raises and ends
-    the run. With ``strict``, malformed lines end it before anything is loaded, and NULLs or orphaned
-    keys raise at its end.
+    running keep their files. Old versions are for the caller to delete. The version also holds the
+    staged sources (``sources``) and the time per job (``job_log``).
+
+    The status has the malformed lines per source file; per table the rows loaded, the rows
+    rejected by each rule (``table.rule``; ``duplicate`` for a key that came before) and the source rows
+    in neither; the NULLs per table, the orphans per reference, the rows on a repeated key and the
+    derived measures that differ from their rule; it is computed once. Each source is parsed once,
+    and rejected rows are counted while the tables are written. The first failing job raises and
+    ends the run. With ``strict``, malformed lines end it before anything is loaded, and any other
+    failed check raises at its end.
     """
     def stop_on(rows: list) -> None:
         failed = [r for r in rows if not r[3]]
         if strict and failed:
             raise ValueError("; ".join(f"{kind} in {name}: {found}" for kind, name, found, _ in failed))
 
-    files = sorted({s for _, sources, _ in JOBS.values() for s in sources})
-    bad = [("bad_lines", s, count_bad_lines(spark, f"{src_dir}/{s}.csv", multi_line)) for s in files]
-    rows = [(*b, b[2] == 0) for b in bad]
-    stop_on(rows)
     version = f"version-{uuid.uuid4().hex}"
     folder = f"{root}/{version}"
-    rows.append(("rows_loaded", "dim_date", load_dim_date(spark, folder), True))
-    for name in JOBS:
-        rows.append(("rows_loaded", name, load_table(spark, src_dir, folder, name, multi_line), True))
-    rows += [tuple(r) for r in load_status(Warehouse.at(spark, folder)).collect()]  # a row per table and reference
+    log: list[tuple[str, float]] = []
+
+    def timed(job: str, run: Callable, *args):
+        start = time.monotonic()
+        result = run(*args)
+        log.append((job, time.monotonic() - start))
+        return result
+
+    files = sorted({s for _, sources, _ in JOBS.values() for s in sources})
+    sources = {s: timed(f"sources/{s}", stage_source, spark, src_dir, folder, s, multi_line) for s in files}
+    rows: list[tuple] = [("bad_lines", s, counts["bad_lines"], not counts["bad_lines"]) for s, counts in sources.items()]
+    stop_on(rows)
+    rows.append(("rows_loaded", "dim_date", timed("dim_date", load_dim_date, spark, folder), True))
+    for name, (_, own, _) in JOBS.items():
+        counts = timed(name, _write_rows, spark, folder, name)
+        rejected = {rule: counts[f"rule {rule}"] for rule in REJECT_RULES[name][1]}
+        left = sources[own[0]]["rows"] - (counts["rows"] - counts["added"])
+        if name in DEDUPED:
+            rejected["duplicate"], left = left, 0
+        rows.append(("rows_loaded", name, counts["rows"] - sum(n for rule, n in rejected.items() if rule != "duplicate"), True))
+        rows += [("rows_rejected", f"{name}.{rule}", n, True) for rule, n in rejected.items()]
+        rows.append(("rows_unaccounted", name, left, left == 0))
+    rows += [tuple(r) for r in load_status(Warehouse.at(spark, folder)).collect()]  # a row per table, key and reference
     stop_on(rows)
+    write_table(spark.createDataFrame(log, JOB_LOG), folder, "job_log")
     publish(spark, root, version)
     return spark.createDataFrame(rows, STATUS)
 
@@ -392,3 +542,8 @@ def source_load_rate(spark: SparkSession, src_dir: str, root: str, multi_line: b
             for name, (_, sources, _) in JOBS.items()
         }
     )
+
+
+def job_log(spark: SparkSession, root: str) -> DataFrame:
+    """Seconds per job of the load published last."""
+    return read_table(spark, current_root(spark, root), "job_log")

@@ -3,23 +3,33 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import count_where, n_distinct, per_90, ratio, scaled, string_list, sum_where
+from starmart.functions import count_where, n_distinct, per_90, ratio, scaled, sum_where
 from starmart.operators import (
     aggregate,
     dice,
-    drill_across,
     known,
     order,
     period_change,
-    star_join,
+    tally,
     tile_of,
     top_overall,
+    with_ties,
+)
+from starmart.plans.common import (
+    BIG_FIVE,
+    PLAYER,
+    UNNAMED,
+    Mart,
+    fact,
+    name_list,
+    named,
+    player_keys,
+    with_calendar,
+    with_person,
+    with_player,
 )
-from starmart.plans.common import BIG_FIVE, UNNAMED, Mart, player_keys, with_calendar, with_player
 from starmart.session import cut_lineage
 
-PLAYER = {"name": "player", "position": "position", "country_of_citizenship": "country"}
-
 
 def _lines(mart: Mart, leagues) -> DataFrame:
     return dice(mart["fact_appearances"], {"competition_id": list(leagues)})
@@ -111,37 +121,17 @@ def q11_2(mart: Mart, leagues=BIG_FIVE, as_published: bool = False) -> DataFrame
 def q11_3(
     mart: Mart, leagues=BIG_FIVE, min_clubs: int = 4, top: int = 25, split_homonyms: bool = False
 ) -> DataFrame:
-    """Players with many clubs: their clubs, leagues and seasons.
-
-    Lines are first reduced to one per player, club, league and season, so counting three distinct
-    columns repeats that small result and not the fact.
-    """
-    keys = player_keys(["player", "position", "country"], split_homonyms)
-    lines = with_player(known(_lines(mart, leagues), "club_id"), mart, PLAYER)
-    stays = aggregate(
-        with_calendar(lines, mart, columns=["season_start_year"]),
-        [*keys, "club_id", "competition_id", "season_start_year"],
-        {"goals": F.sum("goals"), "assists": F.sum("assists")},
-    )
-    totals = aggregate(
-        stays, keys,
-        {
-            "clubs": n_distinct("club_id"),
-            "leagues": n_distinct("competition_id"),
-            "seasons": n_distinct("season_start_year"),
-            "goals": F.sum("goals"),
-            "assists": F.sum("assists"),
-        },
-        having=F.col("clubs") >= min_clubs,
-    )
-    games = aggregate(lines, keys, {"games": n_distinct("game_id")})
-    ordering = [F.desc("clubs"), F.desc("games"), F.asc("player"), F.asc("position"), F.asc("country")]
-    first = top_overall(drill_across([totals, games], keys, null_safe=True), ordering, top, "rank")
-    chosen = first.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    own = lines.join(chosen, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
-    clubs = star_join(own, [("club_id", mart["dim_clubs"], "club_id", {"name": "club"})])
-    listed = aggregate(clubs, keys, {"club_list": string_list("club", " --> ")})
-    return drill_across([first, listed], keys, null_safe=True).orderBy("rank")
+    """Players with many clubs: their clubs, leagues and seasons."""
+    keys = ["player", "position", "country"]
+    lines = with_person(known(_lines(mart, leagues), "club_id"), mart, keys, split_homonyms)
+    lines = with_calendar(lines, mart, columns=["season_start_year"])
+    distinct = {"clubs": "club_id", "leagues": "competition_id", "seasons": "season_start_year", "games": "game_id"}
+    totals = tally(lines, ["person"], ["goals", "assists"], distinct, {"_clubs": "club_id"}).filter(F.col("clubs") >= min_clubs)
+    # Ties at the cut are broken by names, so rows level with the last come along.
+    counts = [F.desc("clubs"), F.desc("games")]
+    ordering = [*counts, F.asc("player"), F.asc("position"), F.asc("country")]
+    first = top_overall(named(with_ties(totals, counts, top), mart, keys, split_homonyms), ordering, top, "rank")
+    return name_list(first, "_clubs", mart["dim_clubs"], "club_id", "club_list", " --> ").orderBy("rank")
 
 
 def q11_4(
@@ -149,7 +139,7 @@ def q11_4(
 ) -> DataFrame:
     """Largest rises of a player's yearly maximum value, with the direction afterwards."""
     values = with_calendar(
-        mart["fact_player_valuations"].filter(F.col("market_value_in_eur") > 0), mart, years=years
+        fact(mart, "fact_player_valuations", years).filter(F.col("market_value_in_eur") > 0), mart, years=years
     )
     values = values.filter(F.col("player_id") != -1).withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
     yearly = aggregate(values, ["player_id", "year"], {"value": F.max("market_value_in_eur")})

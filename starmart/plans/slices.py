@@ -8,6 +8,7 @@ from starmart.operators import aggregate, any_of, dice, slice_, star_join, top_o
 from starmart.plans.common import (
     BIG_FIVE,
     Mart,
+    fact,
     player_keys,
     with_calendar,
     with_club_league,
@@ -83,7 +84,7 @@ def q02_1(
     split_homonyms: bool = False,
 ) -> DataFrame:
     """Goals and assists of the players of one nationality, per league."""
-    lines = with_calendar(dice(mart["fact_appearances"], {"competition_id": list(leagues)}), mart, years=years)
+    lines = with_calendar(dice(fact(mart, "fact_appearances", years), {"competition_id": list(leagues)}), mart, years=years)
     players = slice_(mart["dim_players"], "country_of_citizenship", country)
     lines = with_league(with_player(lines, mart, {"name": "player", "position": "position"}, players), mart)
     games = n_distinct("game_id")

@@ -18,7 +18,7 @@ from starmart.operators import (
     two_perspectives,
     vs_group,
 )
-from starmart.plans.common import BIG_FIVE, Mart, with_calendar, with_club, with_club_league, with_league
+from starmart.plans.common import BIG_FIVE, Mart, fact, with_calendar, with_club, with_club_league, with_league
 
 
 def q12_1(mart: Mart, leagues=BIG_FIVE, min_games: int = 50, ranks: int = 5) -> DataFrame:
@@ -57,7 +57,7 @@ def q12_1(mart: Mart, leagues=BIG_FIVE, min_games: int = 50, ranks: int = 5) ->
 
 def club_results(mart: Mart, leagues=BIG_FIVE, seasons=(2018, 2024)) -> DataFrame:
     """Wins, draws, losses and goals of every club, home and away together, in one scan."""
-    games = with_calendar(dice(mart["fact_games"], {"competition_id": list(leagues)}), mart, seasons=seasons)
+    games = with_calendar(dice(fact(mart, "fact_games", seasons=seasons), {"competition_id": list(leagues)}), mart, seasons=seasons)
 
     def view(key: str, won: str, lost: str, scored: str, conceded: str) -> dict:
         return {
@@ -120,7 +120,7 @@ def q12_2(
 
 def season_goals(mart: Mart, leagues=BIG_FIVE, seasons=(2010, 2024), min_games: int = 30) -> DataFrame:
     """Games and goals of every league and season."""
-    games = with_calendar(dice(mart["fact_games"], {"competition_id": list(leagues)}), mart, seasons=seasons)
+    games = with_calendar(dice(fact(mart, "fact_games", seasons=seasons), {"competition_id": list(leagues)}), mart, seasons=seasons)
     by_day = aggregate(
         games, ["competition_id", "date_id"], {"n": F.count(F.lit(1)), "total": F.sum("total_goals")}
     )

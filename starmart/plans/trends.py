@@ -25,6 +25,7 @@ from starmart.plans.common import (
     BIG_FIVE,
     UNNAMED,
     Mart,
+    fact,
     player_keys,
     with_calendar,
     with_club,
@@ -55,7 +56,7 @@ def q06_1(mart: Mart, club: str = "%Chelsea%", seasons=(2015, 2024)) -> DataFram
 
 def q06_2(mart: Mart, competition: str = "ES1", years=(2020, 2024), rows: int = 3) -> DataFrame:
     """Goals per match by month with a moving average."""
-    games = with_calendar(slice_(mart["fact_games"], "competition_id", competition), mart, years=years)
+    games = with_calendar(slice_(fact(mart, "fact_games", years), "competition_id", competition), mart, years=years)
     by_day = aggregate(games, ["date_id"], {"goals": F.sum("total_goals"), "games": F.count(F.lit(1))})
     days = with_calendar(by_day, mart, columns=["year", "month"])
     by_month = aggregate(
@@ -136,7 +137,7 @@ def q08_1(mart: Mart, competition: str = "ES1", top: int = 5, years=(2022, 2024)
     in_league = slice_(values, "competition_id", competition).filter(F.col("market_value_in_eur") > 0)
     peaks = aggregate(in_league, ["player_id"], {"peak": F.max("market_value_in_eur")})
     named = peaks.join(mart["dim_players"].select("player_id", F.col("name").alias("player")), "player_id")
-    recent = with_calendar(values, mart, years=years)
+    recent = with_calendar(fact(mart, "fact_player_valuations", years), mart, years=years)
     chosen = restrict_to_top(
         recent, named, "player_id", top, [F.desc("peak"), F.asc("player_id")]
     )
@@ -246,7 +247,7 @@ def q08_4b(mart: Mart, leagues=BIG_FIVE, ranks: int = 10, split_homonyms: bool =
 def q08_5(mart: Mart, competition: str = "ES1", season: int = 2023, club: str = "%Real Madrid%") -> DataFrame:
     """Month-by-month record of one club in one season, with running totals."""
     games = with_calendar(
-        slice_(mart["fact_games"], "competition_id", competition), mart, seasons=(season, season)
+        slice_(fact(mart, "fact_games", seasons=(season, season)), "competition_id", competition), mart, seasons=(season, season)
     )
     own = lookup_key(mart["dim_clubs"], "name", club, "club_id")
     games = games.withColumn("_club", own)

@@ -1,15 +1,19 @@
 """Full load of small CSV files, with every rule a table has."""
 
+import re
 import shutil
 from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from starmart.plans import loads
+from starmart.operators import accepted_and_counted, reject_missing, reject_orphans, reject_where
+from starmart.plans import hierarchies, loads, slices
+from starmart.plans.common import fact
 from starmart.schemas import TABLES, unknown_member
-from starmart.sources import Warehouse, count_bad_lines, read_csv, write_table
+from starmart.sources import Warehouse, count_bad_lines, current_root, read_csv, read_folders, write_folders, write_table
 from checks.reports import REPORTS
 
 FILES = {
@@ -206,6 +210,108 @@ def test_load_rate_counts_sources_and_tables(spark, warehouse):
     assert rate["TOTAL"].source_rows == sum(r.source_rows for n, r in rate.items() if n != "TOTAL")
 
 
+def test_rejected_rows_are_counted_by_the_first_rule_they_fail(warehouse):
+    found = {r.check_name: r.found for r in warehouse[1] if r.check_type == "rows_rejected" and r.found}
+    assert found == {
+        "dim_competitions.duplicate": 1, "dim_clubs.duplicate": 1, "dim_clubs.missing": 1, "dim_players.duplicate": 1,
+        "dim_games.missing": 1, "dim_games.away_club_id": 1, "dim_games.competition_id": 1,
+        "fact_games.game_id": 3, "fact_games.date_id": 1,
+        "fact_appearances.game_id": 1, "fact_appearances.player_id": 1, "fact_appearances.club_id": 1,
+        "fact_game_events.game_id": 1, "fact_game_events.player_id": 1,
+        "fact_transfers.missing": 1, "fact_transfers.player_id": 1, "fact_transfers.transfer_date_id": 1,
+        "fact_player_valuations.player_id": 1, "fact_player_valuations.date_id": 1,
+    }
+    assert all(r.ok for r in warehouse[1] if r.check_type in ("rows_unaccounted", "repeated_keys", "wrong_measures"))
+
+
+def test_marked_rows_keep_their_first_rule_and_added_rows_stay(spark):
+    rows = spark.createDataFrame([(1, 10), (2, None), (3, 77), (None, 10), (5, 10)], "id int, club int")
+    clubs = spark.createDataFrame([(10, "A"), (10, "A")], "club_id int, name string")
+    marked = reject_orphans(reject_missing(rows, "no id", ["id", "absent"]), "no club", "club", clubs, "club_id", ["name"])
+    marked = reject_where(marked, "late", F.col("id") == 5).unionByName(spark.createDataFrame([(-1, -1, "", "?")], "id int, club int, _reject string, name string"))
+    kept, counts = accepted_and_counted(marked, ["no id", "no club", "late"])
+    assert sorted((r.id, r.name) for r in kept.collect()) == [(-1, "?"), (1, "A")]
+    assert counts.get == {"rows": 6, "added": 1, "rule no id": 1, "rule no club": 2, "rule late": 1}
+
+
+def test_sources_are_staged_and_the_jobs_timed(spark, warehouse):
+    _, _, folder, root = warehouse
+    current = current_root(spark, root)
+    for name in FILES:
+        lines = read_csv(spark, f"{folder}/{name}.csv", multi_line=True)
+        assert sorted(map(str, loads.staged(spark, current, name).select(lines.columns).collect())) == sorted(map(str, lines.collect())), name
+    jobs = {r.table_name: r.seconds for r in loads.job_log(spark, root).collect()}
+    assert set(jobs) == {"dim_date", *loads.JOBS, *[f"sources/{s}" for s in FILES]} and all(s > 0 for s in jobs.values())
+
+
+def test_lines_with_open_quotes_make_the_source_be_read_by_whole_files(spark, tmp_path):
+    text = 'club_id,name,code\n1,"a ""b"", c",x\n\n2,N/A\n3,"open\nend",y\n4,z,"last\n5,q,r"\n6,d,e,f\n'
+    (tmp_path / "clubs.csv").write_text(text, encoding="utf-8")
+    counts = loads.stage_source(spark, str(tmp_path), str(tmp_path / "whole"), "clubs")
+    rows = {r.club_id: (r.name, r.code) for r in loads.staged(spark, str(tmp_path / "whole"), "clubs").collect()}
+    assert rows == {"1": ('a "b", c', "x"), "2": (None, None), "3": ("open\nend", "y"), "4": ("z", "last\n5,q,r"), "6": ("d", "e")}
+    assert (counts["rows"], counts["bad_lines"]) == (5, 2)
+    split = loads.stage_source(spark, str(tmp_path), str(tmp_path / "split"), "clubs", multi_line=False)
+    assert split["open_quotes"] == 4 and split["rows"] == 7
+
+
+def test_dates_in_another_format_give_the_same_tables(spark, warehouse, tmp_path):
+    tables, _, folder, _ = warehouse
+    shutil.copytree(folder, tmp_path / "csv")
+    for name in ("players", "games", "transfers", "player_valuations"):
+        path = tmp_path / "csv" / f"{name}.csv"
+        path.write_text(re.sub(r"\b(\d{4})-(\d\d)-(\d\d)\b", r"\3/\2/\1", path.read_text(encoding="utf-8")), encoding="utf-8")
+    loads.load_all(spark, str(tmp_path / "csv"), str(tmp_path / "tables"))
+    other = Warehouse.at(spark, str(tmp_path / "tables"))
+    for name in ("dim_players", "dim_games", "fact_games", "fact_transfers", "fact_player_valuations"):
+        assert sorted(map(str, other[name].collect())) == sorted(map(str, tables[name].collect())), name
+
+
+def files_read(df) -> set:
+    return {r.f.split("/")[-2] for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_reports_read_the_folders_of_their_years(spark, warehouse):
+    tables = Warehouse.at(spark, warehouse[3])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    text = plan(slices.q01_1(tables, season=2023))
+    assert re.search(r"PartitionFilters: \[isnotnull\(transfer_season#\d+\), \(transfer_season#\d+ = 2023\)\]", text)
+    text = plan(hierarchies.q04_1a(tables, years=(2023, 2023)))
+    assert re.search(r"PartitionFilters: \[isnotnull\(folder_year#\d+\), \(folder_year#\d+ >= 2023\), \(folder_year#\d+ <= 2023\)\]", text)
+    assert files_read(tables["fact_transfers"].filter("transfer_season = 2023")) == {"transfer_season=2023"}
+    assert files_read(fact(tables, "fact_player_valuations", (2024, 2024))) == {"folder_year=2024"}
+    assert files_read(fact(tables, "fact_player_valuations", seasons=(2023, 2023))) == {"folder_year=2023", "folder_year=2024"}
+
+
+def test_refreshing_years_leaves_the_other_folders(spark, warehouse, tmp_path):
+    _, _, folder, _ = warehouse
+    shutil.copytree(folder, tmp_path / "csv")
+    root = str(tmp_path / "tables")
+    loads.load_all(spark, str(tmp_path / "csv"), root)
+    path = tmp_path / "csv" / "player_valuations.csv"
+    path.write_text(path.read_text(encoding="utf-8").replace("1,2023-01-01,100", "1,2023-01-01,111").replace("1,2024-01-01,,", "1,2024-01-01,7,"), encoding="utf-8")
+    loads.refresh_years(spark, str(tmp_path / "csv"), root, "fact_player_valuations", 2024, 2024)
+    rows = by(Warehouse.at(spark, root)["fact_player_valuations"], "date_id")
+    assert (rows[20230101].market_value_in_eur, rows[20240101].market_value_in_eur) == (Decimal("100.00"), Decimal("7.00"))
+    assert (rows[20230101].valuation_id, rows[20240101].valuation_id) == (1, 2)
+    with pytest.raises(ValueError, match="no year folders"):
+        loads.refresh_years(spark, str(tmp_path / "csv"), root, "dim_clubs", 2024, 2024)
+
+
+def test_a_fact_without_rows_can_be_read(spark, tmp_path):
+    none = spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in TABLES["fact_games"].items()))
+    write_folders(none, str(tmp_path), "fact_games")
+    read = Warehouse(lambda name: read_folders(spark, str(tmp_path), name))
+    assert read["fact_games"].columns == list(TABLES["fact_games"]) and read.in_years("fact_games", 2000, 2001).count() == 0
+
+
+def test_only_a_missing_folder_means_that_nothing_is_published(spark, tmp_path):
+    assert current_root(spark, str(tmp_path)) == str(tmp_path)
+    (tmp_path / "current").mkdir()
+    with pytest.raises(AnalysisException):
+        current_root(spark, str(tmp_path))
+
+
 def test_appending_adds_rows(spark, tmp_path):
     rows = spark.range(3)
     write_table(rows, str(tmp_path), "t")

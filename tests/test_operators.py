@@ -2,23 +2,29 @@
 
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.functions import distinct_ids, highest, lowest, number, quotient, ratio, total
 from starmart.operators import (
     add_unknown_member,
+    aggregate,
     assert_no_nulls,
     balance,
     cube,
     dedupe,
+    distinct_counts,
     drill_across,
     either_role,
     exact_median,
     filter_fk,
     grouping_sets,
+    kpi_ranking,
     moving_avg,
     order,
+    orphan_counts,
     period_change,
     prefix_sums,
     redirect_fk,
@@ -26,6 +32,7 @@ from starmart.operators import (
     reject_counts,
     roll_up,
     share_of_total,
+    tally,
     tiers,
     top_overall,
     top_per_group,
@@ -232,8 +239,83 @@ def test_drill_across_joins_null_keys_when_told(spark):
     assert joined == {None: 10, "x": 20}
 
 
-def test_unknown_member_is_added_once(spark):
+def test_unknown_member_stays_when_it_is_added_again(spark):
     df = spark.createDataFrame([(1, "a")], "id int, name string")
     row = {"id": -1, "name": "none"}
     once = add_unknown_member(df, "id", row)
     assert sorted(tuple(r) for r in add_unknown_member(once, "id", row).collect()) == [(-1, "none"), (1, "a")]
+
+
+def test_orphans_are_counted_by_value_whatever_the_types(spark):
+    rows = [(1.0, Decimal("1.00"), "1", 1, None), (2.0, Decimal("2.50"), "x", 7, "b"), (9.0, Decimal("2.00"), " 2", None, "a")]
+    fact = spark.createDataFrame(rows, "d double, n decimal(10,2), t string, i int, s string")
+    ids = spark.createDataFrame([(1,), (2,), (None,)], "id int")
+    names = spark.createDataFrame([("a",), (None,)], "name string")
+    found = orphan_counts({
+        "double": (fact, "d", ids, "id"), "decimal": (fact, "n", ids, "id"), "text": (fact, "t", ids, "id"), "int": (fact, "i", ids, "id"),
+        "name": (fact, "s", names, "name"), "no parent": (fact, "i", ids.limit(0), "id"), "same": (ids, "id", ids, "id"),
+    })
+    assert {r.check_name: r.orphans for r in found.collect()} == {
+        "double": 1, "decimal": 1, "text": 1, "int": 2, "name": 2, "no parent": 3, "same": 1,
+    }
+
+
+def test_kpi_ranks_equal_a_window_per_kpi(spark):
+    rows = [(i, (i * 7) % 5, None if i % 9 == 0 else (i % 4) / 2) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id int, a int, b double")
+    ranked = kpi_ranking(frame, "id", {"a": False, "b": True})
+    assert "Window" not in ranked._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    for kpi, sign in (("a", -1), ("b", 1)):
+        values = {r[0]: r[1 if kpi == "a" else 2] for r in rows}
+        signed = {k: float("inf") if v is None else sign * v for k, v in values.items()}
+        expected = {k: 1 + sum(o < s for o in signed.values()) for k, s in signed.items()}
+        assert {r.id: r.kpi_rank for r in ranked.filter(F.col("kpi") == kpi).collect()} == expected
+    assert kpi_ranking(frame.limit(0), "id", {"a": False}).count() == 0
+
+
+def test_tally_equals_a_loop(spark):
+    made = random.Random(4)
+    rows = [(made.choice([None, "x", "y"]), made.choice([None, 1, 2]), made.randint(1, 30), made.choice([None, 5, 6]), made.randint(0, 3)) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "k string, j int, game int, club int, goals int").repartition(5)
+    found = tally(frame, ["k", "j"], ["goals"], {"games": "game", "clubs": "club"}, {"list": "club"}).collect()
+    for r in found:
+        own = [x for x in rows if (x[0], x[1]) == (r.k, r.j)]
+        clubs = sorted({x[3] for x in own} - {None})
+        assert (r.goals, r.games, r.clubs, r.list) == (sum(x[4] for x in own), len({x[2] for x in own}), len(clubs), clubs)
+    assert len(found) == len({(x[0], x[1]) for x in rows})
+    alone = {r.k: r.clubs for r in tally(frame, ["k"], [], {"clubs": "club"}).collect()}
+    assert alone == {k: len({x[3] for x in rows if x[0] == k} - {None}) for k in {x[0] for x in rows}}
+    with pytest.raises(ValueError):
+        tally(frame, ["k"], ["goals"], {"keys": "k"})
+
+
+def test_merged_subtotals_equal_those_over_rows(spark):
+    made = random.Random(6)
+    rows = [(made.choice("ab"), made.choice([1, 2, None]), made.choice([1, 32768, 32769, 65536, None]), made.choice([0, 3, None])) for _ in range(300)]
+    frame = spark.createDataFrame(rows, "k string, j int, id int, v int").repartition(4)
+    merged = {"n": number(), "some": number(F.col("v") == 3), "sum": total("v"), "low": lowest("v"), "high": highest("v"),
+              "mean": quotient(total("v"), number(F.col("v").isNotNull()), 2), "ids": distinct_ids("id", 65536)}
+    plain = {"n": F.count(F.lit(1)), "some": F.count_if(F.col("v") == 3), "sum": F.sum("v"), "low": F.min("v"), "high": F.max("v"),
+             "mean": ratio(F.sum("v"), F.count("v"), 2), "ids": F.countDistinct("id")}
+    columns = ["k", "j", "level", *plain]
+    for subtotals in (lambda a: cube(frame, ["k", "j"], a), lambda a: roll_up(frame, ["k", "j"], a),
+                      lambda a: grouping_sets(frame, [["k", "j"], ["j"], []], a)):
+        a, b = (subtotals({"level": F.grouping_id(), **aggs}).select(columns) for aggs in (merged, plain))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert str(aggregate(frame, [], merged).first()) == str(aggregate(frame, [], plain).first())
+    text = cube(frame, ["k", "j"], {"n": number(), "sum": total("v")})._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Expand") < text.rindex("HashAggregate(keys=[k")  # the groups of rows lie below
+    with pytest.raises(Exception, match="out of its span"):
+        aggregate(frame, [], {"ids": distinct_ids("id", 32768)}).collect()
+    with pytest.raises(ValueError):
+        distinct_ids("id", 1 << 30)
+
+
+def test_distinct_counts_choose_bitmaps_for_small_ids(spark):
+    frame = spark.createDataFrame([("a", 1, 5, "x"), ("a", 40000, 5, "x"), ("b", None, -2, None), ("a", 1, 7, "y")], "k string, id int, odd int, t string")
+    small = distinct_counts(frame, ["k"], {"ids": "id"}, {"n": F.count(F.lit(1))})
+    assert "Expand" not in small._jdf.queryExecution().executedPlan().toString()
+    mixed = distinct_counts(frame, ["k"], {"ids": "id", "odds": "odd", "texts": "t"}, {"n": number()})
+    assert sorted(map(tuple, mixed.select("k", "ids", "odds", "texts", "n").collect())) == [("a", 2, 2, 2, 3), ("b", 0, 1, 0, 1)]
+    assert sorted(map(tuple, small.select("k", "ids", "n").collect())) == [("a", 2, 3), ("b", 0, 1)]
+    assert distinct_counts(frame.limit(0), ["k"], {"ids": "id"}).count() == 0

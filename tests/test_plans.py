@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starmart.operators import (
     aggregate,
     dice,
+    distinct_counts,
     either_role,
     filter_fk,
     null_audit,
@@ -16,8 +17,9 @@ from starmart.operators import (
     star_join,
     top_overall,
     top_per_group,
+    with_ties,
 )
-from starmart.plans import highlights, slices, teams, trends
+from starmart.plans import highlights, players, slices, teams, trends
 from starmart.session import shared_folder
 from checks.testmart import Tables
 from checks.testmart import testmart as open_mart
@@ -110,3 +112,23 @@ def test_large_dimensions_are_shuffled_not_broadcast(tables, no_broadcast):
 def test_shared_folder_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or shared_folder(spark) == configured
+
+
+@pytest.mark.parametrize("report", [highlights.q09_1, highlights.q09_2, highlights.q09_5, players.q11_3])
+def test_player_reports_read_the_appearances_once(spark, tmp_path_factory, sf_dir, report):
+    mart, folder = open_mart(spark, sf_dir), tmp_path_factory.mktemp("mart")
+    for name in ("fact_appearances", "dim_players", "dim_clubs", "dim_competitions"):
+        mart[name].write.parquet(f"{folder}/{name}")
+    stored = {name: spark.read.parquet(f"{folder}/{name}") for name in ("fact_appearances", "dim_players", "dim_clubs", "dim_competitions")}
+    text = plan(report({**stored, "dim_date": mart["dim_date"]}))
+    assert len(re.findall(r"FileScan parquet .*fact_appearances", text)) == 1
+
+
+def test_ties_at_a_cut_are_limited_in_every_task(tables):
+    totals = aggregate(tables["orders"], ["o_custkey"], {"n": F.count(F.lit(1))})
+    assert plan(with_ties(totals, [F.desc("n")], 5)).count("WindowGroupLimit") == 2
+
+
+def test_distinct_counts_of_keys_repeat_no_row(tables):
+    counted = distinct_counts(tables["lineitem"], ["l_returnflag"], {"parts": "l_partkey", "suppliers": "l_suppkey", "orders": "l_orderkey"})
+    assert "Expand" not in plan(counted)
