@@ -92,17 +92,15 @@ def season_start(column: ColumnOrName, pivot: int = 50) -> Column:
 FREE_FEES = ("free", "loan", "free transfer", "-", "?")
 FEE_UNITS = {"m": 1_000_000, "k": 1_000}
 
-# The first number of the text, and the unit letter right behind it.
-FEE_NUMBER = r"^[^0-9.]*([0-9.]+)"
-FEE_UNIT = FEE_NUMBER + r"\s*(m|k)"
+# A decimal number that no further digit or point adjoins, and the unit letter that may follow it.
+FEE_AMOUNT = rf"(?<![\d.])(\d+\.?\d*|\.\d+)(?![\d.])\s*([{''.join(FEE_UNITS)}]?)"
 
 
 def money(column: ColumnOrName) -> Column:
     """Amount from text such as ``€50.00m``; 0 for free moves, NULL without a number."""
     text = F.lower(F.trim(as_column(column)))
-    number = F.regexp_extract(text, FEE_NUMBER, 1)
-    amount = F.when(number.rlike(NUMBER_PATTERN), number).try_cast("decimal(20,6)")
-    unit = F.regexp_extract(text, FEE_UNIT, 2)
+    amount = F.nullif(F.regexp_extract(text, FEE_AMOUNT, 1), F.lit("")).try_cast("decimal(20,6)")
+    unit = F.regexp_extract(text, FEE_AMOUNT, 2)
     factor = F.lit(1)
     for letter, size in FEE_UNITS.items():
         factor = F.when(unit == letter, F.lit(size)).otherwise(factor)

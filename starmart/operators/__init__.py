@@ -48,6 +48,7 @@ from starmart.operators.loading import (  # noqa: F401
     select_available,
     truncate_text,
     widen_by_role,
+    with_file_order_key,
     with_surrogate_key,
 )
 from starmart.operators.periods import moving_avg, period_change, running_total, vs_group, with_mean  # noqa: F401

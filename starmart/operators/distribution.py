@@ -1,9 +1,9 @@
 """Global order at scale: running sums, positions and medians without a one-task sort.
 
-The rows are written once, range-partitioned by the order columns, sorted within each range and
-written again with their range and place in it; the sums of the earlier ranges become the offset of
-a range. The first write keeps what is upstream from running twice (a range split samples its
-input); the second fixes the split, so that sums and rows see the same one.
+The rows are range-partitioned by the order columns, sorted within each range and written once with
+their range and place in it; the sums of the earlier ranges become the offset of a range. The write
+fixes the split, so that sums and rows see the same one. A range split samples its input first, so
+the last stage upstream runs twice; earlier stages do not, as their shuffle files are there.
 """
 
 from collections.abc import Sequence
@@ -31,7 +31,7 @@ def prefix_sums(
     """
     placed = {"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
     weights = {"_weight": F.lit(1).cast("long") if weight is None else weight}
-    ranges = cut_lineage(df).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ranges = cut_lineage(ranges.withColumns({**placed, **weights}))
     sums = ranges.groupBy("_range").agg(F.sum("_weight").alias("_sum"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,11 +4,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starmart.functions import date_in, to_date_lenient
 from starmart.operators.distribution import positions
 from starmart.schemas import NULL_DEFAULTS, SENTINEL, TEXT_DEFAULTS
+from starmart.session import cut_lineage
 
+PIECE_ROWS = 1 << 20  # positions numbered by one task
 SALTS = 64  # tasks that rows without a match are spread over, unless told otherwise
 
 
@@ -158,6 +161,25 @@ def add_unknown_member(df: DataFrame, key: str, row: Mapping[str, object]) -> Da
     return both.withColumn("_first", first).filter(F.col("_added") == F.col("_first")).drop("_added", "_first")
 
 
+def with_file_order_key(df: DataFrame, name: str, place: str) -> DataFrame:
+    """Dense key 1..n in the order of ``place``: a position in source files (see ``source_order``) or a number.
+
+    Positions name the piece of the source that a row is from, so no range split has to be found:
+    rows are written once, each piece of at most ``PIECE_ROWS`` positions is numbered by itself, and
+    what earlier pieces hold is added.
+    """
+    piece = [f"{place}.file", f"{place}.block"] if isinstance(df.schema[place].dataType, StructType) else []
+    row = F.col(f"{place}.row") if piece else F.col(place)
+    names = [f"_piece_{i}" for i in range(len(piece) + 1)]
+    columns = {**{n: F.col(c) for n, c in zip(names, piece)}, names[-1]: F.floor(row / PIECE_ROWS)}
+    rows = cut_lineage(df.withColumns(columns))
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
+    offsets = counts.select(*names, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy(*names).orderBy(place))
+    return rows.withColumn(name, inside).join(offsets, names).withColumn(name, F.col("_offset") + F.col(name)).drop(*names, "_offset")
+
+
 def with_surrogate_key(df: DataFrame, name: str, ordering: Sequence[Column]) -> DataFrame:
     """Dense key 1..n in a total order, numbered range by range."""
     return positions(df, ordering, name)

@@ -32,7 +32,7 @@ from starmart.operators.loading import (
     select_available,
     truncate_text,
     widen_by_role,
-    with_surrogate_key,
+    with_file_order_key,
 )
 from starmart.operators.quality import key_check, load_rate, null_audit, orphan_counts, verify_derived
 from starmart.schemas import NULL_DEFAULTS, NULL_RULES, TABLES, TEXT_DEFAULTS, unknown_member
@@ -172,7 +172,7 @@ def mark_fact_game_events(
 ) -> DataFrame:
     event_id = first_available(source, ["game_event_id", "id"])
     if event_id is None:
-        source = with_surrogate_key(source, "event_id", [F.asc(ROW_ORDER)])
+        source = with_file_order_key(source, "event_id", ROW_ORDER)
         source = source.withColumn("event_id", F.col("event_id").cast("string"))
     else:
         source = source.withColumn("event_id", event_id)
@@ -213,7 +213,7 @@ def mark_fact_transfers(
 
 
 def _number_transfers(rows: DataFrame) -> DataFrame:
-    return _final(with_surrogate_key(_filled(rows, "fact_transfers"), "transfer_id", [F.asc(ROW_ORDER)]), "fact_transfers")
+    return _final(with_file_order_key(_filled(rows, "fact_transfers"), "transfer_id", ROW_ORDER), "fact_transfers")
 
 
 def mark_fact_player_valuations(
@@ -231,7 +231,7 @@ def mark_fact_player_valuations(
 
 
 def _number_valuations(rows: DataFrame) -> DataFrame:
-    return _final(with_surrogate_key(rows, "valuation_id", [F.asc(ROW_ORDER)]), "fact_player_valuations")
+    return _final(with_file_order_key(rows, "valuation_id", ROW_ORDER), "fact_player_valuations")
 
 
 def _built(mark: Callable[..., DataFrame], number: Callable[[DataFrame], DataFrame] | None = None) -> Callable[..., DataFrame]:

@@ -37,8 +37,10 @@ from starmart.operators import (
     top_overall,
     top_per_group,
     trend,
+    with_file_order_key,
     with_surrogate_key,
 )
+from starmart.operators import loading
 from starmart.sources import date_dimension
 from checks.testmart import testmart as open_mart
 
@@ -319,3 +321,16 @@ def test_distinct_counts_choose_bitmaps_for_small_ids(spark):
     assert sorted(map(tuple, mixed.select("k", "ids", "odds", "texts", "n").collect())) == [("a", 2, 2, 2, 3), ("b", 0, 1, 0, 1)]
     assert sorted(map(tuple, small.select("k", "ids", "n").collect())) == [("a", 2, 3), ("b", 0, 1)]
     assert distinct_counts(frame.limit(0), ["k"], {"ids": "id"}).count() == 0
+
+
+def test_keys_in_file_order_are_dense_over_pieces(spark, monkeypatch):
+    monkeypatch.setattr(loading, "PIECE_ROWS", 8)
+    rows = [(f"f{i % 3}", (i % 2) * 100, i * 3) for i in range(200)]
+    random.Random(2).shuffle(rows)
+    frame = spark.createDataFrame(rows, "file string, block long, row long").repartition(6)
+    placed = frame.select(F.struct("file", "block", "row").alias("place"))
+    numbered = {tuple(r.place): r.id for r in with_file_order_key(placed, "id", "place").collect()}
+    assert numbered == {row: i for i, row in enumerate(sorted(rows), 1)}
+    plain = {r.row: r.id for r in with_file_order_key(frame, "id", "row").collect()}
+    assert plain == {r: i for i, r in enumerate(sorted(r for *_, r in rows), 1)}
+    assert with_file_order_key(frame.limit(0), "id", "row").count() == 0
