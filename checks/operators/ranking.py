@@ -7,9 +7,9 @@ from starmart.operators import (
     moving_avg,
     order,
     period_change,
-    rank_columns,
     running_total,
     tiers,
+    top_by_any,
     top_overall,
     top_per_group,
     vs_group,
@@ -90,12 +90,8 @@ OPERATORS["win_dense_rank"] = (
 
 
 def _two_ranks(t: Tables):
-    ranked = rank_columns(
-        _by_nation(t), ["c_nationkey"], {"most": [F.desc("orders")], "cheapest": [F.asc("spent")]}
-    )
-    return ranked.filter((F.col("most") <= 2) | (F.col("cheapest") <= 2)).select(
-        "c_nationkey", "c_custkey", "most", "cheapest"
-    )
+    best = top_by_any(_by_nation(t), ["c_nationkey"], {"most": ("orders", "desc"), "cheapest": ("spent", "asc")}, 2)
+    return best.select("c_nationkey", "c_custkey", "most", "cheapest")
 
 
 OPERATORS["win_two_ranks"] = (

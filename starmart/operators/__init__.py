@@ -82,6 +82,7 @@ from starmart.operators.ranking import (  # noqa: F401
     rank_columns,
     tile_of,
     tiers,
+    top_by_any,
     top_overall,
     top_per_group,
     with_ties,

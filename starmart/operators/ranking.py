@@ -1,6 +1,7 @@
 """Sorting, top-k, ranks and tiles."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,6 +76,37 @@ def rank_columns(
     return df
 
 
+def top_by_any(df: DataFrame, partition: Sequence[str], orders: Mapping[str, tuple[str, str]], n: int) -> DataFrame:
+    """The rows of each group that are among the first n values in any of several orders, with all dense ranks.
+
+    ``orders`` names each rank with its column and ``asc`` or ``desc``; NULL comes last. Every order is
+    cut by itself: its different values are limited in each task before they meet, and the rows with
+    one of these values are taken. Only then do the taken rows get their rank in the other orders, as
+    one more than the different values before theirs, so no group is ever sorted as a whole.
+    """
+    keys = [f"_g{i}" for i in range(len(partition))]
+    renamed = [F.col(c).alias(k) for c, k in zip(partition, keys)]
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(partition, keys)]
+    values, taken = {}, df
+    for name, (column, direction) in orders.items():
+        order = F.asc_nulls_last("_v") if direction == "asc" else F.desc_nulls_last("_v")
+        values[name] = df.select(*renamed, F.col(column).alias("_v")).distinct()
+        first = top_per_group(values[name], keys, [order], n, "dense_rank", f"_r_{name}")
+        taken = taken.join(first, [*same, F.col(column).eqNullSafe(F.col("_v"))], "left").drop(*keys, "_v")
+    among = reduce(lambda a, b: a | b, [F.col(f"_r_{name}").isNotNull() for name in orders])
+    taken = cut_lineage(taken.filter(among).drop(*[f"_r_{name}" for name in orders]))
+    for name, (column, direction) in orders.items():
+        own = taken.select(*[F.col(c).alias(f"_{k}") for c, k in zip(partition, keys)], F.col(column).alias("_own")).distinct()
+        group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        before = F.col("_v") < F.col("_own") if direction == "asc" else F.col("_v") > F.col("_own")
+        before = F.coalesce(before, F.col("_v").isNotNull() & F.col("_own").isNull())
+        ranked = values[name].join(own, group).groupBy(*[f"_{k}" for k in keys], "_own")
+        ranked = ranked.agg((F.count_if(before) + 1).cast("int").alias(name))
+        back = [F.col(c).eqNullSafe(F.col(f"_{k}")) for c, k in zip(partition, keys)]
+        taken = taken.join(ranked, [*back, F.col(column).eqNullSafe(F.col("_own"))]).drop(*[f"_{k}" for k in keys], "_own")
+    return taken
+
+
 def tile_of(position: Column, total: Column, n: int) -> Column:
     """Tile 1..n of a 1-based position; the first ``total % n`` tiles hold one row more."""
     small = F.floor(total / n)

@@ -34,6 +34,7 @@ from starmart.operators import (
     share_of_total,
     tally,
     tiers,
+    top_by_any,
     top_overall,
     top_per_group,
     trend,
@@ -334,3 +335,19 @@ def test_keys_in_file_order_are_dense_over_pieces(spark, monkeypatch):
     plain = {r.row: r.id for r in with_file_order_key(frame, "id", "row").collect()}
     assert plain == {r: i for i, r in enumerate(sorted(r for *_, r in rows), 1)}
     assert with_file_order_key(frame.limit(0), "id", "row").count() == 0
+
+
+def test_rows_among_the_first_in_any_order(spark):
+    made = random.Random(9)
+    rows = [(i, made.choice([None, "a", "b"]), made.choice([None, 1, 2, 3, 4, 5]), made.randint(0, 8)) for i in range(150)]
+    frame = spark.createDataFrame(rows, "id int, g string, x int, y int").repartition(5)
+    found = {r.id: (r.most, r.least) for r in top_by_any(frame, ["g"], {"most": ("x", "desc"), "least": ("y", "asc")}, 2).collect()}
+    expected = {}
+    for i, g, x, y in rows:
+        own = [r for r in rows if r[1] == g]
+        most = 1 + len({r[2] for r in own if r[2] is not None and (x is None or r[2] > x)})
+        least = 1 + len({r[3] for r in own if r[3] < y})
+        if most <= 2 or least <= 2:
+            expected[i] = (most, least)
+    assert found == expected
+    assert top_by_any(frame.limit(0), ["g"], {"most": ("x", "desc")}, 2).count() == 0
