@@ -90,9 +90,10 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return packed[codes[ORDER - 1 :] != 0].astype(np.int64), np.concatenate([[0], np.cumsum(lengths)])
 
 
-def _chunked(df: DataFrame, *columns: Column) -> DataFrame:
-    """``columns`` and ``chunk``, the same in each scan of the input."""
-    return df.select(F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS).alias("chunk"), *columns)
+def _chunked(df: DataFrame, lang: str, text: str, *more: Column) -> DataFrame:
+    """``chunk``, ``lang``, ``text`` and ``more``, in chunks of rows that lie together."""
+    named = [F.col(f"`{c}`").cast("string").alias(n) for c, n in ((lang, "lang"), (text, "text"))]
+    return df.select(F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS).alias("chunk"), *named, *more)
 
 
 def _buckets(n: int) -> int:
@@ -103,10 +104,10 @@ def _buckets(n: int) -> int:
     return n
 
 
-def count_grams(df: DataFrame, text: str, lang: str) -> DataFrame:
+def count_grams(source: DataFrame) -> DataFrame:
     """``chunk``, ``lang``, ``grams`` and ``n``: the different n-grams of the highest order in a
-    chunk in arrays; a chunk with many has several rows."""
-    bounded_batches(df.sparkSession)
+    chunk in arrays; a chunk with many, or read by two tasks, has several rows."""
+    bounded_batches(source.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
@@ -143,15 +144,16 @@ def count_grams(df: DataFrame, text: str, lang: str) -> DataFrame:
                     held, size = {}, 0
         yield from rows()
 
-    source = _chunked(df, F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
+    source = source.select("chunk", "lang", "text")
     return written(source.mapInArrow(count, "chunk long, lang string, grams array<long>, n array<long>"), "quality-chunks")
 
 
 class Model:
     """Tables of each order's n-grams with their discounted probability (``lang``, ``gram``,
-    ``value``) and of contexts with the weight of the lower order (``lang``, ``context``, ``weight``)."""
+    ``value``), of contexts with the weight of the lower order (``lang``, ``context``, ``weight``),
+    and of the number of characters of each language (``lang``, ``characters``)."""
 
-    def __init__(self, values: dict[int, DataFrame], weights: dict[int, DataFrame], characters: dict):
+    def __init__(self, values: dict[int, DataFrame], weights: dict[int, DataFrame], characters: DataFrame):
         self.values, self.weights, self.characters = values, weights, characters
 
     def log_probabilities(self, wanted: DataFrame) -> DataFrame:
@@ -166,10 +168,9 @@ class Model:
                     table = table.withColumnsRenamed({"lang": "_lang", its: "_its"})
                     part = part.join(table, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col(mine) == F.col("_its")), "left").drop("_lang", "_its")
             if lower is None:
-                p = F.lit(0.5)
-                for name, count in self.characters.items():
-                    p = F.when(F.col("lang").eqNullSafe(F.lit(name)), F.lit(1.0 / (max(1, count) + 1))).otherwise(p)
-                part = part.withColumn("p", p)
+                characters = self.characters.withColumnRenamed("lang", "_lang")
+                part = part.join(sent_if_small(characters), F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
+                part = part.withColumn("p", F.coalesce(1.0 / (F.col("characters") + 1.0), F.lit(0.5))).drop("characters")
             p = F.coalesce("value", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("p")
             lower = part.select("lang", "gram", p.alias("p"))
         return lower.select("lang", "gram", F.log("p").alias("log_p"))
@@ -184,25 +185,32 @@ class Model:
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Count all texts and make the model."""
-    return _model(count_grams(df, text, lang))
+    return _model(count_grams(_chunked(df, lang, text)))
+
+
+def _discounts(table: DataFrame) -> DataFrame:
+    """Modified Kneser-Ney: what counts of 1, 2 and more give up (``d1`` to ``d3``), per language (``_lang``)."""
+    ones = [F.count_if(F.col("n") == i).alias(f"n{i}") for i in range(1, 5)]
+    counts = table.groupBy(F.col("lang").alias("_lang")).agg(*ones, F.count(F.lit(1)).alias("different"))
+    y = F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
+
+    def discount(i: int) -> Column:
+        given = i - (i + 1) * F.col("_y") * F.col(f"n{i + 1}") / F.nullif(f"n{i}", F.lit(0))
+        return F.coalesce(F.least(F.lit(i - 0.01), F.greatest(F.lit(0.1), given)), F.lit(0.5))
+
+    held = [F.when(F.col(f"n{i}") > 0, discount(i)).otherwise(0.5).alias(f"d{i}") for i in (1, 2, 3)]
+    return counts.withColumn("_y", y).select("_lang", "different", *held)
 
 
 def _model(chunks: DataFrame) -> Model:
     pairs = chunks.select("lang", F.explode(F.arrays_zip("grams", "n")).alias("_pair"))
     table = written(pairs.groupBy("lang", F.col("_pair.grams").alias("gram")).agg(F.sum("_pair.n").alias("n")), "quality-grams")
-    values, weights, characters = {}, {}, {}
+    values, weights = {}, {}
     for order in range(ORDER, 0, -1):
-        ones = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).alias(f"n{i}") for i in range(1, 5)]
-        counts = {r.lang: r for r in table.groupBy("lang").agg(*ones, F.count(F.lit(1)).alias("all")).collect()}
-        if order == 1:
-            characters = {name: r["all"] for name, r in counts.items()}
-        discount = F.lit(0.0)
-        for name, r in counts.items():
-            y = r.n1 / (r.n1 + 2 * r.n2) if r.n1 and r.n2 else 0.5
-            d = [min(i - 0.01, max(0.1, i - (i + 1) * y * r[f"n{i + 1}"] / r[f"n{i}"])) if r[f"n{i}"] else 0.5 for i in (1, 2, 3)]
-            by_count = F.when(F.col("n") == 1, F.lit(d[0])).when(F.col("n") == 2, F.lit(d[1])).otherwise(F.lit(d[2]))
-            discount = F.when(F.col("lang").eqNullSafe(F.lit(name)), by_count).otherwise(discount)
-        named = table.withColumns({"context": F.shiftright("gram", BITS), "left": F.col("n") - discount})
+        discounts = written(_discounts(table), "quality-discounts")
+        discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        named = table.join(sent_if_small(discounts), F.col("lang").eqNullSafe(F.col("_lang")))
+        named = named.select("lang", "gram", "n", F.shiftright("gram", BITS).alias("context"), (F.col("n") - discount).alias("left"))
         contexts = named.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("left").alias("given"))
         contexts = written(contexts.withColumn("weight", 1.0 - F.col("given") / F.col("total")), "quality-contexts")
         stored = named.alias("a").join(contexts.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.context") == F.col("b.context")))
@@ -212,7 +220,7 @@ def _model(chunks: DataFrame) -> Model:
             # A shorter n-gram counts the different characters it follows.
             table = table.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
             table = written(table, "quality-grams")
-    return Model(values, weights, characters)
+    return Model(values, weights, discounts.select(F.col("_lang").alias("lang"), F.col("different").alias("characters")))
 
 
 def _answers(chunks: DataFrame, found: DataFrame) -> DataFrame:
@@ -281,7 +289,9 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
     ``lower`` and ``upper`` for as many words. Other columns are not read.
     """
     bounded_batches(df.sparkSession)
-    chunks = count_grams(df, text, lang)
+    # Written once, so that both scans have the same rows in the same chunks, whatever ``df`` is.
+    source = written(_chunked(df, lang, text, F.col(f"`{key}`").alias("key")), "quality-rows")
+    chunks = count_grams(source)
     if model:
         wanted = written(chunks.select("lang", F.explode("grams").alias("gram")).distinct(), "quality-wanted")
     else:
@@ -327,8 +337,7 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
         columns.append(pa.array(found, pa.float64()))
         return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *columns], ["key", "lang", *numbers, "loss"])
 
-    source = _chunked(df, F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = source.mapInArrow(packed, "chunk long, rows binary")
+    rows = source.select("chunk", "key", "lang", "text").mapInArrow(packed, "chunk long, rows binary")
     both = answers.withColumn("rows", F.lit(None).cast("binary")).unionByName(rows, allowMissingColumns=True)
     both = both.repartition(max(1, chunks.select("chunk").distinct().count()), "chunk")
     both = both.sortWithinPartitions("chunk", F.col("rows").isNotNull())

@@ -345,3 +345,46 @@ def test_native_plans_run_no_python(spark, sf_dir):
     for name in ("op2_mixing", "op9_merkle"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+@pytest.mark.parametrize("html, expected", [
+    ('<html class="no-js"><body class="has-sidebar page"><article><p>Text.</p></article></body>', "Text."),
+    ('<body class="no-sidebar"><main class="nav-open"><p>Text.</p></main>', "Text."),
+    ('<body class="sidebar"><article class="post has-related"><p>One</p><p>Two</p></article>', "One\n\nTwo"),
+    ("<html><head><title>T</title><meta charset=utf-8><body><article><p>Text.</p></article>", "Text."),
+    ("<head><title>T</title><link rel=x><p>Text.</p>", "Text."),
+    ("<body><form><p>Menu</p><article><p>Text.</p></article></form></body>", "Text."),
+    ("<body><form><p>One</p><p>Two</p></form></body>", "One\n\nTwo"),
+    ("<body><p>Text.</p><form><p>Name</p></form></body>", "Text."),
+    ("<article><p>One</p><form><p>Name</p></form></article>", "One"),
+    ('<article><div class="social-science"><p>One</p></div><div class="social-share"><p>Share</p></div><p>Two</p></article>', "One\n\nTwo"),
+    ("<main><p>Lead</p><article><p>Text.</p></article></main>", "Lead\n\nText."),
+    ('<body><div class="site-footer"><p>F</p></div><div class="nav-links">N</div><div id="comments-area">C</div><p>Text.</p>', "Text."),
+    ('<body><div class="cookie banner"><p>C</p></div><aside><article><p>A</p></article></aside><p>Text.</p>', "Text."),
+    ("", ""), ("<p> \n ", ""), ("plain &amp; simple", "plain & simple"),
+])
+def test_pages_of_common_kinds(html, expected):
+    assert pages.main_text(pages.lines_of(html), None) == expected
+
+
+def test_unmarked_pages_lose_what_the_nearer_neighbour_has(spark):
+    page = lambda *lines: "".join(f"<p>{x}</p>" for x in lines)
+    rows = [
+        (1, "http://h/a/x", page("Frame A", "one")), (2, "http://h/b/c/1", page("Frame B", "two", "Frame A")),
+        (3, "http://h/b/c/2", page("Frame B", "three")), (4, "http://other/z", page("Frame B", "alone")), (5, None, page("five")), (6, None, None),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(frame.withColumn("host", F.lit("x")).coalesce(1)).collect()}
+    # The first has one neighbour only; the second is nearer to the third than to the first.
+    assert got == {1: "one", 2: "two\n\nFrame A", 3: "three", 4: "Frame B\n\nalone", 5: "five", 6: ""}
+
+
+def test_quality_of_rows_that_come_in_any_order(spark):
+    """Input behind a shuffle, many languages, and a column that clashes."""
+    made = random.Random(8)
+    rows = [(i, " ".join(made.choice(["ab", "cd", "ef", "gh"]) for _ in range(30)), f"l{i % 700}") for i in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("chunk", F.lit("c"))
+    shuffled = frame.groupBy("doc_id", "lang", "text", "chunk").count().repartition(7)
+    a = {r.doc_id: (r.kept, round(r.log_perplexity, 9)) for r in quality.assess(shuffled).collect()}
+    b = {r.doc_id: (r.kept, round(r.log_perplexity, 9)) for r in quality.assess(frame).collect()}
+    assert a == b and len(a) == 1500
