@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import as_bytes, bounded_batches
 
 RUN = 1024  # windows of a cutting at most
+ANSWERED = 1 << 20  # windows answered at once
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,12 +51,21 @@ def sliding(values: np.ndarray, size: int, function: np.ufunc) -> np.ndarray:
 
 
 def gram_hashes(units: np.ndarray, gram: int) -> np.ndarray:
-    n = len(units) - gram + 1
-    out = np.zeros(n, dtype=np.uint64)
-    for i in range(gram):
-        out *= _ODD
-        out += units[i : i + n] + np.uint64(1)
-    return mix(out) | np.uint64(1)
+    """A hash of each run of ``gram`` units: a polynomial, put together from those of halves."""
+    def polynomial(size: int) -> np.ndarray:
+        if size == 1:
+            return units + np.uint64(1)
+        half = size // 2
+        of_half = polynomial(half)
+        n = len(units) - 2 * half + 1
+        out = of_half[:n] * np.uint64(pow(int(_ODD), half, 1 << 64))
+        out += of_half[half : half + n]
+        if size % 2:
+            out = out[:-1] * _ODD
+            out += units[size - 1 :] + np.uint64(1)
+        return out
+
+    return mix(polynomial(gram)) | np.uint64(1)
 
 
 @dataclass
@@ -152,7 +162,7 @@ class Task:
     fold: Callable  # of a cutting's own value over documents: min or sum
     own: Callable  # a document's own value from its id
     find: Callable  # index: (cuttings, values) -> per cutting the value of each window
-    wanted: Callable  # (window values, own value) -> which windows to answer
+    wanted: Callable  # (window values, own values) -> which windows to answer
 
 
 class Batch:
@@ -196,6 +206,26 @@ def _bits(table: pa.Table) -> dict[int, bytes]:
     return dict(zip(table.column("bucket").to_pylist(), table.column("bits").to_pylist()))
 
 
+def _ranges(packets: list[list[np.ndarray]], owns: list[list[int]], wanted: Callable) -> list[bytes]:
+    """Of each packet, (cutting, first window, windows, value) of the runs of wanted windows of equal value."""
+    lengths = np.array([len(w) for windows in packets for w in windows], dtype=np.int64)
+    of_packet = np.repeat(np.arange(len(packets)), [len(windows) for windows in packets])
+    in_packet = np.concatenate([np.arange(len(windows)) for windows in packets])
+    values = np.concatenate([w for windows in packets for w in windows])
+    cutting = np.repeat(np.arange(len(lengths)), lengths)
+    asked = wanted(values, np.repeat(np.array([v for own in owns for v in own], dtype=np.int64), lengths))
+    if not asked.any():
+        return [b""] * len(packets)
+    at = np.flatnonzero(np.concatenate([[True], (values[1:] != values[:-1]) | (asked[1:] != asked[:-1]) | (cutting[1:] != cutting[:-1])]))
+    size = np.diff(np.concatenate([at, [len(values)]]))
+    keep = asked[at]
+    at, size = at[keep], size[keep]
+    start = np.cumsum(lengths) - lengths
+    out = np.stack([in_packet[cutting[at]], at - start[cutting[at]], size, values[at]], axis=1)
+    cuts = np.searchsorted(of_packet[cutting[at]], np.arange(1, len(packets)))
+    return [part.tobytes() for part in np.split(out, cuts)]
+
+
 def search(df: DataFrame, key: str, text: str, task: Task, finish: Callable, schema: str, carry: Sequence[str] = ()) -> DataFrame:
     """Search all texts for repeated windows.
 
@@ -277,19 +307,15 @@ def search(df: DataFrame, key: str, text: str, task: Task, finish: Callable, sch
                 else:
                     values[i] = task.fold(values[i], v)
         found = task.find(list(known), values)
-        rows = []
-        for cuttings, own in zip(packets, owns):
-            ranges: list[tuple[int, int, int, int]] = []
-            for i, (c, v) in enumerate(zip(cuttings, own)):
-                windows = found[known[c]]
-                wanted = task.wanted(windows, v)
-                if wanted is None:
-                    continue
-                shown = np.where(wanted, windows, np.iinfo(np.int64).min)
-                at = np.concatenate([[0], np.flatnonzero(shown[1:] != shown[:-1]) + 1])
-                size = np.diff(np.concatenate([at, [len(shown)]]))
-                ranges += [(i, a, s, x) for a, s, x, w in zip(at.tolist(), size.tolist(), shown[at].tolist(), wanted[at].tolist()) if w]
-            rows.append(np.array(ranges, dtype=np.int64).tobytes())
+        rows: list[bytes] = []
+        group: list[list[np.ndarray]] = []
+        windows = 0
+        for p, cuttings in enumerate(packets):
+            group.append([found[known[c]] for c in cuttings])
+            windows += sum(map(len, group[-1]))
+            if windows > ANSWERED or p + 1 == len(packets):
+                rows += _ranges(group, owns[len(rows) : p + 1], task.wanted)
+                group, windows = [], 0
         return pa.table({
             "batch": table.column("batch"), "bucket": table.column("bucket"), "bits": table.column("bits"), "ranges": pa.array(rows, pa.binary()),
         })

@@ -58,28 +58,35 @@ class WaveletMatrix:
         return self._walk(symbol, place) - self.begin[symbol]
 
 
-def suffix_order(first: np.ndarray) -> np.ndarray:
-    """The order of all suffixes of a sequence of numbers, by doubling; the last number is unique."""
+def suffix_order(first: np.ndarray, length: int) -> np.ndarray:
+    """The order of all suffixes of a sequence of numbers by their first ``length`` numbers or more, by doubling.
+
+    Backward search for up to ``length`` symbols needs no more: it never asks which of two suffixes that
+    begin alike comes first.
+    """
     n = len(first)
-    rank = np.unique(first, return_inverse=True)[1].astype(np.int64)
+    rank = first.astype(np.int64)
     size = 1
     while True:
         behind = np.zeros(n, dtype=np.int64)
         behind[: n - size] = rank[size:] + 1
-        key = rank * (n + 1) + behind
-        order = np.argsort(key, kind="stable")
+        key = rank * (int(rank.max()) + 2) + behind
+        order = np.argsort(key)
+        size *= 2
+        if size >= length:
+            return order
         ordered = key[order]
-        rank = np.zeros(n, dtype=np.int64)
+        rank = np.empty(n, dtype=np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        if rank[order[-1]] == n - 1 or size >= n:
+        if rank[order[-1]] == n - 1:
             return order
-        size *= 2
 
 
 class FMIndex:
     """Where sequences of words occur in a collection of cuttings."""
 
-    def __init__(self, sequences: list[list[bytes]]):
+    def __init__(self, sequences: list[list[bytes]], length: int = WINDOW):
+        """Ready for searches of up to ``length`` words."""
         known: dict[bytes, int] = {}
         numbers = [known.setdefault(w, len(known) + 1) for s in sequences for w in s]
         lengths = np.array([len(s) for s in sequences], dtype=np.int64)
@@ -90,38 +97,49 @@ class FMIndex:
         self.symbols[inside] = numbers
         first = self.symbols + len(sequences)
         first[~inside] = np.arange(len(sequences))  # ends are all different and come first
-        self.order = suffix_order(first)
+        self.order = suffix_order(first, length)
         self.n_symbols = len(known) + 1
         counts = np.bincount(self.symbols, minlength=self.n_symbols)
         self.smaller = np.concatenate([[0], np.cumsum(counts)])
         self.tree = WaveletMatrix(self.symbols[self.order - 1], self.n_symbols)
 
     def intervals(self, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Backward search for the sequences of ``length`` symbols at ``starts`` of the collection."""
+        """Backward search for the sequences of ``length`` symbols at ``starts`` of the collection.
+
+        Where an interval has come down to one suffix, that is the sequence itself, and it is not
+        followed further: its size is right, its place is that of a shorter sequence.
+        """
         last = self.symbols[starts + length - 1]
         low, high = self.smaller[last], self.smaller[last + 1]
+        going = np.arange(len(starts))
         for i in range(length - 2, -1, -1):
-            symbol = self.symbols[starts + i]
-            low = self.smaller[symbol] + self.tree.rank(symbol, low)
-            high = self.smaller[symbol] + self.tree.rank(symbol, high)
+            going = going[high[going] - low[going] > 1]
+            symbol = self.symbols[starts[going] + i]
+            low[going] = self.smaller[symbol] + self.tree.rank(symbol, low[going])
+            high[going] = self.smaller[symbol] + self.tree.rank(symbol, high[going])
         return low, high
 
 
 def first_documents(cuttings: list[bytes], values: list[int], window: int = WINDOW) -> list[np.ndarray]:
     """For each window of each cutting, the smallest value of a cutting with that window."""
     sequences = [c.split(b" ") for c in cuttings]
-    index = FMIndex(sequences)
+    index = FMIndex(sequences, window)
     lengths = np.diff(index.begins) - 1
-    owner = np.repeat(np.array(values, dtype=np.int64), lengths + 1)[index.order]
-    owner = np.concatenate([owner, [LAST]])
+    own = np.repeat(np.array(values, dtype=np.int64), lengths + 1)
+    owner = np.concatenate([own[index.order], [LAST]])
     counts = lengths - window + 1
     starts = np.repeat(index.begins[:-1], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     found = np.zeros(len(starts), dtype=np.int64)
     for a in range(0, len(starts), CHUNK):
-        low, high = index.intervals(starts[a : a + CHUNK], window)
-        each, at, place = np.unique(low, return_index=True, return_inverse=True)
-        edges = np.stack([each, high[at]], axis=1).ravel()
-        found[a : a + CHUNK] = np.minimum.reduceat(owner, edges)[::2][place]
+        part = starts[a : a + CHUNK]
+        low, high = index.intervals(part, window)
+        answer = own[part]  # of a window that stands nowhere else
+        several = np.flatnonzero(high - low > 1)
+        if len(several):
+            each, at, place = np.unique(low[several], return_index=True, return_inverse=True)
+            edges = np.stack([each, high[several][at]], axis=1).ravel()
+            answer[several] = np.minimum.reduceat(owner, edges)[::2][place]
+        found[a : a + CHUNK] = answer
     return np.split(found, np.cumsum(counts)[:-1])
 
 
@@ -129,9 +147,8 @@ def _own(key) -> int:
     return LAST if key is None else int(key)
 
 
-def _wanted(windows: np.ndarray, own: int) -> np.ndarray | None:
-    lower = windows < own
-    return lower if lower.any() else None
+def _wanted(windows: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return windows < own
 
 
 def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False, carry: Sequence[str] = ()) -> DataFrame:
