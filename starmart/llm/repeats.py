@@ -16,7 +16,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 
 from starmart.llm.anchors import Bytes, Task, Units, gram_hashes, search
@@ -26,7 +25,6 @@ GRAM = 16
 BATCH_BYTES = 2 << 20
 TRIGGER = 8  # bytes of a trigger
 PHRASE = 24  # bytes between triggers, on average
-CHUNK = 1 << 14  # windows compared at once
 
 
 def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -41,8 +39,7 @@ def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
     key = np.zeros(n, dtype=np.int64)
     for i in range(size):
         key <<= bits
-        inside = np.arange(i, n) < ends[: n - i]
-        key[: n - i][inside] |= symbols[i:][inside]
+        key[: n - i] |= np.where(np.arange(i, n) < ends[: n - i], symbols[i:], 0)
     _, place, counts = np.unique(key, return_inverse=True, return_counts=True)
     rank = (np.cumsum(counts) - counts)[place]
     class_size = counts[place]
@@ -58,7 +55,7 @@ def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         behind = places + size
         second = np.where(behind < ends[places], rank[np.minimum(behind, n - 1)] + 1, 0)
         first = rank[places]
-        order = np.lexsort((second, first))
+        order = np.argsort(first * (n + 2) + second)
         places, first, second = places[order], first[order], second[order]
         new_class = np.concatenate([[True], first[1:] != first[:-1]])
         new_part = new_class | np.concatenate([[True], second[1:] != second[:-1]])
@@ -114,18 +111,21 @@ def repeated_windows(cuttings: list[bytes], counts: list[int], window: int = WIN
     # Corpus order of all windows.
     n_windows = lengths - window + 1
     places = np.repeat(begins, n_windows) + np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    phrase = np.searchsorted(starts, places, side="right") - 1
+    phrase = (np.cumsum(trigger) - 1)[places]
     rank = in_dictionary[phrase_begins[number[phrase]] + places - starts[phrase]]
-    order = np.argsort(rank * (len(starts) + 2) + behind[phrase], kind="stable")
+    order = np.argsort(rank * (len(starts) + 2) + behind[phrase])
 
     # Neighbours with the same window.
-    ordered, views = places[order], sliding_window_view(data, window)
+    ordered, eight = places[order], np.zeros(len(data), dtype=np.uint64)
+    for i in range(8):  # the eight bytes from each place on
+        part = data[i : i + (len(data) - i) // 8 * 8].view(np.uint64)
+        eight[i : i + 8 * len(part) : 8] = part
     same = np.zeros(len(ordered) + 1, dtype=bool)
-    a, b = ordered[:-1], ordered[1:]
-    alike = np.flatnonzero((data[a] == data[b]) & (data[a + window // 2] == data[b + window // 2]) & (data[a + window - 1] == data[b + window - 1]))
-    for i in range(0, len(alike), CHUNK):
-        part = alike[i : i + CHUNK]
-        same[part + 1] = (views[a[part]] == views[b[part]]).all(axis=1)
+    alike, a, b = np.arange(len(ordered) - 1), ordered[:-1], ordered[1:]
+    for i in [window - 8, *range(0, window - 8, 8)]:
+        equal = eight[a + i] == eight[b + i]
+        alike, a, b = alike[equal], a[equal], b[equal]
+    same[alike + 1] = True
     found = np.zeros(len(ordered), dtype=np.int64)
     found[order] = same[:-1] | same[1:]
     found |= np.repeat(np.array(counts, dtype=np.int64) > 1, n_windows)
@@ -140,9 +140,8 @@ def _add(a: int, b: int) -> int:
     return a + b
 
 
-def _wanted(windows: np.ndarray, own: int) -> np.ndarray | None:
-    twice = windows > 0
-    return twice if twice.any() else None
+def _wanted(windows: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return windows > 0
 
 
 def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
