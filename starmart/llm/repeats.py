@@ -6,6 +6,7 @@ end is the start of another's. Suffixes are sorted twice on little input: those
 phrases (the dictionary), and those of the sequence of phrase numbers (the parse). The corpus order
 follows from both: a position's rank is that of the rest of its phrase, then that of the parse
 behind it. Windows with a common start of 200 bytes are then neighbours and are compared.
+A cutting none of whose window hashes occurs again is left out of the order beforehand.
 
 Texts are UTF-8 bytes; a match never crosses documents, but may lie in one document twice. Null
 texts are empty. Rows with equal keys are separate documents, so equal rows remove each other. An
@@ -69,8 +70,39 @@ def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         size *= 2
 
 
+def may_repeat(cuttings: list[bytes], window: int = WINDOW) -> list[int]:
+    """The cuttings with a window whose hash is another's too; no other can hold a repeated one."""
+    lengths = np.array([len(c) for c in cuttings], dtype=np.int64)
+    begins, n_windows = np.cumsum(lengths) - lengths, lengths - window + 1
+    first = np.cumsum(n_windows) - n_windows
+    places = np.repeat(begins - first, n_windows) + np.arange(n_windows.sum())
+    hashes = gram_hashes(np.frombuffer(b"".join(cuttings), dtype=np.uint8).astype(np.uint64), window)[places]
+    slot = (hashes >> np.uint64(64 - int(8 * len(places)).bit_length())).astype(np.int64)
+    several = np.flatnonzero(np.bincount(slot)[slot] > 1)  # spares most of the others the sort
+    if not len(several):
+        return []
+    several = several[np.argsort(hashes[several])]
+    ordered = hashes[several]
+    same = np.concatenate([[False], ordered[1:] == ordered[:-1], [False]])
+    again = np.zeros(len(places), dtype=bool)
+    again[several[same[1:] | same[:-1]]] = True
+    return np.flatnonzero(np.logical_or.reduceat(again, first)).tolist()
+
+
 def repeated_windows(cuttings: list[bytes], counts: list[int], window: int = WINDOW) -> list[np.ndarray]:
-    """For each window of each cutting, 1 if it occurs elsewhere too."""
+    """For each window of each cutting, 1 if it occurs elsewhere too; ``counts``: how often each cutting does.
+
+    Only cuttings that may hold a repeated window are put in order.
+    """
+    chosen = may_repeat(cuttings, window)
+    found = [np.full(len(c) - window + 1, int(n > 1), dtype=np.int64) for c, n in zip(cuttings, counts)]
+    for i, windows in zip(chosen, in_corpus_order([cuttings[i] for i in chosen], window) if chosen else ()):
+        found[i] |= windows
+    return found
+
+
+def in_corpus_order(cuttings: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
+    """For each window of each cutting, 1 if it is the same as a neighbour in the order of all suffixes."""
     joined = b"".join(cuttings)
     data = np.frombuffer(joined, dtype=np.uint8)
     lengths = np.array([len(c) for c in cuttings], dtype=np.int64)
@@ -128,7 +160,6 @@ def repeated_windows(cuttings: list[bytes], counts: list[int], window: int = WIN
     same[alike + 1] = True
     found = np.zeros(len(ordered), dtype=np.int64)
     found[order] = same[:-1] | same[1:]
-    found |= np.repeat(np.array(counts, dtype=np.int64) > 1, n_windows)
     return np.split(found, np.cumsum(n_windows)[:-1])
 
 
