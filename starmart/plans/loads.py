@@ -12,6 +12,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -534,14 +535,21 @@ def load_all(
 
 
 def source_load_rate(spark: SparkSession, src_dir: str, root: str, multi_line: bool = True) -> DataFrame:
-    """Source rows against loaded rows per table and in total."""
+    """Source rows against loaded rows per table and in total.
+
+    Rows of sources that the load has staged are counted there; others are read from their files.
+    """
     root = current_root(spark, root)
-    return load_rate(
-        {
-            name: (read_csv(spark, f"{src_dir}/{sources[0]}.csv", multi_line=multi_line), read_table(spark, root, name))
-            for name, (_, sources, _) in JOBS.items()
-        }
-    )
+
+    def rows_of(source: str) -> DataFrame:
+        try:
+            return read_table(spark, root, f"sources/{source}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return read_csv(spark, f"{src_dir}/{source}.csv", multi_line=multi_line)
+
+    return load_rate({name: (rows_of(sources[0]), read_table(spark, root, name)) for name, (_, sources, _) in JOBS.items()})
 
 
 def job_log(spark: SparkSession, root: str) -> DataFrame:
