@@ -96,6 +96,11 @@ def _chunked(df: DataFrame, lang: str, text: str, *more: Column) -> DataFrame:
     return df.select(F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS).alias("chunk"), *named, *more)
 
 
+def same_in_every_scan(df: DataFrame) -> bool:
+    """A plan without a shuffle reads files or held rows, whose splits and order do not change."""
+    return "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def _buckets(n: int) -> int:
     """The smallest prime from ``n``: packed characters modulo a prime are even."""
     n = max(n, 3)
@@ -289,8 +294,9 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
     ``lower`` and ``upper`` for as many words. Other columns are not read.
     """
     bounded_batches(df.sparkSession)
-    # Written once, so that both scans have the same rows in the same chunks, whatever ``df`` is.
-    source = written(_chunked(df, lang, text, F.col(f"`{key}`").alias("key")), "quality-rows")
+    # Both scans must have the same rows in the same chunks: behind a shuffle they are written once.
+    source = _chunked(df, lang, text, F.col(f"`{key}`").alias("key"))
+    source = source if same_in_every_scan(df) else written(source, "quality-rows")
     chunks = count_grams(source)
     if model:
         wanted = written(chunks.select("lang", F.explode("grams").alias("gram")).distinct(), "quality-wanted")
