@@ -13,7 +13,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest labelled examples call toxic go."""
+    """Documents that the nearest labelled examples call toxic go.
+
+    A null text is scored as an empty one; rows without id are scored, too. Without labels nothing goes.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
 
@@ -31,14 +34,18 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_repeated_words(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words that 13-word windows of smaller documents cover go."""
+    """Words that 13-word windows of smaller documents cover go.
+
+    A null text becomes empty; a text without such words stays as it is, white space included; null
+    ids are behind all others.
+    """
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     left = substrings.dedupe(docs, carry=others).withColumnRenamed("kept", "text")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; the null source is a source, equal rows are taken independently."""
     return mixing.emit(mixing.mix(docs), docs.columns)
 
 
@@ -55,7 +62,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("bpe", encode_texts),
 ]
 
-# Nearest examples and BPE merges are beyond SQL; a test compares the stages with brute force.
+# Nearest examples and BPE merges are beyond SQL; a test compares all rows of run() with plain Python, which
+# takes the toxicity scores and the copies of the mix from their operators.
 ORACLE_SQL = None
 
 
