@@ -527,7 +527,7 @@ def load_all(
         rows.append(("rows_loaded", name, counts["rows"] - sum(n for rule, n in rejected.items() if rule != "duplicate"), True))
         rows += [("rows_rejected", f"{name}.{rule}", n, True) for rule, n in rejected.items()]
         rows.append(("rows_unaccounted", name, left, left == 0))
-    rows += [tuple(r) for r in load_status(Warehouse.at(spark, folder)).collect()]  # a row per table, key and reference
+    rows += [tuple(r) for r in load_status(Warehouse.in_folder(spark, folder)).collect()]  # a row per table, key and reference
     stop_on(rows)
     write_table(spark.createDataFrame(log, JOB_LOG), folder, "job_log")
     publish(spark, root, version)

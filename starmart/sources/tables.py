@@ -115,8 +115,12 @@ class Warehouse(Mapping):
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "Warehouse":
         """The tables published last under ``root``, or those in it."""
-        found = current_root(spark, root)
-        return cls(lambda name: read_folders(spark, found, name))
+        return cls.in_folder(spark, current_root(spark, root))
+
+    @classmethod
+    def in_folder(cls, spark: SparkSession, folder: str) -> "Warehouse":
+        """The tables of one version."""
+        return cls(lambda name: read_folders(spark, folder, name))
 
     def _stored(self, name: str) -> DataFrame:
         if name not in self._names:
