@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import as_bytes, bounded_batches
 
 RUN = 1024  # windows of a cutting at most
-ANSWERED = 1 << 20  # windows answered at once
+ANSWERED = 1 << 17  # windows answered at once
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
