@@ -117,7 +117,7 @@ OPERATORS["agg_distinct_rollup"] = (
     lambda t: roll_up(
         t["lineitem"], ["l_returnflag", "l_linestatus"],
         {
-            "suppliers": distinct_ids("l_suppkey", 32767, 0), "last_part": highest("l_partkey"), "first_part": lowest("l_partkey"),
+            "suppliers": distinct_ids("l_suppkey"), "last_part": highest("l_partkey"), "first_part": lowest("l_partkey"),
             "mean_lines": quotient(number(), number(F.col("l_linenumber") == 1), 2),
         },
     ),

@@ -1,6 +1,7 @@
 from starmart.functions.aggregates import (  # noqa: F401
     BITMAP_IDS,
     MOST_BITMAPS,
+    DistinctIds,
     Mergeable,
     avg_where,
     count_where,

@@ -1,6 +1,7 @@
 """Operators against brute force on small and skewed inputs, and the invariants of reports."""
 
 import random
+import re
 import statistics
 from decimal import Decimal
 
@@ -351,3 +352,15 @@ def test_rows_among_the_first_in_any_order(spark):
             expected[i] = (most, least)
     assert found == expected
     assert top_by_any(frame.limit(0), ["g"], {"most": ("x", "desc")}, 2).count() == 0
+
+
+def test_distinct_ids_of_any_span_at_every_level(spark):
+    made = random.Random(8)
+    ids = [-1, 0, 63, 64, 70_000, 1 << 40, -(1 << 62), None]
+    rows = [(made.choice(["a", "b", None]), made.choice([1, 2, None]), made.choice(ids)) for _ in range(200)] + [("none", 1, None)]
+    frame = spark.createDataFrame(rows, "k string, j int, id long").repartition(4)
+    merged, plain = {"n": number(), "ids": distinct_ids("id")}, {"n": F.count(F.lit(1)), "ids": F.countDistinct("id")}
+    for subtotals in (lambda a: cube(frame, ["k", "j"], a), lambda a: roll_up(frame, ["k", "j"], a), lambda a: roll_up(frame, ["k"], a, ["j"]),
+                      lambda a: grouping_sets(frame, [["k", "j"], ["j"], []], a), lambda a: aggregate(frame, ["j"], a)):
+        a, b = (subtotals(aggs) for aggs in (merged, plain))
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
