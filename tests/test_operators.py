@@ -364,3 +364,14 @@ def test_distinct_ids_of_any_span_at_every_level(spark):
                       lambda a: grouping_sets(frame, [["k", "j"], ["j"], []], a), lambda a: aggregate(frame, ["j"], a)):
         a, b = (subtotals(aggs) for aggs in (merged, plain))
         assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_distinct_counts_keep_bitmaps_from_groups_of_single_values(spark):
+    frame = spark.createDataFrame([(None, 1, 1 << 40, "x"), (None, 2, -5, "x"), ("b", None, None, None), ("b", 1, -5, "y")], "k string, id int, far long, t string")
+    counted = distinct_counts(frame, ["k"], {"far": "far", "ids": "id", "texts": "t"}, {"n": F.count(F.lit(1))})
+    assert counted.columns == ["k", "far", "ids", "texts", "n"]
+    assert sorted(map(tuple, counted.collect()), key=str) == [("b", 1, 1, 1, 2), (None, 2, 2, 1, 2)]
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in text.split("\n") if "bitmap" in x and re.search(r"keys=\[k#\d+, ", x)]
+    assert distinct_counts(frame, [], {"far": "far", "texts": "t"}).first() == (2, 2)
+    assert distinct_counts(frame.limit(0), [], {"far": "far", "texts": "t"}).first() == (0, 0)
