@@ -6,9 +6,10 @@ share as much; the one there is, at the ends of a host or of a range). The text
 that both have are the site's frame: they are deleted.
 
 Two pages can also share lines of their articles (copies, quotes, common paragraphs), which are to
-stay. So the frame is deleted outside of what a page itself marks as ``article`` or ``main``: a
-page with such an element gives the lines in it, any other page gives its lines that are not
-shared. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
+stay. So where a page itself marks an ``article`` or ``main``, the lines that are not shared tell which
+of these elements are its own, and their lines stay, shared ones too; an element whose lines are
+all shared, such as a teaser on every page, is frame. Where all marked lines are shared, the
+page is a copy and all of them stay. Any other page gives its lines that are not shared. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
 are left out by their element, class, id or role in either case. Classes of ``html``, ``body``,
 ``main`` and ``article`` describe the page and leave nothing out, nor do classes that say what is
 there or not (``has-sidebar``). A form that holds an article, or all there is, is not left out.
@@ -62,22 +63,23 @@ def frames(names: str, inside: bool) -> bool:
 
 
 class Lines(HTMLParser):
-    """The blocks of a page in order, each with where it lies: 0 elsewhere, 1 in main, 2 in an article, -1 in a form."""
+    """The blocks of a page in order, each with where it lies (0 elsewhere, 1 in main, 2 in an article, -1 in a form) and
+    the number of the marked element: the outermost article it is in, else the main."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, int]] = []  # element, how it is left out, place
+        self.open: list[tuple[str, int, int, int]] = []  # element, how it is left out, place, marked element
         self.parts: list[str] = []
-        self.place = 0
-        self.lines: list[tuple[str, int]] = []
+        self.place = self.element = self.elements = 0
+        self.lines: list[tuple[str, int, int]] = []
 
-    def _state(self) -> tuple[int, int]:
-        return self.open[-1][1:] if self.open else (OTHER, 0)
+    def _state(self) -> tuple[int, int, int]:
+        return self.open[-1][1:] if self.open else (OTHER, 0, 0)
 
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.place))
+            self.lines.append((text, self.place, self.element))
         self.parts = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -95,7 +97,7 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.parts.append(" ")
             return
-        left_out, place = self._state()
+        left_out, place, element = self._state()
         values = {k: (v or "").lower() for k, v in attrs}
         names = values.get("class", "") + " " + values.get("id", "")
         if tag in ("html", "body", "main", "article"):
@@ -108,8 +110,11 @@ class Lines(HTMLParser):
             left_out = LEFT
         elif tag == "form":
             left_out = LEFT if place else max(left_out, FORM)
-        place = max(place, {"article": 2, "main": 1}.get(tag, 0))
-        self.open.append((tag, left_out, place))
+        within = max(place, {"article": 2, "main": 1}.get(tag, 0))
+        if within > place:
+            self.elements += 1
+            element = self.elements
+        self.open.append((tag, left_out, within, element))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -120,21 +125,21 @@ class Lines(HTMLParser):
                 break
 
     def handle_data(self, data: str) -> None:
-        left_out, place = self._state()
+        left_out, place, element = self._state()
         if left_out != LEFT:
             if not self.parts:
-                self.place = -1 if left_out == FORM else place
+                self.place, self.element = -1 if left_out == FORM else place, element
             self.parts.append(data)
 
 
-def lines_of(html: str) -> list[tuple[str, int]]:
+def lines_of(html: str) -> list[tuple[str, int, int]]:
     """Lines of a page outside of menus, forms and the like."""
     parser = Lines()
     parser.feed(html)
     parser.close()
     parser._end_block()
     outside = [line for line in parser.lines if line[1] >= 0]
-    return outside or [(text, 0) for text, _ in parser.lines]
+    return outside or [(text, 0, 0) for text, *_ in parser.lines]
 
 
 def shared(a: list[str], b: list[str]) -> set[int]:
@@ -167,11 +172,14 @@ def shared(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> str:
+def main_text(lines: list[tuple[str, int, int]], partner: list[tuple[str, int, int]] | None) -> str:
     """The text of a page, given its own lines and its partner's."""
-    marked = any(place for _, place in lines)
-    frame = shared([t for t, _ in lines], [t for t, _ in partner]) if partner and not marked else set()
-    return "\n\n".join(t for i, (t, place) in enumerate(lines) if (place if marked else i not in frame))
+    frame = shared([t for t, *_ in lines], [t for t, *_ in partner]) if partner else set()
+    own = [line for i, line in enumerate(lines) if i not in frame]
+    if not any(place for _, place, _ in lines):
+        return "\n\n".join(t for t, *_ in own)
+    kept = {element for _, place, element in own if place}
+    return "\n\n".join(t for t, place, element in lines if place and (element in kept or not kept))
 
 
 def common_path(a: str | None, b: str | None) -> int:

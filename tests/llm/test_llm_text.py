@@ -388,3 +388,14 @@ def test_quality_of_rows_that_come_in_any_order(spark):
     a = {r.doc_id: (r.kept, round(r.log_perplexity, 9)) for r in quality.assess(shuffled).collect()}
     b = {r.doc_id: (r.kept, round(r.log_perplexity, 9)) for r in quality.assess(frame).collect()}
     assert a == b and len(a) == 1500
+
+
+def test_marked_elements_that_the_neighbour_shares_are_frame(spark):
+    teaser = "<article><h2>Our offer</h2><p>Buy this now.</p></article>"
+    page = lambda *own: f"<html><body><p>Top</p>{teaser}<article>{''.join(f'<p>{x}</p>' for x in own)}</article></body></html>"
+    texts = {1: page("One", "Quoted by both"), 2: page("Two", "Quoted by both"), 3: page("Two", "Quoted by both")}
+    frame = spark.createDataFrame([(i, f"http://h/a/{i}", h) for i, h in texts.items()], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(frame.coalesce(1)).collect()}
+    whole = "Our offer\n\nBuy this now.\n\nTwo\n\nQuoted by both"
+    assert got == {1: "One\n\nQuoted by both", 2: "Two\n\nQuoted by both", 3: whole}
+    assert pages.main_text(pages.lines_of(texts[1]), None).startswith("Our offer")
