@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import counted_side
 from starmart.operators.loading import SALTS
 
 REJECT = "_reject"
@@ -47,7 +48,7 @@ def reject_orphans(
     salt = F.when(skipped, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int") + 1).otherwise(0)
     parents = dim.select(F.col(key).alias("_key"), F.lit(0).alias("_key_salt"), *[F.col(c).alias(f"_take_{c}") for c in take])
     joined = df.withColumn("_salt", salt).join(
-        parents.dropDuplicates(["_key"]), (F.col(column) == F.col("_key")) & (F.col("_salt") == F.col("_key_salt")), "left"
+        counted_side(parents.dropDuplicates(["_key"]), parents), (F.col(column) == F.col("_key")) & (F.col("_salt") == F.col("_key_salt")), "left"
     )
     marked = reject_where(joined, rule, F.col("_key").isNull())
     return marked.withColumnsRenamed({f"_take_{c}": c for c in take}).drop("_key", "_key_salt", "_salt")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import clean_text, date_id, money, null_unless, season_start, to_date_lenient, to_number
-from starmart.operators.joins import union_all
+from starmart.operators.joins import counted_side, union_all
 from starmart.operators.ledger import ADDED, REJECT, accepted, accepted_and_counted, reject_missing, reject_orphans
 from starmart.operators.loading import (
     add_unknown_member,
@@ -140,7 +140,7 @@ def mark_fact_games(
     )
     rows = source.drop("home_club_position", "away_club_position")
     rows = _typed(rows.withColumn("date_id", date_id(to_date_lenient("date"))), "fact_games")
-    rows = _filled(_final(rows.join(places, "game_id", "left"), "fact_games"), "fact_games")
+    rows = _filled(_final(rows.join(counted_side(places, sides), "game_id", "left"), "fact_games"), "fact_games")
     rows = derive_outcome(rows, "home_club_goals", "away_club_goals")
     rows = reject_orphans(rows, "game_id", "game_id", games, "game_id")
     rows = reject_orphans(rows, "competition_id", "competition_id", competitions, "competition_id")

@@ -5,14 +5,18 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.operators import joins
 from starmart.operators import (
     aggregate,
     dice,
     distinct_counts,
     either_role,
+    enrich,
     filter_fk,
     null_audit,
     orphan_counts,
+    redirect_fk,
+    reject_orphans,
     share_of_total,
     star_join,
     top_overall,
@@ -132,3 +136,16 @@ def test_ties_at_a_cut_are_limited_in_every_task(tables):
 def test_distinct_counts_of_keys_repeat_no_row(tables):
     counted = distinct_counts(tables["lineitem"], ["l_returnflag"], {"parts": "l_partkey", "suppliers": "l_suppkey", "orders": "l_orderkey"})
     assert "Expand" not in plan(counted)
+
+
+def test_load_joins_send_no_large_side_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MOST_SENT", 40)
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("t"))
+    many, few = spark.range(50).select(F.col("id").alias("key")), spark.range(30).select(F.col("id").alias("key"))
+    for dim, strategy, found in ((many, "SortMergeJoin", 50), (few, "BroadcastHashJoin", 30)):
+        marked, redirected = reject_orphans(rows, "k", "k", dim, "key"), redirect_fk(rows, "k", dim, "key")
+        added = enrich(rows, dim.withColumnsRenamed({"key": "k"}).withColumn("v", F.lit(1)), ["k"], ["v"], [F.asc("v")])
+        for df in (marked, redirected, added, filter_fk(rows, "k", dim, "key"), orphan_counts({"c": (rows, "k", dim, "key")})):
+            assert strategy in plan(df) and ("Broadcast" in plan(df)) == (dim is few)
+        assert [marked.filter("_reject is null").count(), redirected.filter("k >= 0").count(), added.filter("v = 1").count()] == [found] * 3
+        assert orphan_counts({"c": (rows, "k", dim, "key")}).first().orphans == 100 - found
