@@ -15,24 +15,30 @@ table. The model is Spark tables of every counted n-gram and context, and grows
 Looking up: the different n-grams of each chunk are dealt by a hash to buckets, which join them to
 their probabilities; each chunk's answers then go, in sorted arrays, to the task that has its rows.
 
+Disk: every table is written by a query of its own, whose shuffle files are removed when it ends, and
+the rows, which are the most, go to their tasks in ``ROUNDS`` rounds of chunks, a query each.
+
 Nulls: a null text is empty, a null language is a language of its own. Texts without characters
 have no perplexity and fail the rules. Equal rows get equal results. A language
 with a single text keeps it, as it is its own median.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import as_bytes, bounded_batches, pieces, sent_if_small, written
+from starmart.llm import common
+from starmart.llm.common import as_bytes, bounded_batches, pieces, sent_if_small, shuffles_removed
 
 ORDER = 5
 BITS = 12  # of a character's code in an n-gram
 CHUNK_BITS = 13  # of the rows in a chunk
 WIDTH = 2.5
+ROUNDS = 3  # in which chunks are judged; each reads the input and sends its own chunks' rows
 FLUSH = 2_000_000  # n-grams that a task holds before it hands counts on
 
 # The rules.
@@ -45,6 +51,12 @@ _SPACE = b" \t\n\v\f\r"
 _NO_START = _SPACE + bytes(range(0x80, 0xC0))  # white space and continuation bytes
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A written table whose shuffle files go as soon as it is there."""
+    with shuffles_removed(df.sparkSession):
+        return common.written(df, name)
+
+
 def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
     """Words in windows that occur twice or more in the text, the first included."""
     n = len(words) - window + 1
@@ -303,7 +315,7 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
     else:
         model = _model(chunks)
         wanted = model.values[ORDER].select("lang", "gram")
-    answers = _answers(chunks, written(model.log_probabilities(wanted), "quality-answers"))
+    answers = written(_answers(chunks, written(model.log_probabilities(wanted), "quality-answers")), "quality-looked-up")
     kind = df.schema[key].dataType.simpleString()
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -343,12 +355,17 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
         columns.append(pa.array(found, pa.float64()))
         return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *columns], ["key", "lang", *numbers, "loss"])
 
-    rows = source.select("chunk", "key", "lang", "text").mapInArrow(packed, "chunk long, rows binary")
-    both = answers.withColumn("rows", F.lit(None).cast("binary")).unionByName(rows, allowMissingColumns=True)
-    both = both.repartition(max(1, chunks.select("chunk").distinct().count()), "chunk")
-    both = both.sortWithinPartitions("chunk", F.col("rows").isNotNull())
     kinds = ", ".join(f"{n} long" for n in numbers)
-    found = written(both.mapInArrow(judged, f"key {kind}, lang string, {kinds}, loss double"), "quality")
+    tasks = max(1, chunks.select("chunk").distinct().count())
+
+    def round_of_chunks(i: int) -> DataFrame:
+        own = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == i
+        rows = source.filter(own).select("chunk", "key", "lang", "text").mapInArrow(packed, "chunk long, rows binary")
+        both = answers.filter(own).withColumn("rows", F.lit(None).cast("binary")).unionByName(rows, allowMissingColumns=True)
+        both = both.repartition(tasks, "chunk").sortWithinPartitions("chunk", F.col("rows").isNotNull())
+        return written(both.mapInArrow(judged, f"key {kind}, lang string, {kinds}, loss double"), "quality")
+
+    found = reduce(DataFrame.unionAll, [round_of_chunks(i) for i in range(ROUNDS)])
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     words = F.nullif(F.col("n_words"), F.lit(0))
     found = found.withColumns({"base_failed": failed, "log_perplexity": F.col("loss") / words})

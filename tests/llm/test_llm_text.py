@@ -4,6 +4,7 @@ small tables, against brute force."""
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -399,3 +400,31 @@ def test_marked_elements_that_the_neighbour_shares_are_frame(spark):
     whole = "Our offer\n\nBuy this now.\n\nTwo\n\nQuoted by both"
     assert got == {1: "One\n\nQuoted by both", 2: "Two\n\nQuoted by both", 3: whole}
     assert pages.main_text(pages.lines_of(texts[1]), None).startswith("Our offer")
+
+
+def test_quality_leaves_no_shuffled_texts_behind(spark, monkeypatch):
+    made = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789  "
+    rows = [(i, "".join(made.choice(letters) for _ in range(5000)), "ab"[i % 2]) for i in range(400)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 7), "doc_id long, text string, lang string")
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> dict[str, int]:
+        found = files.getAllFiles()
+        held = [found.apply(i) for i in range(found.size())]
+        return {f.getName(): f.length() for f in held if f.getName().startswith("shuffle_")}
+
+    before = shuffled()
+    results = []
+    for rounds in (1, 5):
+        monkeypatch.setattr(quality, "ROUNDS", rounds)
+        assessed = quality.assess(frame)
+        for _ in range(40):  # files are removed in the background
+            left = sum(size for name, size in shuffled().items() if name not in before)
+            if left < 200_000:
+                break
+            time.sleep(0.25)
+        assert left < 200_000, left  # the texts are 2 MB, their n-grams more
+        results.append(sorted((r.doc_id, r.kept, round(r.log_perplexity, 9)) for r in assessed.collect()))
+    assert len(results[0]) == 400 and results[0] == results[1]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
