@@ -15,6 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from checks.compare import connect, difference  # noqa: E402
 from starmart.llm import jaccard, merkle, mixing, pages, quality, queries, repeats, substrings, toxicity  # noqa: E402
+from starmart.llm.common import SHUFFLE_CLEANUP  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -402,29 +403,31 @@ def test_marked_elements_that_the_neighbour_shares_are_frame(spark):
     assert pages.main_text(pages.lines_of(texts[1]), None).startswith("Our offer")
 
 
-def test_quality_leaves_no_shuffled_texts_behind(spark, monkeypatch):
-    made = random.Random(5)
-    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789  "
-    rows = [(i, "".join(made.choice(letters) for _ in range(5000)), "ab"[i % 2]) for i in range(400)]
-    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 7), "doc_id long, text string, lang string")
+def test_quality_writes_tables_without_leaving_shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
-    def shuffled() -> dict[str, int]:
+    def shuffled() -> set[str]:
         found = files.getAllFiles()
-        held = [found.apply(i) for i in range(found.size())]
-        return {f.getName(): f.length() for f in held if f.getName().startswith("shuffle_")}
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP)
+    counts = spark.range(200_000).groupBy((F.col("id") % 50_000).alias("k")).count()
+    table = quality.written(counts, "test")
+    for _ in range(40):  # files are removed in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.25)
+    assert not shuffled() - before
+    assert table.agg(F.sum("count"), F.count("k")).first()[:] == (200_000, 50_000)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
 
-    before = shuffled()
+
+def test_quality_judges_every_chunk_in_one_round(spark, monkeypatch):
+    made = random.Random(5)
+    rows = [(i, " ".join(made.choice(["ab", "cd", "ef"]) for _ in range(30)), "ab"[i % 2]) for i in range(60)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 7), "doc_id long, text string, lang string")
     results = []
     for rounds in (1, 5):
         monkeypatch.setattr(quality, "ROUNDS", rounds)
-        assessed = quality.assess(frame)
-        for _ in range(40):  # files are removed in the background
-            left = sum(size for name, size in shuffled().items() if name not in before)
-            if left < 200_000:
-                break
-            time.sleep(0.25)
-        assert left < 200_000, left  # the texts are 2 MB, their n-grams more
-        results.append(sorted((r.doc_id, r.kept, round(r.log_perplexity, 9)) for r in assessed.collect()))
-    assert len(results[0]) == 400 and results[0] == results[1]
-    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+        results.append(sorted((r.doc_id, r.kept, round(r.log_perplexity, 9)) for r in quality.assess(frame).collect()))
+    assert [r[0] for r in results[0]] == list(range(60)) and results[0] == results[1]
