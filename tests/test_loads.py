@@ -202,6 +202,12 @@ def test_strict_load_raises_on_a_broken_reference(spark, warehouse):
         loads.load_all(spark, folder, root, strict=True)
 
 
+def test_a_load_checks_its_tables_in_queries_of_few_scans(warehouse):
+    checks = list(loads.status_checks(warehouse[0]))
+    scans = [check._jdf.queryExecution().optimizedPlan().collectLeaves().size() for check in checks]
+    assert len(checks) > 20 and max(scans) <= 10
+
+
 def test_load_rate_counts_sources_and_tables(spark, warehouse):
     _, _, folder, root = warehouse
     rate = by(loads.source_load_rate(spark, folder, root), "table_name")
