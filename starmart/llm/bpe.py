@@ -1,7 +1,7 @@
 """BPE encoding and decoding by tree concatenation, with the ids of the tokenizers library.
 
 White space always ends a word, so texts are cut there, and each different word is encoded once
-per worker (a bounded table remembers words). A run without white space that is longer than
+per task (a bounded table remembers words; it goes as the task ends). A run without white space that is longer than
 ``LONG`` is not encoded in one piece: after normalising, each of its pieces is halved down to
 leaves of at most ``LEAF`` bytes, the leaves become rows of their own and are encoded in parallel,
 and pairs of neighbours are joined in a tree. At each join a window of ids on both sides is
@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import as_bytes, bounded_batches, pieces, written
+from starmart.llm.common import as_bytes, bounded_batches, memory_returned, pieces, written
 
 LONG = 4096  # code units of a run without white space from which it is cut
 LEAF = 2048  # bytes of a leaf
 WINDOW = 16  # ids on each side of a join that are re-encoded at first
-REMEMBERED = 700_000  # words that a worker remembers
+REMEMBERED = 700_000  # words that an encoder remembers at most
 
 # The end-of-word mark and the pieces that the vocabulary file cuts words into.
 END = "</w>"
@@ -148,6 +148,11 @@ class Encoder:
             return out
         return [b"".join(found) for found in looked]
 
+    def forget(self) -> None:
+        """Give up the remembered words, and their memory to the system."""
+        self.words.clear()
+        memory_returned()
+
     def decode(self, ids: bytes) -> str:
         """What the library's decode(ids, skip_special_tokens=False) gives."""
         numbers = np.frombuffer(ids, dtype="<u4").tolist()
@@ -276,6 +281,7 @@ def encode_decode(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
             names = ["key", "row", "segment", "leaf", "part_ids", "letters", "n_tokens", ids_name, decoded_name]
             schema = pa.schema(list(zip(names, kinds)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], schema=schema)
+        encoder.forget()
 
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     made = source.mapInArrow(texts, f"key {kind}, row long, segment int, leaf int, part_ids binary, letters string, {results}")

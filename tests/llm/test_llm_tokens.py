@@ -54,6 +54,21 @@ def test_joined_parts_equal_the_whole(letters):
         assert encoder.tree(parts) == encoder.leaf(text, True)
 
 
+def test_words_are_forgotten_as_a_task_ends(spark):
+    """A worker goes on to other stages, which need the memory."""
+    df = spark.range(0, 64, 1, 8).selectExpr("id as doc_id", "concat('word', id, ' of row', id) as text")
+    assert bpe.encode_decode(df, PATH, digests=True).count() == 64
+
+    def held(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(e.words) for e in bpe.Encoder._made.values()], pa.int64())})
+
+    got = [r.n for r in spark.range(0, 64, 1, 8).mapInArrow(held, "n long").collect()]
+    assert got and not any(got)
+
+
 def test_elias_fano_finds_every_number():
     for values in ([0], [5], [1, 1, 1], list(range(0, 100_000, 7)), sorted(random.Random(1).choices(range(1 << 40), k=2000))):
         code = token_files.EliasFano.of(np.array(values, dtype=np.int64))
