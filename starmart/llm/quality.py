@@ -15,8 +15,9 @@ table. The model is Spark tables of every counted n-gram and context, and grows
 Looking up: the different n-grams of each chunk are dealt by a hash to buckets, which join them to
 their probabilities; each chunk's answers then go, in sorted arrays, to the task that has its rows.
 
-Disk: every table is written by a query of its own, whose shuffle files are removed when it ends, and
-the rows, which are the most, go to their tasks in ``ROUNDS`` rounds of chunks, a query each.
+Disk: every table, each order's probabilities included, is written by a query of its own, whose shuffle files are removed when it ends, and
+the rows, which are the most, go to their tasks in ``ROUNDS`` rounds of chunks, a query each. Tables
+are removed once the last query that reads them has ended; those of a model from ``fit`` stay.
 
 Nulls: a null text is empty, a null language is a language of its own. Texts without characters
 have no perplexity and fail the rules. Equal rows get equal results. A language
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import common
-from starmart.llm.common import as_bytes, bounded_batches, pieces, sent_if_small, shuffles_removed
+from starmart.llm.common import as_bytes, bounded_batches, new_folder, pieces, remove_folder, sent_if_small, shuffles_removed
 
 ORDER = 5
 BITS = 12  # of a character's code in an n-gram
@@ -51,10 +52,10 @@ _SPACE = b" \t\n\v\f\r"
 _NO_START = _SPACE + bytes(range(0x80, 0xC0))  # white space and continuation bytes
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
     """A written table whose shuffle files go as soon as it is there."""
     with shuffles_removed(df.sparkSession):
-        return common.written(df, name)
+        return common.written(df, name, within=within)
 
 
 def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
@@ -121,7 +122,7 @@ def _buckets(n: int) -> int:
     return n
 
 
-def count_grams(source: DataFrame) -> DataFrame:
+def count_grams(source: DataFrame, within: str | None = None) -> DataFrame:
     """``chunk``, ``lang``, ``grams`` and ``n``: the different n-grams of the highest order in a
     chunk in arrays; a chunk with many, or read by two tasks, has several rows."""
     bounded_batches(source.sparkSession)
@@ -162,25 +163,26 @@ def count_grams(source: DataFrame) -> DataFrame:
         yield from rows()
 
     source = source.select("chunk", "lang", "text")
-    return written(source.mapInArrow(count, "chunk long, lang string, grams array<long>, n array<long>"), "quality-chunks")
+    return written(source.mapInArrow(count, "chunk long, lang string, grams array<long>, n array<long>"), "quality-chunks", within)
 
 
 class Model:
-    """Tables of each order's n-grams with their discounted probability (``lang``, ``gram``,
-    ``value``), of contexts with the weight of the lower order (``lang``, ``context``, ``weight``),
-    and of the number of characters of each language (``lang``, ``characters``)."""
+    """Tables of each order's n-grams with their discounted count (``lang``, ``gram``, ``left``), of
+    contexts with their count and the weight of the lower order (``lang``, ``context``, ``total``,
+    ``weight``), and of the number of characters of each language (``lang``, ``characters``)."""
 
-    def __init__(self, values: dict[int, DataFrame], weights: dict[int, DataFrame], characters: DataFrame):
-        self.values, self.weights, self.characters = values, weights, characters
+    def __init__(self, counts: dict[int, DataFrame], contexts: dict[int, DataFrame], characters: DataFrame):
+        self.counts, self.contexts, self.characters = counts, contexts, characters
 
-    def log_probabilities(self, wanted: DataFrame) -> DataFrame:
+    def log_probabilities(self, wanted: DataFrame, within: str | None = None) -> DataFrame:
         """``lang``, ``gram`` and ``log_p``, the natural logarithm of the probability of the
-        n-gram's last character, of the different ``lang`` and ``gram`` of ``wanted``."""
+        n-gram's last character, of the different ``lang`` and ``gram`` of ``wanted``. Each lower
+        order is a written table."""
         lower = None
         for n in range(1, ORDER + 1):
             part = wanted.select("lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * n) - 1)).alias("gram")).distinct()
             part = part.withColumns({"_context": F.shiftright("gram", BITS), "_suffix": F.col("gram").bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1))})
-            for table, mine, its in ((self.values[n], "gram", "gram"), (self.weights[n], "_context", "context"), (lower, "_suffix", "gram")):
+            for table, mine, its in ((self.counts[n], "gram", "gram"), (self.contexts[n], "_context", "context"), (lower, "_suffix", "gram")):
                 if table is not None:
                     table = table.withColumnsRenamed({"lang": "_lang", its: "_its"})
                     part = part.join(table, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col(mine) == F.col("_its")), "left").drop("_lang", "_its")
@@ -188,13 +190,14 @@ class Model:
                 characters = self.characters.withColumnRenamed("lang", "_lang")
                 part = part.join(sent_if_small(characters), F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
                 part = part.withColumn("p", F.coalesce(1.0 / (F.col("characters") + 1.0), F.lit(0.5))).drop("characters")
-            p = F.coalesce("value", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("p")
+            p = F.coalesce(F.col("left") / F.col("total"), F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("p")
             lower = part.select("lang", "gram", p.alias("p"))
+            lower = written(lower, "quality-lower", within) if n < ORDER else lower
         return lower.select("lang", "gram", F.log("p").alias("log_p"))
 
     def log_probability(self, name, gram: np.ndarray) -> np.ndarray:
         """The same for an array of n-grams of a language."""
-        spark = self.values[1].sparkSession
+        spark = self.counts[1].sparkSession
         wanted = spark.createDataFrame([(name, g) for g in gram.tolist()], "lang string, gram long")
         found = {r.gram: r.log_p for r in self.log_probabilities(wanted).collect()}
         return np.array([found[g] for g in gram.tolist()])
@@ -202,7 +205,7 @@ class Model:
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Count all texts and make the model."""
-    return _model(count_grams(_chunked(df, lang, text)))
+    return _model(_counted(count_grams(_chunked(df, lang, text))))
 
 
 def _discounts(table: DataFrame) -> DataFrame:
@@ -219,25 +222,28 @@ def _discounts(table: DataFrame) -> DataFrame:
     return counts.withColumn("_y", y).select("_lang", "different", *held)
 
 
-def _model(chunks: DataFrame) -> Model:
+def _counted(chunks: DataFrame, within: str | None = None) -> DataFrame:
+    """``lang``, ``gram`` and ``n`` of each different n-gram of the highest order."""
     pairs = chunks.select("lang", F.explode(F.arrays_zip("grams", "n")).alias("_pair"))
-    table = written(pairs.groupBy("lang", F.col("_pair.grams").alias("gram")).agg(F.sum("_pair.n").alias("n")), "quality-grams")
-    values, weights = {}, {}
+    return written(pairs.groupBy("lang", F.col("_pair.grams").alias("gram")).agg(F.sum("_pair.n").alias("n")), "quality-grams", within)
+
+
+def _model(table: DataFrame, within: str | None = None) -> Model:
+    counts, weights = {}, {}
     for order in range(ORDER, 0, -1):
-        discounts = written(_discounts(table), "quality-discounts")
+        discounts = written(_discounts(table), "quality-discounts", within)
         discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         named = table.join(sent_if_small(discounts), F.col("lang").eqNullSafe(F.col("_lang")))
         named = named.select("lang", "gram", "n", F.shiftright("gram", BITS).alias("context"), (F.col("n") - discount).alias("left"))
         contexts = named.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("left").alias("given"))
-        contexts = written(contexts.withColumn("weight", 1.0 - F.col("given") / F.col("total")), "quality-contexts")
-        stored = named.alias("a").join(contexts.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.context") == F.col("b.context")))
-        values[order] = stored.select("a.lang", "gram", (F.col("left") / F.col("total")).alias("value"))
-        weights[order] = contexts.select("lang", "context", "weight")
+        contexts = written(contexts.withColumn("weight", 1.0 - F.col("given") / F.col("total")), "quality-contexts", within)
+        counts[order] = named.select("lang", "gram", "left")
+        weights[order] = contexts.select("lang", "context", "total", "weight")
         if order > 1:
             # A shorter n-gram counts the different characters it follows.
             table = table.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-            table = written(table, "quality-grams")
-    return Model(values, weights, discounts.select(F.col("_lang").alias("lang"), F.col("different").alias("characters")))
+            table = written(table, "quality-grams", within)
+    return Model(counts, weights, discounts.select(F.col("_lang").alias("lang"), F.col("different").alias("characters")))
 
 
 def _answers(chunks: DataFrame, found: DataFrame) -> DataFrame:
@@ -308,14 +314,20 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
     bounded_batches(df.sparkSession)
     # Both scans must have the same rows in the same chunks: behind a shuffle they are written once.
     source = _chunked(df, lang, text, F.col(f"`{key}`").alias("key"))
-    source = source if same_in_every_scan(df) else written(source, "quality-rows")
-    chunks = count_grams(source)
+    spark = df.sparkSession
+    for_rows, for_model, for_answers = (new_folder(spark, f"quality-for-{x}") for x in ("rows", "model", "answers"))
+    source = source if same_in_every_scan(df) else written(source, "quality-rows", for_rows)
+    chunks = count_grams(source, for_answers)
+    tasks = max(1, chunks.select("chunk").distinct().count())
     if model:
-        wanted = written(chunks.select("lang", F.explode("grams").alias("gram")).distinct(), "quality-wanted")
+        wanted = written(chunks.select("lang", F.explode("grams").alias("gram")).distinct(), "quality-wanted", for_model)
     else:
-        model = _model(chunks)
-        wanted = model.values[ORDER].select("lang", "gram")
-    answers = written(_answers(chunks, written(model.log_probabilities(wanted), "quality-answers")), "quality-looked-up")
+        counted = _counted(chunks, for_model)
+        model, wanted = _model(counted, for_model), counted.select("lang", "gram")
+    found = written(model.log_probabilities(wanted, for_model), "quality-answers", for_answers)
+    remove_folder(spark, for_model)
+    answers = written(_answers(chunks, found), "quality-looked-up", for_rows)
+    remove_folder(spark, for_answers)
     kind = df.schema[key].dataType.simpleString()
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -356,7 +368,6 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
         return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), *columns], ["key", "lang", *numbers, "loss"])
 
     kinds = ", ".join(f"{n} long" for n in numbers)
-    tasks = max(1, chunks.select("chunk").distinct().count())
 
     def round_of_chunks(i: int) -> DataFrame:
         own = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == i
@@ -366,6 +377,7 @@ def assess(df: DataFrame, model: Model | None = None, key: str = "doc_id", text:
         return written(both.mapInArrow(judged, f"key {kind}, lang string, {kinds}, loss double"), "quality")
 
     found = reduce(DataFrame.unionAll, [round_of_chunks(i) for i in range(ROUNDS)])
+    remove_folder(spark, for_rows)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     words = F.nullif(F.col("n_words"), F.lit(0))
     found = found.withColumns({"base_failed": failed, "log_perplexity": F.col("loss") / words})

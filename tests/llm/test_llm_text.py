@@ -431,3 +431,16 @@ def test_quality_judges_every_chunk_in_one_round(spark, monkeypatch):
         monkeypatch.setattr(quality, "ROUNDS", rounds)
         results.append(sorted((r.doc_id, r.kept, round(r.log_perplexity, 9)) for r in quality.assess(frame).collect()))
     assert [r[0] for r in results[0]] == list(range(60)) and results[0] == results[1]
+
+
+def test_quality_keeps_only_what_later_queries_read(spark, tmp_path, monkeypatch):
+    """Disk: tables go after their last reader, and a query of its own makes each order's probabilities."""
+    monkeypatch.setattr(quality.common, "shared_folder", lambda spark: str(tmp_path))
+    made = []
+    monkeypatch.setattr(quality, "written", lambda df, name, within=None, f=quality.written: made.append(name) or f(df, name, within))
+    texts = [(i, f"a line of {i * 7} words that ends with number {i}, as others do", "x" if i % 2 else None) for i in range(40)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    found = quality.assess(frame)
+    assert {f.name.rsplit("-", 1)[0] for f in tmp_path.iterdir()} == {"quality"}
+    assert made.count("quality-lower") == quality.ORDER - 1
+    assert found.count() == len(texts) and not found.filter("log_perplexity is null").count()
