@@ -38,6 +38,7 @@ from starmart.operators.loading import (  # noqa: F401
     derive_outcome,
     detect_date_formats,
     enrich,
+    file_order_key,
     filter_fk,
     first_available,
     iso_dates,

@@ -2,6 +2,7 @@
 
 import re
 import shutil
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from starmart.functions import to_number
 from starmart.operators import accepted_and_counted, reject_missing, reject_orphans, reject_where
 from starmart.plans import hierarchies, loads, slices
 from starmart.plans.common import fact
@@ -240,6 +242,60 @@ def test_marked_rows_keep_their_first_rule_and_added_rows_stay(spark):
     assert counts.get == {"rows": 6, "added": 1, "rule no id": 1, "rule no club": 2, "rule late": 1}
 
 
+def test_tables_built_in_rounds_are_the_same_and_leave_no_shuffle_files(spark, warehouse, tmp_path, monkeypatch):
+    tables, _, _, root = warehouse
+    folder = f"{tmp_path}/version"
+    shutil.copytree(current_root(spark, root).removeprefix("file:"), folder)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        found = disk.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+    whole = {name: loads._write_rows(spark, folder, name, None) for name in ("dim_games", "fact_transfers")}
+    monkeypatch.setattr(loads, "ROUND_ROWS", 3)
+    before = shuffled()
+    for name in loads.JOBS:
+        if name not in loads.ONE_ROUND:
+            counts = loads._write_rows(spark, folder, name)
+            assert counts == whole.get(name, counts), name
+            again = Warehouse.in_folder(spark, folder)[name]
+            assert sorted(map(str, again.collect())) == sorted(map(str, tables[name].collect())), name
+    for _ in range(40):  # files are removed in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.25)
+    assert not shuffled() - before
+    assert not list(tmp_path.glob("version/_accepted"))
+    assert {p.suffixes[-2] for p in tmp_path.glob("version/fact_*/**/*.parquet")} == {".zstd"}
+
+
+def test_a_load_tells_which_sources_it_has_read(spark, warehouse, tmp_path):
+    shutil.copytree(warehouse[2], tmp_path / "csv")
+    with open(tmp_path / "csv" / "clubs.csv", "a", encoding="utf-8") as f:
+        f.write("30,short\n")
+    told = []
+    with pytest.raises(ValueError, match="bad_lines in clubs: 1"):
+        loads.load_all(spark, str(tmp_path / "csv"), str(tmp_path / "tables"), strict=True, on_staged=told.append)
+    assert sorted(told) == sorted(FILES)
+
+
+def test_rounds_have_every_row_once_and_equal_keys_together(spark):
+    keys = [None if i % 4 == 0 else f"{i % 7}.0" if i % 3 else f"{i % 7}" for i in range(400)]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "game_id string, _row_order long")
+
+    def rounds(name: str) -> list[list]:
+        return [loads._of_round(rows, name, n, 4).withColumn("key", to_number("game_id", "int")).collect() for n in range(4)]
+
+    for name in ("dim_games", "fact_appearances", "fact_transfers"):
+        dealt = rounds(name)
+        assert sorted(r._row_order for part in dealt for r in part) == list(range(400)), name
+        lost = sum(any(r.key is None for r in part) for part in dealt)
+        assert lost == (1 if name == "dim_games" else 4), name
+        if name != "fact_transfers":
+            assert all(sum(any(r.key == k for r in part) for part in dealt) == 1 for k in range(7)), name
+
+
 def test_sources_are_staged_and_the_jobs_timed(spark, warehouse):
     _, _, folder, root = warehouse
     current = current_root(spark, root)

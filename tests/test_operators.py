@@ -39,6 +39,7 @@ from starmart.operators import (
     top_overall,
     top_per_group,
     trend,
+    file_order_key,
     with_file_order_key,
     with_surrogate_key,
 )
@@ -338,6 +339,15 @@ def test_keys_in_file_order_are_dense_over_pieces(spark, monkeypatch):
     assert with_file_order_key(frame.limit(0), "id", "row").count() == 0
 
 
+def test_keys_in_file_order_are_the_same_in_parts(spark, monkeypatch):
+    monkeypatch.setattr("starmart.operators.loading.PIECE_ROWS", 10)
+    frame = spark.createDataFrame([(i * 3,) for i in range(100)], "row long")
+    whole = sorted(map(tuple, file_order_key(frame, "id", "row").collect()))
+    parts = [[tuple(r) for r in file_order_key(frame, "id", "row", p, 3).collect()] for p in range(3)]
+    assert sorted(sum(parts, [])) == whole and [k for _, k in whole] == list(range(1, 101))
+    assert all(len({r // 10 for r, _ in part}) < 30 for part in parts)
+
+
 def test_rows_among_the_first_in_any_order(spark):
     made = random.Random(9)
     rows = [(i, made.choice([None, "a", "b"]), made.choice([None, 1, 2, 3, 4, 5]), made.randint(0, 8)) for i in range(150)]
